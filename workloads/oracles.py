@@ -410,7 +410,7 @@ CTES["outcome"] = f"""
   FROM pages"""
 CTES["star_node"] = """
   SELECT p_brand AS entity_text, min(p_type) AS entity_type
-  FROM part WHERE p_size > 1 GROUP BY ALL"""
+  FROM part WHERE p_brand NOT LIKE '%5' GROUP BY ALL"""
 CTES["star_edge"] = """
   SELECT * FROM pairs
   WHERE entity_a IN (SELECT entity_text FROM star_node)

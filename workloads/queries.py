@@ -213,12 +213,12 @@ def graph_nodes(spark, folder):
 
 
 def _star_graph(spark, folder):
-    """All pairs; nodes only for brands of parts larger than size 1."""
+    """All pairs; brands that end in 5 are no nodes."""
     star = D.star_entities(spark, folder)
     pairs = write_out(cooccurrence.co_occurrences(star), "pairs")
-    large = D.table(spark, folder, "part").filter("p_size > 1")
+    known = D.table(spark, folder, "part").filter("p_brand NOT LIKE '%5'")
     nodes = graph.graph_nodes(
-        large.select(
+        known.select(
             F.col("p_brand").alias("entity_text"), F.col("p_type").alias("entity_type")
         )
     )
