@@ -4,17 +4,18 @@ After Mihalcea and Tarau (2004). Terms at most ``WINDOW`` places apart are
 linked, ranks come from a fixed number of weighted PageRank rounds, and the
 sentence nearest to the ten best terms is the summary.
 
-Segments are hash-partitioned by their key once. Counting links, numbering
-terms and gathering the graph all group by that key, so none of them shuffles
-again. The graph is no larger than its text, so the rounds run inside the row
-as one expression: no joins, no lineage growing by the round.
+A segment's graph depends on its own text only and is no larger than that, so
+graph, rounds and scores are one built-in expression over the row: one pass over
+the text, no shuffle, no join, no lineage growing by the round. Every step sorts
+or reads arrays in order, so a row costs n log n in its number of terms.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.text import sentences, terms
 
 WINDOW = 3
@@ -34,98 +35,114 @@ def sentence_split(segments: DataFrame) -> DataFrame:
     ).withColumn("position", F.col("position").cast("bigint"))
 
 
-def _links(words: Column) -> Column:
-    """Links of a term array: both directions, plus an empty link to itself.
+def _term_nodes(words: Column) -> Column:
+    """One struct per distinct term, in term order: the term and its places."""
+    by_term = F.sort_array(
+        F.transform(words, lambda t, i: F.struct(t.alias("term"), i.alias("place")))
+    )
 
-    The empty one keeps a term that has no other to link to.
-    """
+    def runs(tokens: Column) -> Column:
+        places = F.transform(tokens, lambda _, i: i)
+        starts = F.filter(
+            places,
+            lambda i: (i == 0)
+            | (F.get(tokens, i)["term"] != F.get(tokens, i - 1)["term"]),
+        )
 
-    def around(term: Column, i: Column) -> Column:
-        later = F.filter(F.slice(words, i + 2, F.lit(WINDOW)), lambda o: o != term)
-        links = F.transform(
-            later,
-            lambda o: F.array(
-                F.struct(term.alias("a"), o.alias("b"), F.lit(1).alias("w")),
-                F.struct(o.alias("a"), term.alias("b"), F.lit(1).alias("w")),
-            ),
+        def nodes(firsts: Column) -> Column:
+            def node(first: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(firsts, k + 1), F.size(tokens))
+                run = F.slice(tokens, first + 1, end - first)
+                return F.struct(
+                    F.get(tokens, first)["term"].alias("term"),
+                    F.transform(run, lambda t: t["place"]).alias("places"),
+                )
+
+            return F.transform(firsts, node)
+
+        return let(starts, nodes)
+
+    return let(by_term, runs)
+
+
+def _node_links(nodes: Column) -> Column:
+    """For each node the nodes within ``WINDOW`` places, once per meeting."""
+    placed = F.sort_array(
+        F.flatten(
+            F.transform(
+                nodes,
+                lambda node, k: F.transform(
+                    node["places"],
+                    lambda p: F.struct(p.alias("place"), k.alias("node")),
+                ),
+            )
         )
-        itself = F.struct(term.alias("a"), term.alias("b"), F.lit(0).alias("w"))
-        return F.concat(F.flatten(links), F.array(itself))
+    )
 
-    return F.flatten(F.transform(words, around))
+    def links(node_at: Column) -> Column:
+        def around(place: Column) -> Column:
+            first = F.greatest(place - WINDOW, F.lit(0))
+            return F.slice(node_at, first + 1, place + WINDOW - first + 1)
 
+        return F.transform(
+            nodes,
+            lambda node, k: F.filter(
+                F.flatten(F.transform(node["places"], around)), lambda j: j != k
+            ),
+        )
+
+    return let(F.transform(placed, lambda p: p["node"]), links)
 
-def _rank_rounds(graph: Column) -> Column:
-    """Ranks after ``ROUNDS`` rounds, in the order of ``graph``.
 
-    ``graph`` holds one struct per term: its incoming links as (from, share)
-    with ``from`` an index into ``graph``.
-    """
-    count = F.size(graph).cast("double")
+def _rank_rounds(links: Column) -> Column:
+    """Ranks after ``ROUNDS`` rounds. Links are symmetric and repeat by weight,
+    so a node passes on its rank in equal parts, one for each of its links."""
+    count = F.greatest(F.size(links), F.lit(1)).cast("double")
     base = F.lit(1.0 - DAMPING) / count
-    start = F.transform(graph, lambda _: F.lit(1.0) / count)
+    start = F.transform(links, lambda _: F.lit(1.0) / count)
 
     def one_round(ranks: Column, _: Column) -> Column:
-        def term_rank(node: Column) -> Column:
-            incoming = F.aggregate(
-                node["links"],
-                F.lit(0.0),
-                lambda total, link: total + link["share"] * F.get(ranks, link["from"]),
+        parts = F.zip_with(
+            ranks,
+            links,
+            lambda rank, out: F.when(F.size(out) > 0, rank / F.size(out)).otherwise(0.0),
+        )
+
+        def spread(part: Column) -> Column:
+            def incoming(sources: Column) -> Column:
+                return F.aggregate(
+                    sources, F.lit(0.0), lambda total, j: total + F.get(part, j)
+                )
+
+            return F.transform(
+                links, lambda sources: base + F.lit(DAMPING) * incoming(sources)
             )
-            return base + F.lit(DAMPING) * incoming
 
-        return F.transform(graph, term_rank)
+        return let(parts, spread)
 
     rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
     return F.aggregate(rounds, start, one_round)
 
 
-def term_ranks(segments: DataFrame) -> DataFrame:
-    """(video_id, segment_id, ranked): ARRAY<STRUCT<term, rank>> by term."""
-    keyed = segments.select(*_KEYS, "text").repartition(*_KEYS)
-    words = keyed.select(*_KEYS, terms(F.col("text")).alias("words"))
-    weights = (
-        words.select(*_KEYS, F.inline(_links(F.col("words"))))
-        .groupBy(*_KEYS, "a", "b")
-        .agg(F.sum("w").alias("w"))
-    )
-    # Links are symmetric, so ranking either end numbers the same terms.
-    by_a = Window.partitionBy(*_KEYS).orderBy("a")
-    by_b = Window.partitionBy(*_KEYS).orderBy("b")
-    numbered = (
-        weights.withColumn("to", F.dense_rank().over(by_a) - 1)
-        .withColumn("from", F.dense_rank().over(by_b) - 1)
-        .withColumn("leaving", F.sum("w").over(Window.partitionBy(*_KEYS, "b")))
-    )
-    link = F.when(
-        F.col("w") > 0,
-        F.struct(
-            F.col("from"),
-            (F.col("w").cast("double") / F.col("leaving")).alias("share"),
-        ),
-    )
-    nodes = numbered.groupBy(*_KEYS, "to", "a").agg(
-        F.sort_array(F.collect_list(link)).alias("links")
-    )
-    graphs = nodes.groupBy(*_KEYS).agg(
-        F.sort_array(F.collect_list(F.struct("to", "a", "links"))).alias("graph")
-    )
-    ranks = graphs.withColumn("ranks", _rank_rounds(F.col("graph")))
-    return ranks.select(
-        *_KEYS,
-        F.zip_with(
-            "graph",
-            "ranks",
-            lambda node, rank: F.struct(node["a"].alias("term"), rank.alias("rank")),
-        ).alias("ranked"),
-    )
+def ranked_terms(text: Column) -> Column:
+    """ARRAY<STRUCT<term, rank>> of all terms of a text, in term order."""
+
+    def rank(nodes: Column) -> Column:
+        ranks = let(_node_links(nodes), _rank_rounds)
+        return F.zip_with(
+            nodes,
+            ranks,
+            lambda node, r: F.struct(node["term"].alias("term"), r.alias("rank")),
+        )
+
+    return let(_term_nodes(terms(text)), rank)
 
 
-def _top_terms(ranked: Column, limit: int) -> Column:
+def top_terms(text: Column, limit: int = TOP_TERMS) -> Column:
     """The best terms with ranks scaled to sum 1; equal ranks go by term."""
     ordered = F.sort_array(
         F.transform(
-            ranked,
+            ranked_terms(text),
             lambda t: F.struct(
                 (-F.round(t["rank"], RANK_DIGITS)).alias("order"),
                 t["term"].alias("term"),
@@ -133,22 +150,25 @@ def _top_terms(ranked: Column, limit: int) -> Column:
             ),
         )
     )
-    return F.slice(ordered, 1, limit)
+
+    def scaled(best: Column) -> Column:
+        total = F.aggregate(best, F.lit(0.0), lambda s, t: s + t["rank"])
+        return let(
+            total,
+            lambda whole: F.transform(
+                best,
+                lambda t: F.struct(
+                    t["term"].alias("term"), (t["rank"] / whole).alias("rank")
+                ),
+            ),
+        )
+
+    return let(F.slice(ordered, 1, limit), scaled)
 
 
 def key_terms(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:
-    """(video_id, segment_id, top): the best terms with scaled ranks."""
-    best = term_ranks(segments).select(
-        *_KEYS, _top_terms(F.col("ranked"), limit).alias("top")
-    )
-    total = F.aggregate("top", F.lit(0.0), lambda s, t: s + t["rank"])
-    scaled = F.transform(
-        "top",
-        lambda t: F.struct(
-            t["term"].alias("term"), (t["rank"] / F.col("_total")).alias("rank")
-        ),
-    )
-    return best.withColumn("_total", total).select(*_KEYS, scaled.alias("top"))
+    """(video_id, segment_id, term, rank): each segment's best terms."""
+    return segments.select(*_KEYS, F.inline(top_terms(F.col("text"), limit)))
 
 
 def _scored(text: Column, top: Column) -> Column:
@@ -184,15 +204,15 @@ def _best_sentence(scores: Column) -> Column:
 
 def extractive_summary(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:
     """(video_id, segment_id, summary, sentence_scores), one row per segment."""
-    keyed = segments.select(*_KEYS, "text").repartition(*_KEYS)
-    joined = keyed.join(key_terms(segments, limit=limit), _KEYS, "left")
-    none = F.array().cast("array<struct<term:string,rank:double>>")
-    scores = _scored(F.col("text"), F.coalesce("top", none))
-    return joined.select(*_KEYS, scores.alias("sentence_scores")).select(
-        *_KEYS,
-        _best_sentence(F.col("sentence_scores")).alias("summary"),
-        "sentence_scores",
-    )
+    text = F.col("text")
+
+    def result(scores: Column) -> Column:
+        return F.struct(
+            _best_sentence(scores).alias("summary"), scores.alias("sentence_scores")
+        )
+
+    scores = let(top_terms(text, limit), lambda top: _scored(text, top))
+    return segments.select(*_KEYS, F.inline(F.array(let(scores, result))))
 
 
 def sentence_scores(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:

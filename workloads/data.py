@@ -31,8 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def doc_transcripts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as whole transcripts."""
-    return table(spark, folder, "documents").select(
+    """Documents as whole transcripts.
+
+    The test file is a single row group, which one task would read alone; its
+    rows are spread over the cores. Large tables have many splits already.
+    """
+    rows = table(spark, folder, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, "doc_id").select(
         F.col("doc_id").cast("string").alias("video_id"),
         F.col("doc_id").alias("position"),
         canonical_url(F.col("doc_id").cast("string")).alias("url"),

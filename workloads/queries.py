@@ -588,10 +588,7 @@ def sentence_split(spark, folder):
 
 @query("key_terms")
 def key_terms(spark, folder):
-    best = extractive.key_terms(D.doc_segments(spark, folder))
-    return _rounded(
-        best.select("video_id", "segment_id", F.inline("top")), "rank"
-    )
+    return _rounded(extractive.key_terms(D.doc_segments(spark, folder)), "rank")
 
 
 @query("extractive_summary")
