@@ -45,20 +45,26 @@ def _in_order(entry: Column, separator: str) -> Column:
     return F.array_join(texts, separator)
 
 
-def topic_text(segments: DataFrame, *, size: int = CHUNK_SIZE) -> DataFrame:
+def topic_text(
+    segments: DataFrame, *, keep_empty: bool = False, size: int = CHUNK_SIZE
+) -> DataFrame:
     """(video_id, topic_key, topic_text): non-empty texts joined by newlines.
 
-    Texts are first joined inside chunks of the topic, then the chunks.
+    Texts are first joined inside chunks of the topic, then the chunks. A topic
+    without any text is left out unless ``keep_empty``.
     """
-    filled = with_topic_key(segments).filter(F.coalesce("text", F.lit("")) != "")
+    filled = F.coalesce("text", F.lit("")) != ""
+    keyed = with_topic_key(segments)
+    if not keep_empty:
+        keyed = keyed.filter(filled)
+    entry = F.when(filled, F.struct("segment_id", "text"))
     parts = (
-        with_chunk(filled, "segment_id", size)
+        with_chunk(keyed, "segment_id", size)
         .groupBy(*_TOPIC, CHUNK)
-        .agg(_in_order(F.struct("segment_id", "text"), "\n").alias("text"))
-    )
-    return parts.groupBy(*_TOPIC).agg(
-        _in_order(F.struct(CHUNK, "text"), "\n").alias("topic_text")
+        .agg(_in_order(entry, "\n").alias("text"))
     )
+    part = F.when(F.col("text") != "", F.struct(CHUNK, "text"))
+    return parts.groupBy(*_TOPIC).agg(_in_order(part, "\n").alias("topic_text"))
 
 
 def topic_words(segments: DataFrame) -> DataFrame:
@@ -80,11 +86,9 @@ def summary_prompt(
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
     """(video_id, topic_key, prompt) for every topic, also an empty one."""
-    topics = with_topic_key(segments).select(*_TOPIC).distinct()
-    texts = topic_text(segments, size=size)
-    body = F.coalesce("topic_text", F.lit(""))
-    return topics.join(texts, _TOPIC, "left").select(
-        *_TOPIC, F.concat(F.lit(instruction + "\n\n"), body).alias("prompt")
+    prompt = F.concat(F.lit(instruction + "\n\n"), F.col("topic_text"))
+    return topic_text(segments, keep_empty=True, size=size).select(
+        *_TOPIC, prompt.alias("prompt")
     )
 
 
@@ -97,24 +101,18 @@ def lead_summary(segments: DataFrame, *, n_words: int = LEAD_WORDS) -> DataFrame
     keyed = with_topic_key(segments).select(
         *_TOPIC, "segment_id", F.slice(words(F.col("text")), 1, n_words).alias("_lead")
     )
-    order = Window.partitionBy(*_TOPIC).orderBy("segment_id")
-    lead = (
-        keyed.filter(F.size("_lead") > 0)
-        .withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= n_words)
-        .groupBy(*_TOPIC)
-        .agg(F.sort_array(F.collect_list(F.struct("_n", "_lead"))).alias("_leads"))
-        .select(
-            *_TOPIC,
-            F.flatten(F.transform("_leads", lambda e: e["_lead"])).alias("_words"),
-        )
+    # Segments without words come last, so that a topic of only those stays.
+    order = Window.partitionBy(*_TOPIC).orderBy(F.size("_lead") == 0, "segment_id")
+    ordered = F.sort_array(F.collect_list(F.struct("_n", "_lead")))
+    first = F.slice(
+        F.flatten(F.transform("_leads", lambda e: e["_lead"])), 1, n_words
     )
-    summary = F.array_join(F.slice("_words", 1, n_words), " ")
     return (
-        keyed.select(*_TOPIC)
-        .distinct()
-        .join(lead, _TOPIC, "left")
-        .select(*_TOPIC, F.coalesce(summary, F.lit("")).alias("summary"))
+        keyed.withColumn("_n", F.row_number().over(order))
+        .filter(F.col("_n") <= n_words)
+        .groupBy(*_TOPIC)
+        .agg(ordered.alias("_leads"))
+        .select(*_TOPIC, F.array_join(first, " ").alias("summary"))
     )
 
 

@@ -41,24 +41,22 @@ def merge_nlp(
     itself is not gathered.
     """
     labelled = attach_topic(segments, results[TOPICS])
-    extractive = results[EXTRACTIVE].select(
-        *_KEYS, F.col("summary").alias("_ext"), F.col("sentence_scores").alias("_scores")
-    )
-    abstractive = results[ABSTRACTIVE].select(*_KEYS, F.col("summary").alias("_abs"))
-    joined = with_topic_key(
-        labelled.join(extractive, _KEYS, "left").join(abstractive, _KEYS, "left")
-    )
     sized = attach(
-        joined,
+        with_topic_key(labelled),
         topic_words(labelled),
         ["video_id", "topic_key"],
         "segment_id",
         size=size,
     )
+    extractive = results[EXTRACTIVE].select(
+        *_KEYS, F.col("summary").alias("_ext"), F.col("sentence_scores").alias("_scores")
+    )
+    abstractive = results[ABSTRACTIVE].select(*_KEYS, F.col("summary").alias("_abs"))
+    joined = sized.join(extractive, _KEYS, "left").join(abstractive, _KEYS, "left")
     ext_summary = F.coalesce("_ext", F.lit(""))
     abs_summary = F.coalesce("_abs", F.lit(""))
     return (
-        sized.withColumn("ext_summary", ext_summary)
+        joined.withColumn("ext_summary", ext_summary)
         .withColumn("abs_summary", abs_summary)
         .select(
             *[c for c in segments.columns if c != "topic_label"],
@@ -81,5 +79,9 @@ def merge_nlp(
 def enrich_segments(
     segments: DataFrame, processors: Sequence[Processor] | None = None
 ) -> DataFrame:
-    """Run the processors and merge their results."""
+    """Run the processors and merge their results.
+
+    Every processor reads ``segments``, so they should be a stored table rather
+    than a costly plan (see ``session.write_out``).
+    """
     return merge_nlp(segments, run_all(segments, processors))

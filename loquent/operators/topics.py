@@ -130,7 +130,9 @@ def segment_topics(
     """(video_id, segment_id, topic_label) for every segment.
 
     The distances are written out once: threshold, boundaries and counts all
-    read them, and only they need the text.
+    read them, and only they need the text. So are the labels, which a pipeline
+    joins more than once. Both are narrow next to the text.
     """
     distances = adjacent_distance(segments, embedding=embedding, size=size)
-    return label_topics(write_out(distances, "distances"), k, size=size)
+    labels = label_topics(write_out(distances, "distances"), k, size=size)
+    return write_out(labels, "topics")

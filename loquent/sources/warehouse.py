@@ -1,9 +1,10 @@
 """The stored tables: plain zstd parquet folders.
 
 Video-keyed tables are partitioned by a hash bucket of the video id. Reading or
-deleting one video touches its bucket only; inside a bucket rows are written in
-ranges of (video_id, segment_id), so a long video is spread over files and the
-files of other videos are skipped by their min/max statistics.
+deleting one video touches its bucket only. Writes gather buckets with a
+rebalance, which splits a large bucket (one long video, say) over several tasks
+and files; files are sorted by video and segment, so min/max statistics skip the
+row groups of other videos.
 """
 
 from __future__ import annotations
@@ -82,12 +83,12 @@ class Warehouse:
         return df.select(*columns)
 
     def _laid_out(self, df: DataFrame) -> DataFrame:
-        """Rows in ranges of the sort columns inside their bucket."""
+        """Rows of one bucket together and sorted; large buckets are split."""
         if "video_id" not in df.columns:
             return df
         order = [c for c in _SORT_COLUMNS if c in df.columns]
         bucketed = df.withColumn(BUCKET, _bucket(F.col("video_id")))
-        return bucketed.repartitionByRange(BUCKET, *order).sortWithinPartitions(
+        return bucketed.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(
             BUCKET, *order
         )
 

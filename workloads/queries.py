@@ -715,7 +715,7 @@ def global_entity_ids(spark, folder):
 
 def _scored(spark, folder, k=1.0):
     segments = transcripts.with_times(D.doc_segments(spark, folder))
-    return enrich_segments(segments, D.light_processors(k))
+    return enrich_segments(write_out(segments, "segments"), D.light_processors(k))
 
 
 _AVERAGES = ("avg_compression_ratio", "avg_semantic_similarity")
@@ -774,7 +774,8 @@ def history(spark, folder):
 def enrich(spark, folder):
     segments = transcripts.with_times(D.doc_segments(spark, folder))
     chosen = [p for p in D.full_processors(spark, folder) if p.name != "entities"]
-    return _rounded(enrich_segments(segments, chosen), *_METRICS, *_TIMES)
+    enriched = enrich_segments(write_out(segments, "segments"), chosen)
+    return _rounded(enriched, *_METRICS, *_TIMES)
 
 
 
