@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.text import strip, tokens, word_count
-from loquent.functions.vectors import bag_cosine, dense_cosine
+from loquent.functions.vectors import bag, bag_cosine, dense_cosine
 
 
 def ratio_of_counts(original_words: Column, summary_words: Column) -> Column:
@@ -20,7 +21,10 @@ def compression_ratio(original: Column, summary: Column) -> Column:
 
 def semantic_similarity(text_a: Column, text_b: Column) -> Column:
     """Lexical cosine of two texts; ('', '') is 1.0."""
-    return bag_cosine(tokens(text_a), tokens(text_b))
+    return let(
+        bag(tokens(text_a)),
+        lambda a: let(bag(tokens(text_b)), lambda b: bag_cosine(a, b)),
+    )
 
 
 def embedding_similarity(vector_a: Column, vector_b: Column) -> Column:

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
+
+#: Most shared terms of two bags that are looked up one by one.
+LOOKUP_TERMS = 256
+
 
 def dot(a: Column, b: Column) -> Column:
     """Dot product in DOUBLE."""
@@ -28,51 +33,94 @@ def dense_cosine(a: Column, b: Column) -> Column:
     return cosine_from_parts(dot(a, b), norm(a), norm(b))
 
 
-def bag_cosine(a: Column, b: Column) -> Column:
-    """Cosine of the term counts of two token arrays.
+def bag(tokens: Column) -> Column:
+    """Term counts of a token array: STRUCT<terms, counts, squares>.
 
-    Both bags are tagged, sorted together and read once: equal tokens are then
-    neighbours, so dot product and norms come from running counts. This costs
-    n log n in the row's own tokens and needs neither an explode nor a shuffle.
-    Two empty bags are equal (1.0); one empty bag matches nothing (0.0).
+    ``terms`` are distinct and sorted, ``squares`` is the sum of the squared
+    counts. The sorted tokens are read once: a term starts where the token
+    before differs.
     """
-    tagged = F.sort_array(
-        F.concat(
-            F.transform(a, lambda t: F.struct(t.alias("t"), F.lit(0).alias("side"))),
-            F.transform(b, lambda t: F.struct(t.alias("t"), F.lit(1).alias("side"))),
+
+    def from_sorted(ordered: Column) -> Column:
+        places = F.transform(ordered, lambda _, i: i)
+        starts = F.filter(
+            places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
         )
+
+        def from_starts(firsts: Column) -> Column:
+            terms = F.transform(firsts, lambda i: F.get(ordered, i))
+            counts = F.transform(
+                firsts,
+                lambda i, k: F.coalesce(F.get(firsts, k + 1), F.size(ordered)) - i,
+            )
+            return let(counts, lambda c: _bag_of(terms, c))
+
+        return let(starts, from_starts)
+
+    return let(F.sort_array(tokens), from_sorted)
+
+
+def _bag_of(terms: Column, counts: Column) -> Column:
+    squares = F.aggregate(
+        counts, F.lit(0.0), lambda total, n: total + n.cast("double") * n
     )
-    zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    start = F.struct(
-        F.lit("").alias("t"),
-        zero.alias("in_a"),
-        zero.alias("in_b"),
-        zero.alias("ab"),
-        zero.alias("aa"),
-        zero.alias("bb"),
+    return F.struct(
+        terms.alias("terms"), counts.alias("counts"), squares.alias("squares")
     )
 
-    def read(acc: Column, token: Column) -> Column:
-        same = acc["t"] == token["t"]
-        is_a = token["side"] == 0
-        in_a = F.when(same, acc["in_a"]).otherwise(zero)
-        in_b = F.when(same, acc["in_b"]).otherwise(zero)
-        return F.struct(
-            token["t"].alias("t"),
-            (in_a + F.when(is_a, one).otherwise(zero)).alias("in_a"),
-            (in_b + F.when(is_a, zero).otherwise(one)).alias("in_b"),
-            (acc["ab"] + F.when(is_a, in_b).otherwise(in_a)).alias("ab"),
-            (acc["aa"] + F.when(is_a, in_a * 2 + 1).otherwise(zero)).alias("aa"),
-            (acc["bb"] + F.when(is_a, zero).otherwise(in_b * 2 + 1)).alias("bb"),
+
+def _count_in(bag_: Column, term: Column) -> Column:
+    place = F.array_position(bag_["terms"], term)
+    return F.get(bag_["counts"], place.cast("int") - 1)
+
+
+def _merged_dot(a: Column, b: Column) -> Column:
+    """Dot product by sorting both bags together: a shared term has two entries
+    in a row."""
+
+    def entries(bag_: Column) -> Column:
+        return F.arrays_zip(bag_["terms"].alias("term"), bag_["counts"].alias("n"))
+
+    def from_sorted(both: Column) -> Column:
+        # The second copy starts one entry later; its last partner is null.
+        after = F.slice(both, 2, F.greatest(F.size(both), F.lit(1)))
+        products = F.zip_with(
+            both,
+            after,
+            lambda x, y: F.when(
+                x["term"] == y["term"], x["n"].cast("double") * y["n"]
+            ).otherwise(0.0),
         )
+        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+
+    return let(F.sort_array(F.concat(entries(a), entries(b))), from_sorted)
 
-    def finish(acc: Column) -> Column:
-        aa, bb = acc["aa"].cast("double"), acc["bb"].cast("double")
-        return (
-            F.when((aa == 0) & (bb == 0), F.lit(1.0))
-            .when((aa == 0) | (bb == 0), F.lit(0.0))
-            .otherwise(acc["ab"].cast("double") / F.sqrt(aa * bb))
+
+def bag_dot(a: Column, b: Column) -> Column:
+    """Dot product of two bags.
+
+    Each shared term is looked up in both bags, which suits the short bags of
+    utterances; bags sharing more than ``LOOKUP_TERMS`` terms are merged.
+    """
+
+    def from_shared(shared: Column) -> Column:
+        looked_up = F.aggregate(
+            shared,
+            F.lit(0.0),
+            lambda total, t: total + _count_in(a, t).cast("double") * _count_in(b, t),
         )
+        few = F.size(shared) <= LOOKUP_TERMS
+        return F.when(few, looked_up).otherwise(_merged_dot(a, b))
+
+    return let(F.array_intersect(a["terms"], b["terms"]), from_shared)
+
 
-    return F.aggregate(tagged, start, read, finish)
+def bag_cosine(a: Column, b: Column) -> Column:
+    """Cosine of two bags. Two empty bags are equal (1.0); one empty bag
+    matches nothing (0.0)."""
+    aa, bb = a["squares"], b["squares"]
+    return (
+        F.when((aa == 0) & (bb == 0), F.lit(1.0))
+        .when((aa == 0) | (bb == 0), F.lit(0.0))
+        .otherwise(bag_dot(a, b) / F.sqrt(aa * bb))
+    )

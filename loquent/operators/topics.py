@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loquent.functions.text import tokens
-from loquent.functions.vectors import bag_cosine, cosine_from_parts, dot, norm
+from loquent.functions.vectors import bag, bag_cosine, cosine_from_parts, dot, norm
 from loquent.plans.ordered import (
     CHUNK_SIZE,
     attach,
@@ -60,7 +60,7 @@ def adjacent_distance(
     The first segment of a video has none (null).
     """
     if embedding is None:
-        code = tokens(F.col("text"))
+        code = bag(tokens(F.col("text")))
     else:
         vector = F.col(embedding)
         code = F.struct(vector.alias("vector"), norm(vector).alias("norm"))
