@@ -63,7 +63,7 @@ def running_sum(
     return (
         local.join(totals, group)
         .withColumn(out, F.col("_before") + F.col("_local"))
-        .drop(CHUNK, "_value", "_local", "_before")
+        .select(*df.columns, out)
     )
 
 
@@ -82,7 +82,8 @@ def attach(
     """
     chunked = with_chunk(df, order, size)
     per_chunk = chunked.select(*by, CHUNK).distinct().join(values, list(by))
-    return chunked.join(per_chunk, [*by, CHUNK], "left").drop(CHUNK)
+    added = [c for c in values.columns if c not in by]
+    return chunked.join(per_chunk, [*by, CHUNK], "left").select(*df.columns, *added)
 
 
 def with_previous(

@@ -30,4 +30,5 @@ def salted_join(
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     copies = right.withColumn("_salt", F.explode(every_salt))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    added = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
+    return salted.join(copies, [*on, "_salt"], how).select(*left.columns, *added)
