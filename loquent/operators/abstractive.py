@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.text import word_count, words
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
+from loquent.session import write_out
 
 #: Batches of (video_id, topic_key, prompt) in, (video_id, topic_key, summary)
 #: out; called once per partition, so a client is opened once per partition.
@@ -121,11 +122,19 @@ def hook_summary(
     summarise: BatchSummariser,
     *,
     instruction: str = INSTRUCTION,
+    partitions: int | None = None,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
-    """(video_id, topic_key, summary) from a caller's batch function."""
+    """(video_id, topic_key, summary) from a caller's batch function.
+
+    ``partitions`` sets how many partitions, and so how many clients, share the
+    prompts. Prompts are few bytes for much work, so Spark would choose too few.
+    The answers are written out: they are costly and used more than once.
+    """
     prompts = summary_prompt(segments, instruction=instruction, size=size)
-    return prompts.repartition(*_TOPIC).mapInPandas(summarise, _SUMMARY_SCHEMA)
+    if partitions is not None:
+        prompts = prompts.repartition(partitions, *_TOPIC)
+    return write_out(prompts.mapInPandas(summarise, _SUMMARY_SCHEMA), "summaries")
 
 
 def topic_summary(
@@ -133,6 +142,7 @@ def topic_summary(
     *,
     summarise: BatchSummariser | None = None,
     instruction: str = INSTRUCTION,
+    partitions: int | None = None,
     n_words: int = LEAD_WORDS,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
@@ -141,7 +151,11 @@ def topic_summary(
         per_topic = lead_summary(segments, n_words=n_words)
     else:
         per_topic = hook_summary(
-            segments, summarise, instruction=instruction, size=size
+            segments,
+            summarise,
+            instruction=instruction,
+            partitions=partitions,
+            size=size,
         )
     keyed = with_topic_key(segments).select(*_TOPIC, "segment_id")
     spread = attach(keyed, per_topic, _TOPIC, "segment_id", size=size)

@@ -42,7 +42,10 @@ def process_segments(
     warehouse.delete_videos(new, ("entities", "segments"))
 
     columns = ["video_id", *(["position"] if "position" in new.columns else [])]
-    mine = salted_join(segments, new.select(columns), ["video_id"], ["segment_id"])
+    mine = write_out(
+        salted_join(segments, new.select(columns), ["video_id"], ["segment_id"]),
+        "new_segments",
+    )
     if "start_time" not in segments.columns:
         mine = with_times(mine)
     placed = global_segment_ids(

@@ -39,7 +39,7 @@ def global_segment_ids(
     else:
         ordinal, chunk = F.col(position), size
     sizes = segments.groupBy("video_id").agg(
-        F.count("*").alias("_size"), F.first(ordinal).alias("_ordinal")
+        F.count("*").alias("_size"), F.min(ordinal).alias("_ordinal")
     )
     offsets = running_sum(
         sizes,

@@ -78,6 +78,7 @@ class TopicSegmenter:
 class AbstractiveSummarizer:
     summarise: BatchSummariser | None = None
     instruction: str = INSTRUCTION
+    partitions: int | None = None
     n_words: int = LEAD_WORDS
     name: str = ABSTRACTIVE
 
@@ -86,6 +87,7 @@ class AbstractiveSummarizer:
             segments,
             summarise=self.summarise,
             instruction=self.instruction,
+            partitions=self.partitions,
             n_words=self.n_words,
         )
 

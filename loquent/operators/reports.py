@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.reporting import averages_line, entity_line
 from loquent.functions.text import format_time, prefix, title_or_default
+from loquent.plans.skew import restrict_to_videos
 
 MAX_TOPICS_SHOWN = 30
 TIMELINE_PREFIX = 160
@@ -21,7 +22,7 @@ def in_videos(df: DataFrame, ids: Sequence[str] | DataFrame | None) -> DataFrame
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        return df.join(ids.select("video_id").distinct(), "video_id", "left_semi")
+        return restrict_to_videos(df, ids)
     return df.filter(F.col("video_id").isin(list(ids)))
 
 

@@ -32,3 +32,16 @@ def salted_join(
     copies = right.withColumn("_salt", F.explode(every_salt))
     added = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
     return salted.join(copies, [*on, "_salt"], how).select(*left.columns, *added)
+
+
+def restrict_to_videos(
+    df: DataFrame, keys: DataFrame, how: str = "left_semi"
+) -> DataFrame:
+    """Rows of ``df`` whose video is (left_semi) or is not (left_anti) in ``keys``.
+
+    A video with very many segments is spread over tasks by segment.
+    """
+    names = keys.select("video_id").distinct()
+    if "segment_id" not in df.columns:
+        return df.join(names, "video_id", how)
+    return salted_join(df, names, ["video_id"], ["segment_id"], how)

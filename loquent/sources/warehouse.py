@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loquent import model
+from loquent.plans.skew import restrict_to_videos
 from loquent.session import write_out
 
 #: Part of the stored layout; must not change for an existing warehouse.
@@ -167,16 +168,13 @@ class Warehouse:
         wanted = {r[0] for r in keys.select(BUCKET).distinct().collect()}
         for name in names:
             rows = self._scan(name).filter(F.col(BUCKET).isin(sorted(wanted)))
-            hit = rows.join(keys.select("video_id"), "video_id", "left_semi")
+            hit = restrict_to_videos(rows, keys)
             touched = {r[0] for r in hit.select(BUCKET).distinct().collect()}
             if not touched:
                 continue
             old = self._scan(name).filter(F.col(BUCKET).isin(sorted(touched)))
             kept = write_out(
-                old.join(keys.select("video_id"), "video_id", "left_anti").select(
-                    old.columns
-                ),
-                name,
+                restrict_to_videos(old, keys, "left_anti").select(old.columns), name
             )
             left = {r[0] for r in kept.select(BUCKET).distinct().collect()}
             self._writer(self._laid_out(kept.drop(BUCKET))).mode("overwrite").option(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loquent.operators.batch import process_segments
@@ -33,8 +34,10 @@ def incremental_ingest(
     """
 
     def handle(batch: DataFrame, _: int) -> None:
-        # One row per video: copies are merged before anything is exploded.
-        videos = batch.dropDuplicates(["video_id"])
+        # One row per video, the same one however often this is worked out;
+        # copies are merged before they are sent and before any text is split.
+        copy = F.min(F.struct("url", "title", "text")).alias("copy")
+        videos = batch.groupBy("video_id").agg(copy).select("video_id", "copy.*")
         store(
             warehouse,
             videos.select("video_id", "url", "title"),

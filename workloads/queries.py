@@ -16,6 +16,8 @@ from loquent.functions.vectors import dense_cosine
 from loquent.operators import abstractive, batch, cooccurrence, entities, extractive
 from loquent.operators import graph, ids, registry, reports, topics
 from loquent.operators.enrich import enrich_segments
+from loquent.plans.ordered import attach
+from loquent.plans.skew import salted_join
 from loquent.session import scratch_path, write_out
 from loquent.sources import transcripts
 from loquent.streaming.ingest import incremental_ingest
@@ -66,13 +68,13 @@ def url_list_source(spark, folder):
 
 @query("json_segments")
 def json_segments(spark, folder):
-    # One JSON array per conversation and line, read back as rows.
+    # Lines of JSON arrays, each with up to 256 turns, read back as rows.
     turn = F.struct(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("segment_id"), "text"
     )
     arrays = (
         D.table(spark, folder, "conversations")
-        .groupBy("conv_id")
+        .groupBy("conv_id", F.expr("turn div 256").alias("part"))
         .agg(F.to_json(F.sort_array(F.collect_list(turn))).alias("value"))
     )
     path = scratch_path(spark, "json")
@@ -87,7 +89,12 @@ def _stored_talks(spark, folder):
     videos = D.talk_videos(spark, folder)
     placed = ids.global_segment_ids(
         transcripts.with_times(
-            turns.join(videos.select("video_id", "position"), "video_id")
+            salted_join(
+                turns,
+                videos.select("video_id", "position"),
+                ["video_id"],
+                ["segment_id"],
+            )
         ),
         position="position",
     )
@@ -489,7 +496,7 @@ def dense_cosine_to_mean(spark, folder):
         .agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("parts"))
         .select("video_id", F.transform("parts", lambda p: p["m"]).alias("mean"))
     )
-    scored = vectors.join(means, "video_id").select(
+    scored = attach(vectors, means, ["video_id"], "segment_id").select(
         "video_id",
         "segment_id",
         dense_cosine(F.col("embedding"), F.col("mean")).alias("cosine"),
