@@ -44,7 +44,10 @@ def entity_pairs(entities: DataFrame, *, block: int = BLOCK) -> DataFrame:
     before they are sent, and pairs are made inside the row. A segment with
     more than ``block`` texts is cut into blocks; every two blocks become a row
     of their own and are spread over the cluster before any pair is made, so no
-    task makes more than block * block pairs for one row.
+    task makes more than block * block pairs for one row. What one task gathers
+    is a segment's distinct texts, however often they are repeated; their pairs
+    are quadratic in that number, so a segment whose pairs can be stored at all
+    has texts that fit easily.
     """
     texts = entities.groupBy(*_SEGMENT).agg(
         F.sort_array(F.collect_set("entity_text")).alias("texts")

@@ -26,6 +26,17 @@ def with_chunk(df: DataFrame, order: str, size: int = CHUNK_SIZE) -> DataFrame:
     return df.withColumn(CHUNK, F.expr(f"`{order}` div {size}"))
 
 
+def _sums_before(totals: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """``_total`` replaced by ``_before``: the sum of the totals before it."""
+    earlier = (
+        Window.partitionBy(*by)
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
+    return totals.withColumn("_before", before).drop("_total")
+
+
 def running_sum(
     df: DataFrame,
     by: Sequence[str],
@@ -38,8 +49,9 @@ def running_sum(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over this row and all earlier ones.
 
-    ``by`` may be empty for one running sum over everything; the window over
-    the chunk totals then has one row per ``size`` consecutive ids.
+    ``by`` may be empty for one running sum over everything. The chunk totals
+    are then summed in chunks once more, so that the one window without a
+    partition has a row per ``size * size`` consecutive ids.
     """
     chunked = with_chunk(df, order, size).withColumn("_value", value)
     group = [*by, CHUNK]
@@ -48,20 +60,21 @@ def running_sum(
         .orderBy(order, *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = (
-        Window.partitionBy(*by)
-        .orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = (
-        chunked.groupBy(*group)
-        .agg(F.sum("_value").alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .drop("_total")
-    )
+    totals = chunked.groupBy(*group).agg(F.sum("_value").alias("_total"))
+    if by:
+        sums = _sums_before(totals, by, CHUNK)
+    else:
+        parts = with_chunk(totals.withColumnRenamed(CHUNK, "_part"), "_part", size)
+        wholes = parts.groupBy(CHUNK).agg(F.sum("_total").alias("_total"))
+        outer = _sums_before(wholes, [], CHUNK).withColumnRenamed("_before", "_outer")
+        inner = _sums_before(parts, [CHUNK], "_part").join(outer, CHUNK)
+        sums = inner.select(
+            F.col("_part").alias(CHUNK),
+            (F.col("_before") + F.col("_outer")).alias("_before"),
+        )
     local = chunked.withColumn("_local", F.sum("_value").over(inside))
     return (
-        local.join(totals, group)
+        local.join(sums, group)
         .withColumn(out, F.col("_before") + F.col("_local"))
         .select(*df.columns, out)
     )
