@@ -440,7 +440,7 @@ def _sql(final: str) -> str:
 
 _pages = ("example.com", "blog.ththan.example.net")
 _metrics = (
-    "round(textrank_score, 6) AS textrank_score, "
+    "textrank_score, "
     "round(compression_ratio, 6) AS compression_ratio, "
     "round(semantic_similarity, 6) AS semantic_similarity"
 )
@@ -637,7 +637,7 @@ FINALS: dict[str, str] = {
     "extractive_summary": """
         SELECT video_id, segment_id, summary, n_sentences FROM doc_best""",
     "sentence_scores": """
-        SELECT video_id, segment_id, position, sentence, round(score, 6) AS score
+        SELECT video_id, segment_id, position, sentence, score
         FROM doc_sscore""",
     "word_count": f"""
         SELECT video_id, segment_id, {word_count('text')} AS words FROM doc_seg""",
