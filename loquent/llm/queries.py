@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquent.llm import bpe, exact, langid, mixing, simhash, toxicity
+from loquent.llm import bpe, exact, langid, mixing, pii, quality, simhash, toxicity
 from loquent.llm.common import table
+from loquent.session import write_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +86,36 @@ def toxicity_model(spark: SparkSession, folder: str, docs: DataFrame) -> toxicit
     labels = table(spark, folder, "labels")
     usable = remainder(F.col("doc_id"), 5) != 0
     return toxicity.fit(toxicity.sample(docs, labels, usable))
+
+
+@query("op4_quality")
+def op4_quality(spark, folder):
+    stats = quality.with_figures(documents(spark, folder)).drop("text")
+    stats = write_out(stats, "figures")
+    rules = quality.fit(stats, table(spark, folder, "labels"))
+    failed = quality.base_failed()
+    return stats.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & quality.verdict(rules)).alias("kept"),
+    )
+
+
+@query("op5_pii")
+def op5_pii(spark, folder):
+    found = pii.find_personal(documents(spark, folder))
+    counts = [
+        F.size(F.filter("base", pii.of_kind(k))).cast("long").alias(f"n_{k}")
+        for k in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("found")).alias("spans"),
+    )
