@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquent.llm import bpe, exact, langid, mixing, pii, quality, simhash, toxicity
+from loquent.llm import bpe, exact, langid, mixing, pii, quality, simhash, toxicity, warc
 from loquent.llm.common import table
 from loquent.session import write_out
 
@@ -119,3 +119,15 @@ def op5_pii(spark, folder):
         F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
         pii.joined(F.col("found")).alias("spans"),
     )
+
+
+@query("op1_warc")
+def op1_warc(spark, folder):
+    records = warc.archive_pages(table(spark, folder, "pages"))
+    return records.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
