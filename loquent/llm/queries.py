@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquent.llm import bpe, exact, langid, mixing, pii, quality, simhash, toxicity, warc
+from loquent.llm import bpe, exact, katz, langid, mixing, pii, quality, simhash, toxicity, warc
 from loquent.llm.common import table
 from loquent.session import write_out
 
@@ -131,3 +131,8 @@ def op1_warc(spark, folder):
         "record_type",
         warc.page_id("refers_to").alias("refers_to"),
     )
+
+
+@query("op8_katz")
+def op8_katz(spark, folder):
+    return katz.score(documents(spark, folder), remainder(F.col("doc_id"), 10) == 0)
