@@ -11,7 +11,7 @@ d are Good-Turing discounts (1 above five occurrences); alpha(h) and b are what
 makes each distribution sum to one exactly.
 
 The work is dealt over blocks of documents and shards of n-grams. A block (some
-tens of megabytes of text) holds its distinct words once, as hashes, and its
+megabytes of text) holds its distinct words once, as hashes, and its
 tokens as places in that list, so a word or pair travels once per block however
 often it occurs. Shards add up the blocks' counts and answer with what a block
 or a document needs. Word tables are written by shard. Pairs are sharded by
@@ -37,7 +37,7 @@ from loquent.llm.common import whole
 from loquent.session import write_out
 
 #: Bytes of text in a block, and tokens of training per shard, about.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 10 << 20
 SHARD_TOKENS = 2 << 20
 #: Good-Turing: counts above this are taken as they are.
 RELIABLE = 5
@@ -307,7 +307,7 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
         lengths = unpack(row["lengths"]).astype(np.int64)
         held = unpack(row["held"]).astype(bool)
         stream = unpack(row["stream"]).astype(np.int64)
-        docs = np.repeat(np.arange(len(lengths)), lengths)
+        docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         n_known = np.bincount(docs, counts[stream] > 0, len(lengths))
         base = np.bincount(docs, known.base(counts)[stream], len(lengths))
         table = np.stack([lengths, n_known, base, held, unpack(row["known"])]).astype(float)
@@ -322,13 +322,20 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
         history[1:] = stream[:-1] + 1
         history[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = 0
         width = len(keys)
-        pairs, at = np.unique(history * width + stream, return_inverse=True)
-        del history
+        history *= width
+        history += stream
+        del stream
+        order = np.argsort(history, kind="stable")
+        history = history[order]
+        new = np.concatenate([[True], history[1:] != history[:-1]])
+        pairs = history[new]
+        at = np.cumsum(new, dtype=np.int32) - 1
+        ordered, first = docs[order], np.flatnonzero(new)
+        del history, new
         h, w = pairs // width, pairs % width
-        trained = np.bincount(at, ~held[docs], len(pairs)).astype(np.int64)
+        trained = np.bincount(at, ~held[ordered], len(pairs)).astype(np.int64)
         repeats = np.bincount(at, minlength=len(pairs))
-        order = np.argsort(at, kind="stable")
-        ordered, first = docs[order], np.concatenate([[0], np.cumsum(repeats)])
+        del at, order, docs
         own_keys = np.concatenate([[START], keys])[h]
         # By ranges of hashes: of the history, or of the next word if it is hot.
         dealt_by = np.where(np.isin(own_keys, hot_keys) | (h == 0), keys[w], own_keys)
@@ -343,7 +350,9 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
             if not len(mine):
                 continue
             own, start, size = np.unique(h[mine], return_index=True, return_counts=True)
-            spans = [ordered[first[i] : first[i + 1]] for i in mine]
+            size_of = repeats[mine]
+            shift = first[mine] - np.concatenate([[0], np.cumsum(size_of)[:-1]])
+            events = np.repeat(shift, size_of) + np.arange(int(size_of.sum()))
             yield {
                 "shard": s,
                 "block": row["block"],
@@ -353,8 +362,8 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
                 "codes": pack(codes[w[mine]]),
                 "words": pack(counts[w[mine]]),
                 "counts": pack(trained[mine]),
-                "repeats": pack(repeats[mine]),
-                "docs": pack(np.concatenate(spans)),
+                "repeats": pack(size_of),
+                "docs": pack(ordered[events]),
             }
 
     names = _names(REQUEST)
