@@ -11,10 +11,10 @@ d are Good-Turing discounts (1 above five occurrences); alpha(h) and b are what
 makes each distribution sum to one exactly.
 
 The work is dealt over blocks of documents and shards of n-grams. A block (some
-megabytes of text) holds its distinct words once, as hashes, and its
-tokens as places in that list, so a word or pair travels once per block however
-often it occurs. Shards add up the blocks' counts and answer with what a block
-or a document needs. Word tables are written by shard. Pairs are sharded by
+megabytes of text) holds its distinct words once, as hashes, and its tokens as
+places in that list, so a word or pair travels once per block however often it
+occurs. Shards add up the blocks' counts and answer with what a block or a
+document needs. Word tables are written by shard. Pairs are sharded by
 history; a history with over a thousandth of all tokens is spread over all shards
 by its next word, and its few sums are put together at the end.
 """
@@ -49,7 +49,7 @@ _SEED = 42
 
 BLOCK = (
     "block STRING, docs LONG, ids BINARY, known BINARY, held BINARY, lengths BINARY,"
-    " keys BINARY, counts BINARY, stream BINARY"
+    " keys BINARY, counts BINARY, totals BINARY, stream BINARY"
 )
 
 
@@ -84,6 +84,11 @@ def word_hashes(text: str) -> list[int]:
     return [digest(w, _SEED) for w in words]
 
 
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    """Places of the counts, largest count first."""
+    return np.argsort(-counts.astype(np.int64), kind="stable")
+
+
 def _block(name: str, docs: list[tuple]) -> dict:
     lengths = np.array([len(h) for _, _, h in docs], np.int64)
     held = np.array([h for _, h, _ in docs], bool)
@@ -92,6 +97,10 @@ def _block(name: str, docs: list[tuple]) -> dict:
     keys, stream = np.unique(tokens, return_inverse=True)
     training = np.repeat(~held, lengths + 1)
     counts = np.bincount(stream[training], minlength=len(keys))
+    totals = np.bincount(stream)
+    # Tokens are places in the order of frequency, which makes them short.
+    places = np.empty(len(keys), np.uint32)
+    places[_by_count(totals)] = np.arange(len(keys), dtype=np.uint32)
     ids = np.array([0 if i is None else i for i, _, _ in docs], np.int64)
     return {
         "block": name,
@@ -102,7 +111,8 @@ def _block(name: str, docs: list[tuple]) -> dict:
         "lengths": pack(lengths + 1),
         "keys": keys.tobytes(),
         "counts": pack(counts),
-        "stream": pack(stream.astype(np.uint32)),
+        "totals": pack(totals),
+        "stream": pack(places[stream]),
     }
 
 
@@ -135,8 +145,9 @@ def _frames(run: Callable[[dict], Iterator[dict]]) -> Callable:
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.to_dict("records"):
-                for out in run(row):
-                    yield pd.DataFrame([out])
+                rows = list(run(row))
+                if rows:
+                    yield pd.DataFrame(rows)
 
     return mapped
 
@@ -161,7 +172,7 @@ def _histogram(counts: np.ndarray) -> list[int]:
 
 WORDS = (
     "shard INT, block STRING, counts BINARY, ranks BINARY, histogram ARRAY<LONG>,"
-    " tokens LONG, distinct_words LONG, hot ARRAY<STRUCT<key:STRING,n:LONG>>, ends LONG"
+    " tokens LONG, distinct_words LONG, hot ARRAY<STRUCT<key:STRING,rank:LONG,n:LONG>>, ends LONG"
 )
 
 
@@ -183,16 +194,16 @@ def count_words(blocks: DataFrame, shards: int) -> DataFrame:
         keys, at = np.unique(np.concatenate(own), return_inverse=True)
         weights = np.concatenate([unpack(c) for c in frame["counts"]])
         totals = np.bincount(at, weights, len(keys)).astype(np.int64)
-        # Words of training texts come first, so their ranks stay small.
+        # Frequent words come first, so their ranks are short.
         ranks = np.empty(len(keys), np.int64)
-        ranks[np.argsort(totals == 0, kind="stable")] = np.arange(len(keys))
+        ranks[_by_count(totals)] = np.arange(len(keys))
         rows, low = [], 0
         for block, k in zip(frame["block"], own, strict=True):
             place = at[low : low + len(k)]
             low += len(k)
             rows.append({"shard": shard, "block": block, "counts": pack(totals[place]), "ranks": pack(ranks[place])})
         # At most 1 / HOT_SHARE words hold such a share of all tokens.
-        top = np.argsort(-totals)[: int(2 / HOT_SHARE)]
+        top = _by_count(totals)[: int(2 / HOT_SHARE)]
         ends = totals[keys == END]
         rows.append(
             {
@@ -200,7 +211,11 @@ def count_words(blocks: DataFrame, shards: int) -> DataFrame:
                 "histogram": _histogram(totals[totals > 0]),
                 "tokens": int(totals.sum()),
                 "distinct_words": int((totals > 0).sum()),
-                "hot": [{"key": str(keys[i]), "n": int(totals[i])} for i in top if totals[i] > 1000],
+                "hot": [
+                    {"key": str(keys[i]), "rank": r, "n": int(totals[i])}
+                    for r, i in enumerate(top.tolist())
+                    if totals[i] > 1000
+                ],
                 "ends": int(ends[0]) if len(ends) else 0,
             }
         )
@@ -237,7 +252,9 @@ class Unigrams:
     discount: tuple[float, ...]
     unseen: float
     scale: float
+    #: Hashes and codes of hot histories.
     hot: tuple[int, ...]
+    hot_codes: tuple[int, ...]
 
     def log10(self, counts: np.ndarray) -> np.ndarray:
         """log10 p(w) by the counts of words."""
@@ -253,7 +270,7 @@ class Unigrams:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct_words + 1)))
 
 
-def unigrams(words: DataFrame) -> Unigrams:
+def unigrams(words: DataFrame, shards: int) -> Unigrams:
     sums = words.filter("block is null").agg(
         *[F.sum(F.element_at("histogram", i + 1)).alias(f"n{i + 1}") for i in range(RELIABLE + 1)],
         F.sum("tokens").alias("tokens"),
@@ -270,22 +287,27 @@ def unigrams(words: DataFrame) -> Unigrams:
     limit = max(1000, int(HOT_SHARE * tokens))
     hot = (
         words.filter("block is null")
-        .select(F.inline("hot"))
+        .select("shard", F.inline("hot"))
         .filter(F.col("n") > limit)
-        .select("key")
         .collect()
     )
-    keys = sorted(int(r["key"]) for r in hot)
-    return Unigrams(tokens, sums["words"] or 0, sums["texts"] or 0, tuple(d), unseen, scale, tuple(keys))
+    keys = tuple(int(r["key"]) for r in hot)
+    codes = tuple(r["rank"] * shards + r["shard"] + 1 for r in hot)
+    return Unigrams(
+        tokens, sums["words"] or 0, sums["texts"] or 0, tuple(d), unseen, scale, keys, codes
+    )
 
 
 def _answers(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of a block with the counts and codes that the shards answered."""
+    """Keys of a block with the counts and codes that the shards answered.
+
+    A word's code is unique among all words; 0 stands for the start of a text.
+    """
     keys = np.frombuffer(row["keys"], np.uint64)
     counts, codes = [], []
     for part in sorted(row["answers"], key=lambda p: p["shard"]):
         counts.append(unpack(part["counts"]).astype(np.int64))
-        codes.append(unpack(part["ranks"]).astype(np.int64) * row["shards"] + part["shard"])
+        codes.append(unpack(part["ranks"]).astype(np.int64) * row["shards"] + part["shard"] + 1)
     none = [np.zeros(0, np.int64)]
     return keys, np.concatenate(counts or none), np.concatenate(codes or none)
 
@@ -306,7 +328,7 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
         keys, counts, codes = _answers(row)
         lengths = unpack(row["lengths"]).astype(np.int64)
         held = unpack(row["held"]).astype(bool)
-        stream = unpack(row["stream"]).astype(np.int64)
+        stream = _by_count(unpack(row["totals"]))[unpack(row["stream"])]
         docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         n_known = np.bincount(docs, counts[stream] > 0, len(lengths))
         base = np.bincount(docs, known.base(counts)[stream], len(lengths))
@@ -343,6 +365,7 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
             np.array([(s << 64) // shards for s in range(shards)], np.uint64), dealt_by, "right"
         ) - 1
         history_counts = np.concatenate([[known.texts], counts])
+        history_codes = np.concatenate([[0], codes])
         by_shard = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
         for s in range(shards):
@@ -356,7 +379,7 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
             yield {
                 "shard": s,
                 "block": row["block"],
-                "histories": own_keys[mine[start]].tobytes(),
+                "histories": pack(history_codes[own]),
                 "sizes": pack(size),
                 "starts": pack(history_counts[own]),
                 "codes": pack(codes[w[mine]]),
@@ -376,7 +399,7 @@ def request_pairs(answered: DataFrame, known: Unigrams, shards: int) -> DataFram
 
 
 PARTIAL = (
-    "block STRING, docs BINARY, sums BINARY, seen BINARY, histogram ARRAY<LONG>,"
+    "shard INT, block STRING, docs BINARY, sums BINARY, seen BINARY, histogram ARRAY<LONG>,"
     " histories BINARY, figures BINARY, at BINARY, unseen_docs BINARY, unseen BINARY,"
     " hot BINARY, hot_figures BINARY, ids BINARY, base BINARY"
 )
@@ -390,13 +413,13 @@ def score_pairs(requests: DataFrame, known: Unigrams) -> DataFrame:
     complete when all shards are done; seen pairs are therefore also counted by
     their number of occurrences.
     """
-    hot_keys = np.array([int(START), *known.hot], np.uint64)
+    hot_codes = np.array([0, *known.hot_codes])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         parts, rows = [], []
         known_rows = frame[frame["base"].notna()]
         for row in known_rows.to_dict("records"):
-            rows.append({c: row[c] for c in ("block", "ids", "base")})
+            rows.append({c: row[c] for c in ("shard", "block", "ids", "base")})
         frame = frame[frame["base"].isna()]
         if not len(frame):
             return pd.DataFrame(rows, columns=_names(PARTIAL)).astype(object)
@@ -404,8 +427,8 @@ def score_pairs(requests: DataFrame, known: Unigrams) -> DataFrame:
             sizes = unpack(row["sizes"])
             parts.append(
                 (
-                    np.repeat(np.frombuffer(row["histories"], np.uint64), sizes),
-                    unpack(row["codes"]).astype(np.uint64),
+                    np.repeat(unpack(row["histories"]).astype(np.int64), sizes),
+                    unpack(row["codes"]).astype(np.int64),
                     unpack(row["counts"]).astype(np.int64),
                     unpack(row["words"]).astype(np.int64),
                     np.repeat(unpack(row["starts"]).astype(np.int64), sizes),
@@ -429,7 +452,7 @@ def score_pairs(requests: DataFrame, known: Unigrams) -> DataFrame:
         for r in range(1, RELIABLE + 1):
             figures[r - 1] = np.bincount(of, total == r, len(histories))
         figures[RELIABLE] = np.bincount(of, p * seen, len(histories))
-        is_hot = np.isin(histories, hot_keys)
+        is_hot = np.isin(histories, hot_codes)
         aside = is_hot | (figures[:RELIABLE].sum(0) == 0)
         figures[RELIABLE + 1] = c + aside
         figures[RELIABLE + 2] = aside
@@ -452,11 +475,12 @@ def score_pairs(requests: DataFrame, known: Unigrams) -> DataFrame:
             own, at = np.unique(of[lost], return_inverse=True)
             rows.append(
                 {
+                    "shard": row["shard"],
                     "block": row["block"],
                     "docs": pack(present),
                     "sums": sums[present].tobytes(),
                     "seen": pack(small[:, present].ravel()),
-                    "histories": histories[own].tobytes(),
+                    "histories": pack(histories[own]),
                     "figures": figures[:, own].tobytes(),
                     "at": pack(at),
                     "unseen_docs": pack(docs[~there]),
@@ -466,7 +490,7 @@ def score_pairs(requests: DataFrame, known: Unigrams) -> DataFrame:
         rows.append(
             {
                 "histogram": _histogram(total[seen]),
-                "hot": histories[is_hot].tobytes(),
+                "hot": pack(histories[is_hot]),
                 "hot_figures": figures[:, is_hot].tobytes(),
             }
         )
@@ -488,42 +512,54 @@ def log10_alpha(figures: np.ndarray, discount: Sequence[float]) -> np.ndarray:
     return np.log10((left + aside[0]) / c[0]) - np.log10(1 - p[0])
 
 
+SCORES = (
+    "doc_id LONG, held_out BOOLEAN, n_tokens LONG, n_known LONG, base_score DOUBLE,"
+    " score DOUBLE"
+)
+
+
 def _finish(discount: Sequence[float], hot: dict[int, np.ndarray]) -> Callable:
+    """Scores of a block's documents from what the shards say of its pairs."""
     log_d = np.log10(np.array(discount))
 
-    def run(row: dict) -> Iterator[dict]:
-        docs = unpack(row["docs"]).astype(np.int64)
-        seen = unpack(row["seen"]).reshape(RELIABLE, -1).astype(float)
-        score = np.frombuffer(row["sums"]) + log_d @ seen
-        histories = np.frombuffer(row["histories"], np.uint64)
-        figures = np.frombuffer(row["figures"]).reshape(RELIABLE + 3, -1).copy()
-        for i, h in enumerate(histories.tolist()):
-            if h in hot:
-                figures[:, i] = hot[h]
-        lost = unpack(row["unseen_docs"]).astype(np.int64)
-        alpha = log10_alpha(figures, discount)
-        unseen = np.frombuffer(row["unseen"]) + alpha[unpack(row["at"])] if len(lost) else np.zeros(0)
-        n = int(max(docs.max(initial=-1), lost.max(initial=-1))) + 1
-        total = np.zeros(n)
-        np.add.at(total, docs, score)
-        total += np.bincount(lost, unseen, n)
-        touched = np.unique(np.concatenate([docs, lost]))
-        yield {"block": row["block"], "place": touched, "part": total[touched]}
-
-    def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                for out in run(row):
-                    yield pd.DataFrame(out)
+    def finish(frame: pd.DataFrame) -> pd.DataFrame:
+        own = frame[frame["base"].notna()].iloc[0]
+        n, n_known, base, held, known = np.frombuffer(own["base"]).reshape(5, -1)
+        ids = pd.array(np.frombuffer(own["ids"], np.int64).copy(), dtype="Int64")
+        ids[known == 0] = pd.NA
+        score = np.zeros(len(n))
+        for row in frame[frame["base"].isna()].sort_values("shard").to_dict("records"):
+            docs = unpack(row["docs"]).astype(np.int64)
+            seen = unpack(row["seen"]).reshape(RELIABLE, -1).astype(float)
+            score[docs] += np.frombuffer(row["sums"]) + log_d @ seen
+            lost = unpack(row["unseen_docs"]).astype(np.int64)
+            if len(lost):
+                figures = np.frombuffer(row["figures"]).reshape(RELIABLE + 3, -1).copy()
+                for i, h in enumerate(unpack(row["histories"]).tolist()):
+                    if h in hot:
+                        figures[:, i] = hot[h]
+                alpha = log10_alpha(figures, discount)[unpack(row["at"])]
+                unseen = np.frombuffer(row["unseen"]) + alpha
+                score += np.bincount(lost, unseen, len(n))
+        return pd.DataFrame(
+            {
+                "doc_id": ids,
+                "held_out": held > 0,
+                "n_tokens": n.astype(np.int64),
+                "n_known": n_known.astype(np.int64),
+                "base_score": base,
+                "score": score,
+            }
+        )
 
-    return mapped
+    return finish
 
 
 def _hot_figures(partials: DataFrame) -> dict[int, np.ndarray]:
     """Figures of hot histories added up over shards: at most 1 / HOT_SHARE + 1."""
 
     def rows(row: dict) -> Iterator[dict]:
-        keys = np.frombuffer(row["hot"], np.uint64)
+        keys = unpack(row["hot"])
         figures = np.frombuffer(row["hot_figures"]).reshape(RELIABLE + 3, -1)
         for key, own in zip(keys.tolist(), figures.T, strict=True):
             yield {"key": str(key), **{f"f{i}": float(x) for i, x in enumerate(own)}}
@@ -539,31 +575,6 @@ def _hot_figures(partials: DataFrame) -> dict[int, np.ndarray]:
     }
 
 
-SCORES = (
-    "block STRING, place LONG, doc_id LONG, held_out BOOLEAN, n_tokens LONG,"
-    " n_known LONG, base_score DOUBLE"
-)
-
-
-def _base_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for row in frame.to_dict("records"):
-            n, n_known, base, held, known = np.frombuffer(row["base"]).reshape(5, -1)
-            ids = pd.array(np.frombuffer(row["ids"], np.int64), dtype="Int64")
-            ids[known == 0] = pd.NA
-            yield pd.DataFrame(
-                {
-                    "block": row["block"],
-                    "place": np.arange(len(n)),
-                    "doc_id": ids,
-                    "held_out": held > 0,
-                    "n_tokens": n.astype(np.int64),
-                    "n_known": n_known.astype(np.int64),
-                    "base_score": base,
-                }
-            )
-
-
 def score(
     docs: DataFrame,
     held: Column,
@@ -584,7 +595,7 @@ def score(
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // (6 * shard_tokens)))
     words = write_out(count_words(blocks, shards), "words")
-    known = unigrams(words)
+    known = unigrams(words, shards)
     answers = (
         words.filter("block is not null")
         .groupBy("block")
@@ -597,21 +608,13 @@ def score(
     )
     histogram = [n or 0 for n in sums.first()]
     finish = _finish(discounts(histogram), _hot_figures(partials))
-    parts = (
-        partials.filter("docs is not null")
-        .drop("histogram", "hot", "hot_figures", "ids", "base")
-        .mapInPandas(finish, "block STRING, place LONG, part DOUBLE")
-        .groupBy("block", "place")
-        .agg(F.sum("part").alias("score"))
+    scored = (
+        partials.filter("block is not null")
+        .drop("histogram", "hot", "hot_figures")
+        .groupBy("block")
+        .applyInPandas(finish, SCORES)
     )
-    base = partials.filter("base is not null").select("block", "ids", "base")
-    rows = base.mapInPandas(_base_rows, SCORES)
-    return rows.join(parts, ["block", "place"], "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(known.tokens).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
+    tokens = F.lit(known.tokens).cast("long").alias("train_tokens")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", tokens, "base_score", "score"
     )
