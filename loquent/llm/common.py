@@ -73,3 +73,22 @@ def map_columns(
 def row_of(aggregate: DataFrame) -> dict:
     """The one row of an aggregate over everything."""
     return aggregate.first().asDict()
+
+
+def pick(rows: DataFrame, group: str, most: int, texts: DataFrame) -> list[tuple]:
+    """(text, group) of up to ``most`` rows of each group, picked by a hash.
+
+    ``rows`` has ``doc_id`` and the group; ``texts`` has ``doc_id`` and ``text``.
+    Only identifiers are ordered; texts of the picked ones are then looked up, so
+    at most ``most`` texts per group come to the driver, one per identifier.
+    """
+    found: list[tuple] = []
+    once = rows.select("doc_id", group).distinct()
+    names = sorted(r[group] for r in once.select(group).distinct().collect())
+    for name in names:
+        own = once.filter(F.col(group) == name)
+        chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        joined = texts.join(F.broadcast(chosen.select("doc_id")), "doc_id")
+        least = joined.groupBy("doc_id").agg(F.min("text").alias("text"))
+        found += [(r["text"], name) for r in least.select("text").collect()]
+    return found

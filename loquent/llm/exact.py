@@ -101,13 +101,19 @@ def drop_exact_duplicates(
     The retained row is that of ``exact_duplicates``; where its identifier and
     text are repeated, one of the repeated rows stays.
     """
-    winners = merge_runs(digests(docs, doc_id, text), largest=largest).select(
-        F.col("keep_id").alias("_keep"), *[F.col(k).alias(f"_{k}_kept") for k in KEY]
+    winners = merge_runs(digests(docs, doc_id, text), largest=largest)
+    known, none = F.coalesce("keep_id", F.lit(0)), F.col("keep_id").isNull()
+    winners = winners.select(
+        *[F.col(k).alias(f"_{k}") for k in KEY], known.alias("_known"), none.alias("_none")
     )
-    keyed = docs.select("*", *_key(F.col(text)))
-    same = [F.col(f"_{k}") == F.col(f"_{k}_kept") for k in KEY]
-    found = keyed.join(
-        winners, [*same, F.col(doc_id).eqNullSafe(F.col("_keep"))], "left_semi"
+    own = F.col(doc_id)
+    keyed = docs.select(
+        "*",
+        *_key(F.col(text)),
+        F.coalesce(own, F.lit(0)).alias("_known"),
+        own.isNull().alias("_none"),
     )
-    once = found.dropDuplicates(["_digest", "_bytes", "_check"])
+    # The same columns join and tell repeated rows apart: texts move once.
+    same = [*[f"_{k}" for k in KEY], "_known", "_none"]
+    once = keyed.join(winners, same, "left_semi").dropDuplicates(same)
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])

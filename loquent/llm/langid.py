@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loquent.llm.common import map_columns
+from loquent.llm.common import map_columns, pick
 
 #: Rows of each language that are fitted on at most, and the longest text used.
 SAMPLE_ROWS = 600
@@ -137,12 +137,7 @@ def sample(
     own = own.filter(
         usable & F.col("lang").isNotNull() & (F.char_length("text") <= length)
     )
-    names = [r["lang"] for r in own.select("lang").distinct().collect()]
-    found: list[tuple[str, str]] = []
-    for name in names:
-        one = own.filter(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "text")
-        found += [(r["text"], name) for r in one.limit(rows).select("text").collect()]
-    return found
+    return pick(own, "lang", rows, own.select("doc_id", "text"))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -211,12 +211,21 @@ def drop_near_duplicates(
     one row of it stays; a component without any identifier keeps one row.
     """
     classes = near_duplicates(docs, doc_id, text, radius, shingle)
+    own = F.col("doc_id")
     chosen = (
-        classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_named"), F.col("fp").alias("_chosen"), F.col("root").alias("_root"))
-        .distinct()
+        classes.filter(own.eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("fp").alias("_fp"), F.min("doc_id").alias("named"))
+        .select("_fp", *_known(F.col("named")))
     )
     marked = with_fingerprints(docs, text, shingle, out="_fp")
-    same = (F.col("_fp") == F.col("_chosen")) & F.col(doc_id).eqNullSafe(F.col("_named"))
-    once = marked.join(chosen, same).dropDuplicates(["_root"])
+    marked = marked.select("*", *_known(F.col(doc_id)))
+    # The same columns join and tell repeated rows apart: texts move once.
+    same = ["_fp", "_known", "_none"]
+    once = marked.join(chosen, same, "left_semi").dropDuplicates(same)
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _known(doc_id: Column) -> list[Column]:
+    """An identifier as columns that are never null."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("_known"), doc_id.isNull().alias("_none")]

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loquent.llm.common import map_columns, whole
+from loquent.llm.common import map_columns, pick, whole
 
 #: Words of a window.
 WINDOW = 24
@@ -189,12 +189,8 @@ def sample(
     )
     texts = docs.select(F.col(doc_id).alias("doc_id"), whole(F.col(text)).alias("text"))
     texts = texts.filter(usable & (F.char_length("text") <= length))
-    joined = texts.join(known, F.col("doc_id") == F.col("_key"))
-    picked: list[tuple[str, int]] = []
-    for y in (0, 1):
-        one = joined.filter(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "text").limit(rows)
-        picked += [(r["text"], y) for r in one.select("text").collect()]
-    return picked
+    rows_of = texts.select("doc_id").join(known, F.col("doc_id") == F.col("_key"))
+    return pick(rows_of.filter("_y in (0, 1)"), "_y", rows, texts)
 
 
 def score(
