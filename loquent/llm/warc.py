@@ -328,7 +328,8 @@ class ArchiveReader(DataSourceReader):
                 room = self.size
             groups[-1].append(x.path)
             room -= x.size
-        return [Files(g) for g in groups]
+        # Without any partition Spark would read one without files.
+        return [Files(g) for g in groups or [[]]]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(self.schema)
