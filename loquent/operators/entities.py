@@ -27,6 +27,9 @@ _KEYS = ["video_id", "segment_id"]
 def allowed(types: Column, allowlist: Sequence[str] = ALLOWED_TYPES) -> Column:
     return types.isin(list(allowlist))
 
+#: Tokens of the longest text the default patterns match, "January 5 2024".
+PATTERN_WORDS = 3
+
 
 def _phrases(words: Column, max_words: int) -> Column:
     """All runs of up to ``max_words`` tokens as (position, length, phrase)."""
@@ -62,15 +65,20 @@ def find_mentions(
     gazetteer: DataFrame | None = None,
     *,
     patterns: Mapping[str, Sequence[str]] = DEFAULT_PATTERNS,
-    max_words: int = 3,
+    pattern_words: int = PATTERN_WORDS,
 ) -> DataFrame:
     """Every typed phrase as (video_id, segment_id, position, entity_text,
     entity_type), all types included.
 
-    ``gazetteer`` has (phrase, entity_type) with lower-case phrases of at most
-    ``max_words`` space-separated tokens. A phrase inside a longer matched one
-    is dropped. Matching is on whole tokens.
+    ``gazetteer`` has (phrase, entity_type) with lower-case phrases of
+    space-separated tokens, of any length: the longest phrase says how many
+    tokens are looked at. Patterns match up to ``pattern_words`` tokens. A phrase
+    inside a longer matched one is dropped. Matching is on whole tokens.
     """
+    max_words = pattern_words
+    if gazetteer is not None:
+        longest = F.max(F.size(F.split("phrase", " ")))
+        max_words = max(max_words, gazetteer.agg(longest).first()[0] or 0)
     words = segments.select(*_KEYS, surface_tokens(F.col("text")).alias("_words"))
     phrases = words.select(*_KEYS, F.inline(_phrases(F.col("_words"), max_words)))
     typed = phrases.withColumn("_kinds", _pattern_types(F.col("phrase"), patterns))
@@ -122,10 +130,10 @@ def extract_entities(
     *,
     patterns: Mapping[str, Sequence[str]] = DEFAULT_PATTERNS,
     allowlist: Sequence[str] = ALLOWED_TYPES,
-    max_words: int = 3,
+    pattern_words: int = PATTERN_WORDS,
 ) -> DataFrame:
     """Distinct mentions of the allowed types, 0..n rows per segment."""
     found = find_mentions(
-        segments, gazetteer, patterns=patterns, max_words=max_words
+        segments, gazetteer, patterns=patterns, pattern_words=pattern_words
     )
     return first_mentions(found.filter(allowed(F.col("entity_type"), allowlist)))

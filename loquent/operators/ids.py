@@ -27,7 +27,10 @@ def global_segment_ids(
     start: int = 0,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
-    """Replace local 0-based segment ids by dense ids over all videos.
+    """Replace local segment ids, 0 or more, by ids that are unique over all videos.
+
+    A video takes as many ids as its largest local id says, so gaps stay gaps and
+    no two segments meet; ids are dense where the local ones are.
 
     Videos are numbered in the order of the BIGINT column ``position`` (equal
     for all rows of a video), or of a hash of the video id without one. A
@@ -39,7 +42,7 @@ def global_segment_ids(
     else:
         ordinal, chunk = F.col(position), size
     sizes = segments.groupBy("video_id").agg(
-        F.count("*").alias("_size"), F.min(ordinal).alias("_ordinal")
+        (F.max("segment_id") + 1).alias("_size"), F.min(ordinal).alias("_ordinal")
     )
     offsets = running_sum(
         sizes,

@@ -48,7 +48,7 @@ class EntityExtractor:
     gazetteer: DataFrame | None = None
     patterns: dict = field(default_factory=lambda: dict(DEFAULT_PATTERNS))
     allowlist: Sequence[str] = ALLOWED_TYPES
-    max_words: int = 3
+    pattern_words: int = 3
     name: str = ENTITIES
 
     def transform(self, segments: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ class EntityExtractor:
             self.gazetteer,
             patterns=self.patterns,
             allowlist=self.allowlist,
-            max_words=self.max_words,
+            pattern_words=self.pattern_words,
         )
 
 

@@ -45,17 +45,15 @@ def one(spark):
     return evaluate
 
 
-# The eight segments used as a golden case: an empty one, one of several
-# sentences, a change of subject, and a person named twice.
+# A short talk: an empty text, texts of one and of several sentences, a name that
+# occurs twice, and a change of subject.
 TALK = [
-    (1, "Welcome to the show. Today we speak with Ada Park about where big models are going to go next year."),
-    (2, "Ada Park built the systems for training them across many sites for ten long years."),
-    (3, "So let us get going."),
-    (4, ""),
-    (5, "What I keep seeing is that prices fell a lot. Five years ago nobody would have thought so. Now a few people can train a model that is worth something without any large sum of money to burn."),
-    (6, "Now for something else, let us speak of bread and why my loaf never rises."),
-    (7, "Honestly, keeping dough warm in a cold flat in winter is a true science."),
-    (8, "Before we end, Lee Moss from the crowd asked us whether Ada Park and Lee Moss will work on an open set of data in the year to come together."),
+    (1, "Boats leave the harbour before dawn. Cold fog sits on the water until eight."),
+    (2, ""),
+    (3, "Mira Holt keeps the ledger of every catch."),
+    (4, "Prices are written on slate. A crate of herring sells first, and Otto Lind buys it before Mira Holt has closed her book. Mira Holt does not mind."),
+    (5, "Tax forms for islands are another matter."),
+    (6, "A clerk reads each form in winter, stamps it and files it under salt."),
 ]
 
 

@@ -115,7 +115,8 @@ def _kind(phrase: Column) -> Column:
 
 
 def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
-    """Long words, and pairs of neighbouring longer words, of the benchmark."""
+    """Long words, pairs of neighbouring longer words, and runs of four words
+    between longer ones, of the benchmark."""
     token_lists = table(spark, folder, "benchmark").select(
         F.transform(surface_tokens(F.col("text")), lambda w: F.lower(w)).alias("w")
     )
@@ -128,8 +129,18 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
         .filter((F.length("a") >= PAIRED_WORD) & (F.length("b") >= PAIRED_WORD))
         .select(F.concat_ws(" ", "a", "b").alias("phrase"))
     )
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - 3, F.lit(1)))
+    runs = F.transform(starts, lambda i: F.slice("w", i, 4))
+    four = (
+        token_lists.select(F.explode(runs).alias("r"))
+        .filter(F.size("r") == 4)
+        .filter(F.length(F.get("r", F.lit(0))) >= PAIRED_WORD)
+        .filter(F.length(F.get("r", F.lit(3))) >= PAIRED_WORD)
+        .select(F.concat_ws(" ", "r").alias("phrase"))
+    )
     return (
         single.unionByName(double)
+        .unionByName(four)
         .distinct()
         .select("phrase", _kind(F.col("phrase")).alias("entity_type"))
     )
@@ -169,7 +180,7 @@ def light_entity_processors() -> list[Processor]:
 def full_processors(spark: SparkSession, folder: str) -> list[Processor]:
     return [
         ExtractiveSummarizer(),
-        EntityExtractor(gazetteer(spark, folder), max_words=2),
+        EntityExtractor(gazetteer(spark, folder)),
         TopicSegmenter(),
         AbstractiveSummarizer(),
     ]

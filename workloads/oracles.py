@@ -137,7 +137,12 @@ CTES["gaz"] = f"""
     SELECT w[i] || ' ' || w[i + 1] FROM (
       SELECT {surface('lower(text)')} AS w FROM benchmark),
       unnest(range(1, len(w))) AS t(i)
-    WHERE length(w[i]) >= {PAIRED_WORD} AND length(w[i + 1]) >= {PAIRED_WORD})
+    WHERE length(w[i]) >= {PAIRED_WORD} AND length(w[i + 1]) >= {PAIRED_WORD}
+    UNION ALL
+    SELECT array_to_string(w[i:i + 3], ' ') FROM (
+      SELECT {surface('lower(text)')} AS w FROM benchmark),
+      unnest(range(1, len(w) - 2)) AS t(i)
+    WHERE length(w[i]) >= {PAIRED_WORD} AND length(w[i + 3]) >= {PAIRED_WORD})
   WHERE contains(phrase, ' ') OR length(phrase) >= {LONG_WORD}"""
 
 _months = (
@@ -156,7 +161,7 @@ def _mention_ctes(prefix: str) -> None:
   SELECT video_id, segment_id, i - 1 AS position, n AS length,
          array_to_string(w[i:i + n - 1], ' ') AS phrase
   FROM (SELECT video_id, segment_id, {surface('text')} AS w FROM {prefix}_seg),
-       unnest(range(1, len(w) + 1)) AS t(i), unnest(range(1, 3)) AS u(n)
+       unnest(range(1, len(w) + 1)) AS t(i), unnest(range(1, 1 + (SELECT greatest(3, max(len(string_split(phrase, ' ')))) FROM gaz))) AS u(n)
   WHERE i + n - 1 <= len(w)"""
     CTES[f"{prefix}_typed"] = f"""
   SELECT p.*, g.entity_type

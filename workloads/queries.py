@@ -175,7 +175,7 @@ def scan_video(spark, folder):
 def scan_entities(spark, folder):
     warehouse = D.new_warehouse(spark)
     found = entities.extract_entities(
-        D.talk_segments(spark, folder), D.gazetteer(spark, folder), max_words=2
+        D.talk_segments(spark, folder), D.gazetteer(spark, folder)
     )
     warehouse.append_entities(ids.global_entity_ids(found))
     return warehouse.read_entities().select(
@@ -285,7 +285,7 @@ def filter_isin(spark, folder):
 @query("entity_allowlist")
 def entity_allowlist(spark, folder):
     mentions = entities.find_mentions(
-        D.doc_segments(spark, folder), D.gazetteer(spark, folder), max_words=2
+        D.doc_segments(spark, folder), D.gazetteer(spark, folder)
     )
     return mentions.withColumn(
         "allowed", entities.allowed(F.col("entity_type"))
@@ -445,7 +445,7 @@ def co_occurrence_job(spark, folder):
 @query("entity_dedup")
 def entity_dedup(spark, folder):
     mentions = entities.find_mentions(
-        D.doc_segments(spark, folder), D.gazetteer(spark, folder), max_words=2
+        D.doc_segments(spark, folder), D.gazetteer(spark, folder)
     )
     return entities.first_mentions(mentions)
 
@@ -453,7 +453,7 @@ def entity_dedup(spark, folder):
 @query("extract_entities")
 def extract_entities(spark, folder):
     return entities.extract_entities(
-        D.doc_segments(spark, folder), D.gazetteer(spark, folder), max_words=2
+        D.doc_segments(spark, folder), D.gazetteer(spark, folder)
     )
 
 
