@@ -209,7 +209,7 @@ def test_results_are_keyed_by_name_and_may_vary_in_length(spark, talk):
     assert isinstance(first, Processor)
     results = run_all(talk, [first, second])
     assert list(results) == ["one", "two"]
-    assert results["one"].count() == 8 and results["two"].count() == 24
+    assert results["one"].count() == 6 and results["two"].count() == 18
 
 
 def test_topics_reach_the_summariser_only_if_they_ran_before(spark, talk):
@@ -270,19 +270,19 @@ def test_missing_results_become_empty(spark, talk):
         .limit(0),
     }
     rows = merge_nlp(talk, results).collect()
-    assert len(rows) == 8
+    assert len(rows) == 6
     for row in rows:
         assert row["ext_summary"] == "" and row["abs_summary"] == ""
         assert row["topic_label"] is None and row["textrank_score"] is None
         # Without a topic every segment stands alone.
-        assert row["compression_ratio"] == (None if row["segment_id"] == 4 else 0.0)
+        assert row["compression_ratio"] == (None if row["segment_id"] == 2 else 0.0)
 
 
 def test_enrich_runs_the_default_processors(spark, talk):
     rows = enrich_segments(talk).collect()
-    assert len(rows) == 8
+    assert len(rows) == 6
     assert all(r["topic_label"].startswith("topic_") for r in rows)
-    assert all((r["textrank_score"] is None) == (r["segment_id"] == 4) for r in rows)
+    assert all((r["textrank_score"] is None) == (r["segment_id"] == 2) for r in rows)
 
 
 # --- reports ----------------------------------------------------------------
@@ -362,7 +362,7 @@ def urls(spark, *values):
 
 
 BASE = "https://www.youtube.com/watch?v="
-PEOPLE = [("ada park", "PERSON"), ("lee moss", "PERSON")]
+PEOPLE = [("mira holt", "PERSON"), ("otto lind", "PERSON")]
 
 
 def processors(spark):
@@ -383,17 +383,17 @@ def test_batch_goes_on_past_bad_urls_and_skips_what_is_stored(spark, warehouse):
     summary = reports.batch_summary(outcomes).first()
     assert tuple(summary) == (5, 2, 3)
     assert reports.failed_outcomes(outcomes).count() == 3
-    assert warehouse.read_segments().count() == 8
-    assert warehouse.read_entities().count() == 4
+    assert warehouse.read_segments().count() == 6
+    assert warehouse.read_entities().count() == 3
 
     batch.process_batch(
         warehouse, urls(spark, BASE + "id1", "https://youtu.be/id2"), titles, segments, processors(spark)
     )
     rows = warehouse.read_segments().collect()
-    assert sorted(r["segment_id"] for r in rows) == list(range(16))
-    assert all(r["video_id"] == "id1" for r in rows if r["segment_id"] < 8)
+    assert sorted(r["segment_id"] for r in rows) == list(range(12))
+    assert all(r["video_id"] == "id1" for r in rows if r["segment_id"] < 6)
     entity_ids = [r["entity_id"] for r in warehouse.read_entities().collect()]
-    assert sorted(entity_ids) == list(range(8))
+    assert sorted(entity_ids) == list(range(6))
     videos = {r["video_id"]: r["title"] for r in warehouse.read_videos().collect()}
     assert videos == {"id1": "T id1", "id2": "T id2"}
 
@@ -403,7 +403,7 @@ def test_leftovers_of_a_broken_run_do_not_stay(spark, warehouse):
     broken = segment_frame(spark, 0, 1, 2, video="id1")
     warehouse.append_segments(broken)
     batch.process_batch(warehouse, urls(spark, BASE + "id1"), titles, segments, processors(spark))
-    assert warehouse.read_segments().count() == 8
+    assert warehouse.read_segments().count() == 6
 
 
 def test_co_occurrence_job_twice_gives_the_same_table(spark, warehouse):
@@ -413,7 +413,7 @@ def test_co_occurrence_job_twice_gives_the_same_table(spark, warehouse):
     )
     for _ in range(2):
         top = batch.co_occurrence_job(warehouse).collect()
-        assert [tuple(r) for r in top] == [("Ada Park", "Lee Moss", 2, 2)]
+        assert [tuple(r) for r in top] == [("Mira Holt", "Otto Lind", 2, 2)]
         assert warehouse.read_co_occurrences().count() == 1
     batch.co_occurrence_job(warehouse, min_videos=3)
     assert warehouse.read_co_occurrences().count() == 0
@@ -423,7 +423,7 @@ def test_stream_handles_only_unseen_videos(spark, warehouse, tmp_path):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "progress")
 
     def arrive(*videos):
-        rows = [(v, BASE + v, v, "Ada Park is here.\nSo is Lee Moss.") for v in videos]
+        rows = [(v, BASE + v, v, "Mira Holt is here.\nSo is Otto Lind.") for v in videos]
         df = spark.createDataFrame(rows, "video_id STRING, url STRING, title STRING, text STRING")
         df.coalesce(1).write.mode("append").parquet(source)
         incremental_ingest(
