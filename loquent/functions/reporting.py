@@ -16,12 +16,36 @@ def entity_line(text: Column, kind: Column, count: Column) -> Column:
     return F.format_string("%s (%s): %d", text, kind, count)
 
 
+def _two_decimals(value: Column) -> Column:
+    """Text with two decimals, rounded from the exact binary value, halves to the
+    even digit.
+
+    A double below 8 is a whole number of 2**-60 (smaller bits are far from any
+    half), one below 2**14 of 2**-49, so halves are told apart in whole numbers.
+    """
+    size = F.abs(value)
+    unit = F.when(size < 8, F.lit(1 << 60)).otherwise(F.lit(1 << 49))
+    below = F.floor(size * 100)
+    exact = (size * unit).try_cast("bigint").cast("decimal(19,0)") * 200
+    half = (below * 2 + 1).cast("decimal(12,0)") * unit.cast("decimal(19,0)")
+    up = (exact > half) | ((exact == half) & (below % 2 == 1))
+    hundredths = below + F.when(up, 1).otherwise(0)
+    shown = F.format_string(
+        "%s%d.%02d",
+        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+        F.floor(hundredths / 100),
+        hundredths % 100,
+    )
+    return F.when(size < 1 << 14, shown).otherwise(F.format_string("%.2f", value))
+
+
 def averages_line(avg_ratio: Column, avg_similarity: Column) -> Column:
-    """Both averages with two decimals; '' if either is missing."""
+    """Both averages with two decimals, halves to the even digit; '' if either
+    is missing."""
     line = F.format_string(
-        "Avg compression ratio: %.2f · Avg semantic similarity: %.2f",
-        avg_ratio,
-        avg_similarity,
+        "Avg compression ratio: %s · Avg semantic similarity: %s",
+        _two_decimals(avg_ratio),
+        _two_decimals(avg_similarity),
     )
     both = avg_ratio.isNotNull() & avg_similarity.isNotNull()
     return F.when(both, line).otherwise(F.lit(""))

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from loquent.functions.binding import let
 
-#: Most shared terms of two bags that are looked up one by one.
-LOOKUP_TERMS = 256
-
 
 def dot(a: Column, b: Column) -> Column:
     """Dot product in DOUBLE."""
@@ -69,13 +66,8 @@ def _bag_of(terms: Column, counts: Column) -> Column:
     )
 
 
-def _count_in(bag_: Column, term: Column) -> Column:
-    place = F.array_position(bag_["terms"], term)
-    return F.get(bag_["counts"], place.cast("int") - 1)
-
-
-def _merged_dot(a: Column, b: Column) -> Column:
-    """Dot product by sorting both bags together: a shared term has two entries
+def bag_dot(a: Column, b: Column) -> Column:
+    """Dot product of two bags, sorted together: a shared term has two entries
     in a row."""
 
     def entries(bag_: Column) -> Column:
@@ -96,25 +88,6 @@ def _merged_dot(a: Column, b: Column) -> Column:
     return let(F.sort_array(F.concat(entries(a), entries(b))), from_sorted)
 
 
-def bag_dot(a: Column, b: Column) -> Column:
-    """Dot product of two bags.
-
-    Each shared term is looked up in both bags, which suits the short bags of
-    utterances; bags sharing more than ``LOOKUP_TERMS`` terms are merged.
-    """
-
-    def from_shared(shared: Column) -> Column:
-        looked_up = F.aggregate(
-            shared,
-            F.lit(0.0),
-            lambda total, t: total + _count_in(a, t).cast("double") * _count_in(b, t),
-        )
-        few = F.size(shared) <= LOOKUP_TERMS
-        return F.when(few, looked_up).otherwise(_merged_dot(a, b))
-
-    return let(F.array_intersect(a["terms"], b["terms"]), from_shared)
-
-
 def bag_cosine(a: Column, b: Column) -> Column:
     """Cosine of two bags. Two empty bags are equal (1.0); one empty bag
     matches nothing (0.0)."""

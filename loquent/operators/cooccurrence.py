@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loquent.functions.reporting import pair_line
 
-#: Most entities of one segment paired inside a single row.
+#: Entities of a segment that one task pairs with all later ones.
 BLOCK = 256
 
 _SEGMENT = ["video_id", "segment_id"]
@@ -19,66 +19,39 @@ def entity_mentions(entities: DataFrame) -> DataFrame:
     return entities.select("segment_id", "video_id", "entity_text").distinct()
 
 
-def _pair(a: Column, b: Column) -> Column:
-    return F.struct(a.alias("entity_a"), b.alias("entity_b"))
-
-
-def _pairs_within(texts: Column) -> Column:
-    """Pairs of a sorted array of distinct texts."""
-
-    def with_later(a: Column, i: Column) -> Column:
-        later = F.slice(texts, i + 2, F.size(texts))
-        return F.transform(later, lambda b: _pair(a, b))
-
-    return F.flatten(F.transform(texts, with_later))
-
-
-def _pairs_across(left: Column, right: Column) -> Column:
-    return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: _pair(a, b))))
-
-
 def entity_pairs(entities: DataFrame, *, block: int = BLOCK) -> DataFrame:
     """(entity_a, entity_b, video_id, segment_id) with entity_a < entity_b.
 
-    One shuffle: each segment's distinct texts are gathered, duplicates merged
-    before they are sent, and pairs are made inside the row. A segment with
-    more than ``block`` texts is cut into blocks; every two blocks become a row
-    of their own and are spread over the cluster before any pair is made, so no
-    task makes more than block * block pairs for one row. What one task gathers
-    is a segment's distinct texts, however often they are repeated; their pairs
-    are quadratic in that number, so a segment whose pairs can be stored at all
-    has texts that fit easily.
+    Each segment's distinct texts are gathered, duplicates merged before they
+    are sent, and cut into blocks. A block goes with the texts that follow its
+    first one to a task of its own, where each text of the block meets the
+    later ones, so the pairs of a long segment are made by many tasks and never
+    held at once. What one task gathers is a segment's distinct texts, however
+    often they are repeated; their pairs are quadratic in that number, so a
+    segment whose pairs can be stored at all has texts that fit easily.
     """
     texts = entities.groupBy(*_SEGMENT).agg(
         F.sort_array(F.collect_set("entity_text")).alias("texts")
     )
-    count = F.size("texts")
-    common = texts.filter((count > 1) & (count <= block)).select(
-        *_SEGMENT, F.inline(_pairs_within(F.col("texts")))
-    )
-
-    def cut(i: Column) -> Column:
-        return F.slice("texts", i * block + 1, block)
-
-    blocks = F.sequence(F.lit(0), ((count - 1) / block).cast("int"))
-    large = (
-        texts.filter(count > block)
-        .withColumn("i", F.explode(blocks))
-        .withColumn("j", F.explode(F.sequence(F.col("i"), F.element_at(blocks, -1))))
-        .select(*_SEGMENT, "i", "j", cut(F.col("i")).alias("a"), cut(F.col("j")).alias("b"))
-        .repartition(*_SEGMENT, "i", "j")
+    last = ((F.size("texts") - 1) / block).cast("int")
+    begin = F.col("_block") * block + 1
+    blocks = (
+        texts.filter(F.size("texts") > 1)
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), last)))
+        .select(
+            *_SEGMENT,
+            "_block",
+            F.slice("texts", begin, F.lit(block)).alias("firsts"),
+            F.slice("texts", begin, F.size("texts")).alias("texts"),
+        )
+        .repartition(*_SEGMENT, "_block")
     )
-    same = F.col("i") == F.col("j")
-    spread = large.select(
-        *_SEGMENT,
-        F.inline(
-            F.when(same, _pairs_within(F.col("a"))).otherwise(
-                _pairs_across(F.col("a"), F.col("b"))
-            )
-        ),
+    later = F.slice("texts", F.col("_place") + 2, F.size("texts"))
+    return (
+        blocks.select(*_SEGMENT, "texts", F.posexplode("firsts").alias("_place", "entity_a"))
+        .select(*_SEGMENT, "entity_a", F.explode(later).alias("entity_b"))
+        .select("entity_a", "entity_b", *_SEGMENT)
     )
-    columns = ["entity_a", "entity_b", "video_id", "segment_id"]
-    return common.select(columns).unionByName(spread.select(columns))
 
 
 def co_occurrences(entities: DataFrame, *, block: int = BLOCK) -> DataFrame:

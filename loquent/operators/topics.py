@@ -26,25 +26,22 @@ TOLERANCE = 1e-9
 
 def term_counts(segments: DataFrame) -> DataFrame:
     """Token counts per segment: (video_id, segment_id, term, tf)."""
-    exploded = segments.select(
-        "video_id", "segment_id", F.explode(tokens(F.col("text"))).alias("term")
+    counted = segments.select(
+        "video_id", "segment_id", bag(tokens(F.col("text"))).alias("_bag")
     )
-    return exploded.groupBy("video_id", "segment_id", "term").agg(
-        F.count("*").alias("tf")
+    entries = F.arrays_zip(
+        F.col("_bag.terms").alias("term"), F.col("_bag.counts").alias("tf")
+    )
+    return counted.select("video_id", "segment_id", F.inline(entries)).withColumn(
+        "tf", F.col("tf").cast("bigint")
     )
 
 
 def term_norms(segments: DataFrame) -> DataFrame:
     """Length of each segment's term vector; 0 for a segment without tokens."""
-    squares = (
-        term_counts(segments)
-        .groupBy("video_id", "segment_id")
-        .agg(F.sqrt(F.sum(F.col("tf") * F.col("tf")).cast("double")).alias("norm"))
-    )
-    return (
-        segments.select("video_id", "segment_id")
-        .join(squares, ["video_id", "segment_id"], "left")
-        .withColumn("norm", F.coalesce("norm", F.lit(0.0)))
+    squares = bag(tokens(F.col("text")))["squares"]
+    return segments.select(
+        "video_id", "segment_id", F.coalesce(F.sqrt(squares), F.lit(0.0)).alias("norm")
     )
 
 

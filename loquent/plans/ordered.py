@@ -114,22 +114,18 @@ def with_previous(
     it only serves the row after it and is then dropped.
     """
     chunked = with_chunk(df, order, size).withColumn("_handed", F.lit(False))
-    lasts = chunked.groupBy(by, CHUNK).agg(F.max(order).alias(order))
+    lasts = chunked.groupBy(by, CHUNK).agg(
+        F.max(order).alias(order), F.max_by(payload, order).alias(payload)
+    )
     following = F.lead(CHUNK).over(Window.partitionBy(by).orderBy(CHUNK))
     handed = (
-        lasts.withColumn("_next", following)
-        .filter(F.col("_next").isNotNull())
-        .select(by, order, "_next")
-    )
-    extra = (
-        chunked.join(handed, [by, order])
-        .withColumn(CHUNK, F.col("_next"))
+        lasts.withColumn(CHUNK, following)
+        .filter(F.col(CHUNK).isNotNull())
         .withColumn("_handed", F.lit(True))
-        .drop("_next")
     )
     inside = Window.partitionBy(by, CHUNK).orderBy(order)
     return (
-        chunked.unionByName(extra)
+        chunked.unionByName(handed, allowMissingColumns=True)
         .withColumn(out, F.lag(payload).over(inside))
         .filter(~F.col("_handed"))
         .drop(CHUNK, "_handed")

@@ -484,7 +484,7 @@ FINALS: dict[str, str] = {
         FROM talk_video
         UNION ALL SELECT 'segments', 11, count(*) FROM talk_seg
         UNION ALL SELECT 'entities', 5, 0 UNION ALL SELECT 'co_occurrences', 4, 0""",
-    "replace_pairs": f"SELECT {_pair_cols} FROM pairs WHERE video_count >= 100",
+    "replace_pairs": f"SELECT {_pair_cols} FROM pairs WHERE video_count >= 300",
     "scan_segments": "SELECT segment_id, video_id, text FROM talk_global",
     "scan_video": """
         SELECT segment_id, video_id, text FROM talk_global WHERE video_id = '7'""",
@@ -564,7 +564,7 @@ FINALS: dict[str, str] = {
     "entity_mentions": "SELECT segment_id, video_id, entity_text FROM mention",
     "entity_pairs": "SELECT entity_a, entity_b, video_id, segment_id FROM pair",
     "co_occurrences": f"SELECT {_pair_cols} FROM pairs",
-    "pairs_min_videos": f"SELECT {_pair_cols} FROM pairs WHERE video_count >= 2",
+    "pairs_min_videos": f"SELECT {_pair_cols} FROM pairs WHERE video_count >= 300",
     "top_pairs": f"""
         SELECT {_pair_cols} FROM pairs
         ORDER BY segment_count DESC, entity_a, entity_b LIMIT 30""",
@@ -573,7 +573,7 @@ FINALS: dict[str, str] = {
                || segment_count || ' segments' AS line
         FROM pairs""",
     "co_occurrence_job": f"""
-        SELECT {_pair_cols} FROM pairs WHERE video_count >= 2
+        SELECT {_pair_cols} FROM pairs WHERE video_count >= 300
         ORDER BY segment_count DESC, entity_a, entity_b LIMIT 30""",
     "entity_dedup": """
         SELECT video_id, segment_id, entity_text, entity_type, position
@@ -696,7 +696,9 @@ FINALS: dict[str, str] = {
         FROM doc_scored""",
     "video_stats": f"""
         SELECT video_id, count(*) AS segments,
-               count(DISTINCT topic_label) AS topics, {_averages}
+               count(DISTINCT topic_label) AS topics, {_averages},
+               coalesce(printf('Avg compression ratio: %.2f · Avg semantic similarity: %.2f',
+                 round(avg(compression_ratio), 6), round(avg(semantic_similarity), 6)), '') AS averages
         FROM doc_scored GROUP BY video_id""",
     "corpus_stats": f"""
         SELECT count(*) AS segments,
