@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loquent.llm.common import word_count
+from loquent.plans.ordered import running_sum
 from loquent.session import write_out
 
 # The weights of sources in code point order, null last, repeating.
@@ -30,6 +31,8 @@ BROADCAST = 5_000
 #: Parts into which the seeded order of a pattern is cut to find the last
 #: document of a turn without sorting the pattern.
 PARTS = 65_536
+#: Parts summed in one window.
+CHUNK_PARTS = 256
 RANGE = 1 << 40
 SEED = 11
 
@@ -173,12 +176,15 @@ def plan_mix(
     rows = [(r["_pattern"], *p) for r, p in zip(patterns, plan, strict=True)]
     schema = "_pattern STRING, source_size LONG, target DOUBLE, turns LONG, extra LONG"
     planned = placed.sparkSession.createDataFrame(rows, schema)
-    # The part in which the extra words of a pattern run out.
-    before = Window.partitionBy("_pattern").orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
+    if len(rows) <= BROADCAST:
+        planned = F.broadcast(planned)
+    # The part in which the extra words of a pattern run out. Parts are summed in
+    # chunks, so that no task takes all the parts of a pattern.
+    summed = running_sum(
+        sums, ["_pattern"], "_part", F.col("words"), "_end", size=CHUNK_PARTS
     )
     cut = (
-        sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
+        summed.withColumn("before", F.col("_end") - F.col("words"))
         .join(planned, "_pattern")
         .filter("before < extra and before + words >= extra")
         .select("_pattern", "_part", (F.col("extra") - F.col("before")).alias("left"))
