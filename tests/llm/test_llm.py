@@ -348,3 +348,65 @@ def test_pipeline(spark):
     rows = out.collect()
     assert rows and max(Counter(r.doc_id for r in rows).values()) <= 3
     assert all(r.decoded_sha256 == hashlib.sha256(source[r.doc_id].encode()).hexdigest() for r in rows)
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from loquent.llm.queries import toxicity_model
+    from loquent.session import write_out
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity_model(spark, folder, docs)
+    outputs = []
+    for name, stage in corpus_pipeline.STAGES:
+        made = write_out(stage(spark, outputs[-1] if outputs else docs, folder), name)
+        outputs.append(made)
+    assert all(o.columns == docs.columns for o in outputs[:-1])
+    ids = [Counter(r.doc_id for r in o.select("doc_id").collect()) for o in outputs]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert len(scores) == len(texts)
+    assert ids[0] == Counter(i for i in texts if scores[i] < 0.5)
+
+    copies = defaultdict(list)
+    for i in ids[0]:
+        copies[lower(texts[i])].append(i)
+    assert ids[1] == Counter(max(same) for same in copies.values())
+
+    prints = {i: simple_fingerprint(texts[i]) for i in ids[1]}
+    group = {i: i for i in prints}
+    for a in prints:
+        for b in prints:
+            if (prints[a] ^ prints[b]).bit_count() <= 3 and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    assert ids[2] == Counter(set(group.values()))
+
+    source = {r.doc_id: r.source for r in docs.collect()}
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", texts[i] or "")) for i in ids[2]}
+    names = sorted({source[i] for i in ids[2]}, key=lambda s: (s is None, s or ""))
+    own = [sum(size[i] for i in ids[2] if source[i] == s) for s in names]
+    weights = [(5, 2, 1)[k % 3] for k in range(len(names))]
+    wanted = mixing.targets(own, weights)
+    assert max(ids[3].values()) <= 3 and set(ids[3]) <= set(ids[2])
+    for s, target in zip(names, wanted, strict=True):
+        taken = sum(size[i] * n for i, n in ids[3].items() if source[i] == s)
+        assert abs(taken - target) <= max(size[i] for i in ids[2] if source[i] == s)
+
+    whole = Tokenizer.from_file(bpe.default_path())
+    whole.no_truncation()
+    whole.no_padding()
+    got = outputs[-1].collect()
+    assert Counter(r.doc_id for r in got) == ids[3]
+    for r in got:
+        want = whole.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        raw = np.array(want, dtype="<u4").tobytes()
+        assert (r.n_tokens, r.ids_sha256) == (len(want), hashlib.sha256(raw).hexdigest())
+        decoded = whole.decode(want, skip_special_tokens=False)
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+    again = corpus_pipeline.run(spark, folder).collect()
+    assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in got)
