@@ -11,11 +11,16 @@ from loquent.functions import urls as U
 from loquent.functions.reporting import outcome_line
 from loquent.operators.cooccurrence import co_occurrences, top_pairs, with_support
 from loquent.operators.enrich import merge_nlp
-from loquent.operators.ids import global_entity_ids, global_segment_ids, next_id
+from loquent.operators.ids import (
+    global_entity_ids,
+    global_segment_ids,
+    list_position,
+    next_id,
+)
 from loquent.operators.registry import ENTITIES, Processor, run_all
-from loquent.plans.skew import salted_join
+from loquent.plans.skew import restrict_to_videos, salted_join
 from loquent.session import write_out
-from loquent.sources.transcripts import with_times
+from loquent.sources.transcripts import expand_list, with_times
 from loquent.sources.warehouse import Warehouse
 
 NO_ID_MESSAGE = "No video id in URL: "
@@ -75,7 +80,7 @@ def batch_outcomes(
     *,
     hosts: Sequence[str] = U.VIDEO_HOSTS,
 ) -> DataFrame:
-    """(position, url, video_id, error) for every URL of a batch.
+    """The columns of ``batch`` with video_id and error, for every URL.
 
     ``batch`` has (position, url), ``titles`` one row per video that has a
     transcript. A stored video is fine whatever its host.
@@ -98,7 +103,7 @@ def batch_outcomes(
             F.col("_have").isNull(), F.concat(F.lit(NO_TRANSCRIPT_MESSAGE), "video_id")
         )
     )
-    return checked.select("position", "url", "video_id", error.alias("error"))
+    return checked.select(*batch.columns, "video_id", error.alias("error"))
 
 
 def process_batch(
@@ -113,8 +118,12 @@ def process_batch(
     """Process a URL list as one job; returns the outcome of every URL.
 
     A bad URL does not stop the batch; its error is kept in its row. A video
-    named twice is processed once.
+    named twice is processed once, one titled twice takes the smallest title,
+    and one without segments has no transcript, whatever its title.
     """
+    titles = restrict_to_videos(
+        titles.groupBy("video_id").agg(F.min("title").alias("title")), segments
+    )
     outcomes = write_out(
         batch_outcomes(warehouse, batch, titles, hosts=hosts), "outcomes"
     )
@@ -130,6 +139,27 @@ def process_batch(
     return outcomes
 
 
+def process_lists(
+    warehouse: Warehouse,
+    lists: DataFrame,
+    titles: DataFrame,
+    segments: DataFrame,
+    processors: Sequence[Processor] | None = None,
+    *,
+    list_id: str = "list_id",
+    entries: str = "entries",
+    hosts: Sequence[str] = U.VIDEO_HOSTS,
+) -> DataFrame:
+    """Process lists of videos as one job; returns the outcome of every entry.
+
+    Entries have their place in their list and its length, so ``outcome_lines``
+    takes the result. A video on several lists is processed once.
+    """
+    placed = list_position(expand_list(lists, list_id=list_id, entries=entries))
+    batch = placed.select("list_id", "position", "total", "url")
+    return process_batch(warehouse, batch, titles, segments, processors, hosts=hosts)
+
+
 def outcome_lines(outcomes: DataFrame) -> DataFrame:
     """Progress lines of a list whose rows carry position and total."""
     line = outcome_line(
@@ -143,8 +173,11 @@ def co_occurrence_job(
 ) -> DataFrame:
     """Recompute the stored pairs; returns the top ones from the saved table.
 
+    Videos whose run has not ended are left out.
     ``min_videos`` limits what is stored, ``top_n`` only what is returned.
     """
-    pairs = with_support(co_occurrences(warehouse.read_entities()), min_videos)
+    pairs = with_support(
+        co_occurrences(warehouse.read_finished("entities")), min_videos
+    )
     warehouse.replace_co_occurrences(pairs)
     return top_pairs(warehouse.read_co_occurrences(), top_n)

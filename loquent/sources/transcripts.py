@@ -59,15 +59,24 @@ def with_times(
 
 
 def read_segments_json(
-    spark: SparkSession, path: str, *, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    *,
+    multi_line: bool = True,
+    video_from_file: bool = False,
 ) -> DataFrame:
     """Segments from JSON arrays of ``{segment_id, text}`` objects.
 
     By default each file holds one array. With ``multi_line=False`` each line
-    holds one, which lets Spark split large files.
+    holds one, which lets Spark split large files. With ``video_from_file`` the
+    name of a file, without its ending, becomes the ``video_id`` of its rows.
     """
     reader = spark.read.schema(SEGMENT_JSON).option("multiLine", multi_line)
-    return reader.json(path)
+    segments = reader.json(path)
+    if not video_from_file:
+        return segments
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    return segments.select(name.alias("video_id"), "segment_id", "text")
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:

@@ -128,6 +128,10 @@ class Warehouse:
             rows = rows.filter(here & (F.col("video_id") == video_id))
         return rows.drop(BUCKET)
 
+    def read_finished(self, name: str) -> DataFrame:
+        """Rows of videos whose video row is there, that is, whose run has ended."""
+        return restrict_to_videos(self.read(name), self.read_videos())
+
     def read_videos(self) -> DataFrame:
         return self.read("videos")
 

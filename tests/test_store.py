@@ -156,6 +156,13 @@ def test_json_segments(spark, tmp_path):
     assert sorted((r["segment_id"], r["text"]) for r in rows) == TALK
 
 
+def test_json_segments_know_their_file(spark, tmp_path):
+    for name in ("talk.one", "two"):
+        (tmp_path / f"{name}.json").write_text('[{"segment_id": 0, "text": "a"}]')
+    found = transcripts.read_segments_json(spark, str(tmp_path), video_from_file=True)
+    assert sorted(r["video_id"] for r in found.collect()) == ["talk.one", "two"]
+
+
 def test_url_list(spark, tmp_path):
     file = tmp_path / "urls.txt"
     file.write_text("  b \n\n\t\na\nb\n")
@@ -406,6 +413,29 @@ def test_leftovers_of_a_broken_run_do_not_stay(spark, warehouse):
     assert warehouse.read_segments().count() == 6
 
 
+def test_unfinished_videos_are_not_counted(spark, warehouse):
+    rows = [(0, 0, "v", "a", "ORG"), (1, 0, "v", "b", "ORG")]
+    schema = "entity_id BIGINT, segment_id BIGINT, video_id STRING, entity_text STRING, entity_type STRING"
+    warehouse.append_entities(spark.createDataFrame(rows, schema))
+    assert batch.co_occurrence_job(warehouse, min_videos=1).count() == 0
+    warehouse.append_videos(video_frame(spark, "v"))
+    assert batch.co_occurrence_job(warehouse, min_videos=1).count() == 1
+
+
+def test_titles_alone_are_no_transcript_and_lists_report_each_entry(spark, warehouse):
+    titles, segments = inputs(spark, "id1", "id2")
+    more = spark.createDataFrame([("id3", "t"), ("id1", "zz")], "video_id STRING, title STRING")
+    lists = spark.createDataFrame(
+        [("l", [("id1", "a"), (None, "b"), ("id3", "c")]), ("m", [("id2", "d"), ("id1", "e")])],
+        "list_id STRING, entries ARRAY<STRUCT<id STRING, title STRING>>",
+    )
+    titles = titles.select("video_id", "title").unionByName(more)
+    outcomes = batch.process_lists(warehouse, lists, titles, segments, processors(spark))
+    lines = [r["line"].split(" ", 1)[1] for r in batch.outcome_lines(outcomes).collect()]
+    assert sorted(lines) == ["1/2 id1 ok", "1/2 id2 ok", "2/2 id1 ok", "2/2 id3 failed"]
+    assert sorted(r["video_id"] for r in warehouse.read_videos().collect()) == ["id1", "id2"]
+
+
 def test_co_occurrence_job_twice_gives_the_same_table(spark, warehouse):
     titles, segments = inputs(spark, "id1", "id2")
     batch.process_batch(

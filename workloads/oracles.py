@@ -764,6 +764,14 @@ FINALS: dict[str, str] = {
                i.segment_id, e.video_id, entity_text, entity_type
         FROM talk_entity e JOIN talk_id i
           ON i.video_id = e.video_id AND i.local_id = e.segment_id""",
+    "process_lists": """
+        SELECT conv_id // 10 AS list_id,
+               row_number() OVER (PARTITION BY conv_id // 10 ORDER BY conv_id) AS position,
+               count(*) OVER (PARTITION BY conv_id // 10) AS total,
+               'https://www.youtube.com/watch?v=' || id AS url, id AS video_id,
+               CASE WHEN id LIKE 'x%' THEN 'No transcript for video: ' || id END AS error
+        FROM (SELECT DISTINCT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'x' ELSE '' END
+                || CAST(conv_id AS VARCHAR) AS id FROM conversations)""",
     "batch_outcomes": "SELECT position, url, video_id, error FROM outcome",
     "batch_summary": """
         SELECT count(*) AS total, count(*) FILTER (error IS NULL) AS succeeded,

@@ -442,6 +442,13 @@ def co_occurrence_job(spark, folder):
         "position", F.lit(0).cast("bigint")
     )
     warehouse.append_entities(ids.global_entity_ids(entities.first_mentions(mentions)))
+    # The customers are the videos that are done.
+    customers = D.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("video_id"),
+        U.canonical_url(F.col("c_custkey").cast("string")).alias("url"),
+        F.col("c_name").alias("title"),
+    )
+    warehouse.append_videos(customers)
     return batch.co_occurrence_job(warehouse, min_videos=PAIR_SUPPORT)
 
 
@@ -843,6 +850,21 @@ def process_batch_entities(spark, folder):
     return warehouse.read_entities()
 
 
+@query("process_lists")
+def process_lists(spark, folder):
+    # Lists of up to ten talks; one talk in seven is listed under an unknown id.
+    talks = D.table(spark, folder, "conversations").select("conv_id").distinct()
+    unknown = F.when(F.col("conv_id") % 7 == 0, F.lit("x")).otherwise(F.lit(""))
+    entry = F.struct("conv_id", F.concat(unknown, F.col("conv_id").cast("string")).alias("id"))
+    lists = talks.groupBy(F.expr("conv_id div 10").alias("list_id")).agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
+    )
+    warehouse = D.new_warehouse(spark)
+    titles = D.talk_videos(spark, folder).select("video_id", "title")
+    segments = D.talk_segments(spark, folder)
+    return batch.process_lists(warehouse, lists, titles, segments, D.light_entity_processors())
+
+
 @query("batch_outcomes")
 def batch_outcomes(spark, folder):
     _, outcomes = _batch(spark, folder)
