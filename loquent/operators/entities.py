@@ -31,13 +31,17 @@ def allowed(types: Column, allowlist: Sequence[str] = ALLOWED_TYPES) -> Column:
 PATTERN_WORDS = 3
 
 
-def _phrases(words: Column, max_words: int) -> Column:
-    """All runs of up to ``max_words`` tokens as (position, length, phrase)."""
+def _phrases(words: Column, max_words: int | None) -> Column:
+    """All runs of up to ``max_words`` tokens, or of any number of them, as
+    (position, length, phrase)."""
     count = F.size(words)
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1))
 
     def runs(start: Column) -> Column:
-        lengths = F.sequence(F.lit(1), F.least(F.lit(max_words), count - start))
+        most = count - start
+        if max_words is not None:
+            most = F.least(F.lit(max_words), most)
+        lengths = F.sequence(F.lit(1), most)
         return F.transform(
             lengths,
             lambda n: F.struct(
@@ -65,23 +69,32 @@ def find_mentions(
     gazetteer: DataFrame | None = None,
     *,
     patterns: Mapping[str, Sequence[str]] = DEFAULT_PATTERNS,
-    pattern_words: int = PATTERN_WORDS,
+    pattern_words: int | None = None,
 ) -> DataFrame:
     """Every typed phrase as (video_id, segment_id, position, entity_text,
     entity_type), all types included.
 
     ``gazetteer`` has (phrase, entity_type) with lower-case phrases of
     space-separated tokens, of any length: the longest phrase says how many
-    tokens are looked at. Patterns match up to ``pattern_words`` tokens. A phrase
-    inside a longer matched one is dropped. Matching is on whole tokens.
+    tokens are looked at. Patterns match up to ``pattern_words`` tokens, whatever
+    the gazetteer holds; without it, the default patterns match the three tokens
+    they need, and a caller's own ones any number of tokens, which takes the square
+    of a segment's tokens. A phrase inside a longer matched one is dropped. Matching
+    is on whole tokens.
     """
+    if pattern_words is None and (not patterns or patterns == DEFAULT_PATTERNS):
+        pattern_words = PATTERN_WORDS
     max_words = pattern_words
-    if gazetteer is not None:
+    if gazetteer is not None and max_words is not None:
         longest = F.max(F.size(F.split("phrase", " ")))
         max_words = max(max_words, gazetteer.agg(longest).first()[0] or 0)
     words = segments.select(*_KEYS, surface_tokens(F.col("text")).alias("_words"))
     phrases = words.select(*_KEYS, F.inline(_phrases(F.col("_words"), max_words)))
-    typed = phrases.withColumn("_kinds", _pattern_types(F.col("phrase"), patterns))
+    kinds = _pattern_types(F.col("phrase"), patterns)
+    if max_words != pattern_words:
+        none = F.array().cast("array<string>")
+        kinds = F.when(F.col("length") <= pattern_words, kinds).otherwise(none)
+    typed = phrases.withColumn("_kinds", kinds)
     if gazetteer is not None:
         kinds = gazetteer.groupBy(F.col("phrase").alias("_key")).agg(
             F.collect_set("entity_type").alias("_listed")
@@ -130,7 +143,7 @@ def extract_entities(
     *,
     patterns: Mapping[str, Sequence[str]] = DEFAULT_PATTERNS,
     allowlist: Sequence[str] = ALLOWED_TYPES,
-    pattern_words: int = PATTERN_WORDS,
+    pattern_words: int | None = None,
 ) -> DataFrame:
     """Distinct mentions of the allowed types, 0..n rows per segment."""
     found = find_mentions(

@@ -48,7 +48,7 @@ class EntityExtractor:
     gazetteer: DataFrame | None = None
     patterns: dict = field(default_factory=lambda: dict(DEFAULT_PATTERNS))
     allowlist: Sequence[str] = ALLOWED_TYPES
-    pattern_words: int = 3
+    pattern_words: int | None = None
     name: str = ENTITIES
 
     def transform(self, segments: DataFrame) -> DataFrame:
