@@ -40,6 +40,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def boxed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows of ``docs`` as one struct ``row``, with the columns ``more``.
+
+    The caller's names, whatever they are, then meet no name of ours;
+    ``select("row.*")`` gives them back.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*own).alias("row"), *more)
+
+
 def map_columns(
     df: DataFrame,
     inputs: Sequence[str],

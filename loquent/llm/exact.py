@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loquent.llm.common import lower_ascii, whole
+from loquent.llm.common import boxed, lower_ascii, whole
 from loquent.session import write_out
 
 #: Two texts are taken as equal when all three agree: the digest, the length,
@@ -96,7 +96,7 @@ def _key(text: Column) -> list[Column]:
 def drop_exact_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: bool = False
 ) -> DataFrame:
-    """``docs`` with one row per text, all columns kept.
+    """``docs`` with one row per text, all columns kept, whatever their names.
 
     The retained row is that of ``exact_duplicates``; where its identifier and
     text are repeated, one of the repeated rows stays.
@@ -107,8 +107,8 @@ def drop_exact_duplicates(
         *[F.col(k).alias(f"_{k}") for k in KEY], known.alias("_known"), none.alias("_none")
     )
     own = F.col(doc_id)
-    keyed = docs.select(
-        "*",
+    keyed = boxed(
+        docs,
         *_key(F.col(text)),
         F.coalesce(own, F.lit(0)).alias("_known"),
         own.isNull().alias("_none"),
@@ -116,4 +116,4 @@ def drop_exact_duplicates(
     # The same columns join and tell repeated rows apart: texts move once.
     same = [*[f"_{k}" for k in KEY], "_known", "_none"]
     once = keyed.join(winners, same, "left_semi").dropDuplicates(same)
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.select("row.*")

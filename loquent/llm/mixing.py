@@ -16,7 +16,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loquent.llm.common import word_count
+from loquent.llm.common import boxed, word_count
 from loquent.plans.ordered import running_sum
 from loquent.session import write_out
 
@@ -268,11 +268,22 @@ def take_mix(
     repeats: int = REPEATS,
     seed: int = SEED,
 ) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as ``mix`` takes it."""
-    decided = _decided(docs, doc_id, text, sources, weights, repeats, seed)
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it.
+
+    All columns stay, whatever their names. Nulls, ties, empty texts and tables
+    are treated as in ``mix``.
+    """
+    held = F.array(F.col("source")) if sources is None else sources
+    own = boxed(
+        docs,
+        F.col(doc_id).alias("doc_id"),
+        F.col(text).alias("text"),
+        held.alias("sources"),
+    )
+    decided = _decided(own, "doc_id", "text", F.col("sources"), weights, repeats, seed)
     turns = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    taken = decided.filter("_copies > 0").withColumn("_turn", turns)
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = decided.filter("_copies > 0").select("row", turns)
+    return taken.select("row.*")
 
 
 def _plan(

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loquent.llm.common import map_columns
+from loquent.llm.common import boxed, map_columns
 from loquent.llm.components import components
 from loquent.session import write_out
 
@@ -207,8 +207,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each component: a row its identifier names.
 
-    All columns stay. Where that identifier is repeated inside the component,
-    one row of it stays; a component without any identifier keeps one row.
+    All columns stay, whatever their names. Where that identifier is repeated
+    inside the component, one row of it stays; a component without any
+    identifier keeps one row.
     """
     classes = near_duplicates(docs, doc_id, text, radius, shingle)
     own = F.col("doc_id")
@@ -218,12 +219,12 @@ def drop_near_duplicates(
         .agg(F.min("fp").alias("_fp"), F.min("doc_id").alias("named"))
         .select("_fp", *_known(F.col("named")))
     )
-    marked = with_fingerprints(docs, text, shingle, out="_fp")
-    marked = marked.select("*", *_known(F.col(doc_id)))
+    plain = boxed(docs, F.col(text).alias("text"), *_known(F.col(doc_id)))
+    marked = with_fingerprints(plain, shingle=shingle, out="_fp").drop("text")
     # The same columns join and tell repeated rows apart: texts move once.
     same = ["_fp", "_known", "_none"]
     once = marked.join(chosen, same, "left_semi").dropDuplicates(same)
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.select("row.*")
 
 
 def _known(doc_id: Column) -> list[Column]:

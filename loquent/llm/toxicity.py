@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loquent.llm.common import map_columns, pick, whole
+from loquent.llm.common import boxed, map_columns, pick, whole
 
 #: Words of a window.
 WINDOW = 24
@@ -216,6 +216,10 @@ def score(
 def drop_toxic(
     docs: DataFrame, model: Model, text: str = "text", cut: float = 0.5
 ) -> DataFrame:
-    """Rows of ``docs`` whose score is below ``cut``, all columns kept."""
-    kept = score(docs, model, text, out="_toxicity").filter(F.col("_toxicity") < cut)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Rows of ``docs`` whose score is below ``cut``; columns of any name stay.
+
+    Nulls and empty texts score as in ``score``; equal texts fare alike.
+    """
+    own = boxed(docs, F.col(text).alias("text"))
+    kept = score(own, model).filter(F.col("score") < cut)
+    return kept.select("row.*")

@@ -410,3 +410,28 @@ def test_pipeline_stages_equal_brute_force(spark):
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     again = corpus_pipeline.run(spark, folder).collect()
     assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in got)
+
+
+CLASHING = (
+    "row STRUCT<a:INT>, text STRING, doc_id LONG, source STRING, _fp STRING, _known STRING, "
+    "_none STRING, _digest STRING, _bytes STRING, _check STRING, target STRING, last STRING, "
+    "turns STRING, _size STRING, _order STRING, _turn STRING, _pattern STRING, sources STRING, "
+    "_copies STRING, _toxicity STRING, `a.b` STRING, keep_id STRING, fp STRING"
+)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = [f.name for f in spark.createDataFrame([], CLASHING).schema]
+    rows = [((1,), f"words of text {i}", i, "s", *["mine"] * (len(names) - 4)) for i in (1, 2)]
+    frame = spark.createDataFrame(rows, CLASHING)
+    model = toxicity.Model(b"", b"", 0.0, (-6.0, 0.0, 0.0, 0.0))
+    for made in (
+        exact.drop_exact_duplicates(frame),
+        simhash.drop_near_duplicates(frame),
+        mixing.take_mix(frame),
+        toxicity.drop_toxic(frame, model),
+    ):
+        assert made.schema.names == names
+        got = Counter(tuple(r) for r in made.collect())
+        assert got and set(got) <= {tuple(r) for r in frame.collect()}
+        assert made.limit(0).count() == 0
