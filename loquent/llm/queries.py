@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquent.llm import bpe, exact, katz, langid, mixing, pii, quality, simhash, toxicity, warc
+from loquent.llm import (
+    bpe,
+    classifier,
+    exact,
+    katz,
+    langid,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    variants,
+    warc,
+    whitening,
+)
 from loquent.llm.common import table
 from loquent.session import write_out
 
@@ -136,3 +150,45 @@ def op1_warc(spark, folder):
 @query("op8_katz")
 def op8_katz(spark, folder):
     return katz.score(documents(spark, folder), remainder(F.col("doc_id"), 10) == 0)
+
+
+@query("op11_whitening")
+def op11_whitening(spark, folder):
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    error, n, shares = 0.0, 0, [0.0]
+    if model is not None:
+        error = whitening.identity_error(rows, model)
+        n, shares = model.n, model.shares(whitening.COMPONENTS)
+    found = whitening.whiten(rows, model, keep=["vec_id"]).select(
+        F.col("row.vec_id").alias("vec_id"),
+        F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        F.posexplode("whitened").alias("at", "whitened"),
+    )
+    explained = F.get(F.array(*[F.lit(s) for s in shares]), F.col("at"))
+    return found.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        explained.alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@query("op12_quality_classifier")
+def op12_quality_classifier(spark, folder):
+    docs = documents(spark, folder)
+    labels = table(spark, folder, "labels")
+    model = classifier.fit(
+        classifier.sample(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    )
+    held = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    scored = classifier.score(docs.select("doc_id", "text", held), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op13_variants")
+def op13_variants(spark, folder):
+    return variants.variants(variants.slipped_words(documents(spark, folder)))
