@@ -5,11 +5,13 @@ group. Words stand in a trie whose levels are the successive counts. One inserte
 deleted or replaced letter adds one to at most one count and takes one from at most
 one count, so a depth-first search from a word spends a surplus of one and a deficit
 of one at most; only words at the leaves it reaches are compared letter by letter.
+Of two words the one whose vector comes first makes the search, so that a surplus
+is always spent before a deficit and every pair is found once.
 
 The first levels of the trie part the words into shards, which go to separate
-tasks. A word visits every shard that its budgets reach; of a pair, the word with
-the smaller shard (or, within one, the smaller word) makes the visit. Crowded shards
-are cut into blocks of words and chunks of visitors, every block meeting every chunk.
+tasks; a word visits every shard that its budgets reach. Crowded shards are cut into
+blocks of words and chunks of visitors, every block meeting every chunk. The groups
+whose counts vary most make the first levels.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ from loquent.session import write_out
 
 #: Letter groups, and so levels of the trie: a letter's group is its code point
 #: modulo this.
-GROUPS = 10
+GROUPS = 12
 #: Runs of so many code points at least; words seen so often at least.
 SHORTEST = 7
 SEEN = 2
@@ -39,12 +41,14 @@ TIMES = 10
 #: One in so many runs of a document loses a code point.
 SLIPS = 31
 #: Words of a shard that the levels aim at, of a block, and visitors of a chunk.
-SHARD = 2_000
+SHARD = 5_000
 BLOCK = 20_000
-CHUNK = 100_000
+CHUNK = 50_000
 #: Words a task counts before it hands them on, and pairs compared at once.
 _HELD = 300_000
 _PAIRS = 100_000
+#: What a visitor may spend next, by what it has spent; 99 is never met.
+_NEXT = np.array([1, -1, 99], np.int16)
 #: Longer words are compared as strings, not as rows of a matrix.
 _WIDE = 48
 
@@ -98,12 +102,32 @@ def slipped_words(
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vectors(words: list[str], groups: int = GROUPS) -> np.ndarray:
-    """The frequency vector of every word, one row each."""
+def vectors(words: list[str], order: Sequence[int]) -> np.ndarray:
+    """The frequency vector of every word, one row each, groups in this order."""
+    groups = len(order)
     lengths = np.array([len(w) for w in words], np.int64)
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
     places = np.repeat(np.arange(len(words)), lengths) * groups + points % groups
-    return np.bincount(places, minlength=len(words) * groups).reshape(len(words), groups)
+    counts = np.bincount(places, minlength=len(words) * groups).reshape(len(words), groups)
+    kind = np.int16 if lengths.max(initial=0) < 1 << 15 else np.int64
+    return counts[:, list(order)].astype(kind)
+
+
+def level_order(words: DataFrame, groups: int = GROUPS) -> list[int]:
+    """The letter groups by falling variance of their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = vectors(batch.column(0).to_pylist(), range(groups)).astype(float)
+            sums = [pa.array(x) for x in (range(groups), [float(len(c))] * groups, c.sum(0), (c * c).sum(0))]
+            yield pa.RecordBatch.from_arrays(sums, names=["i", "n", "s", "q"])
+
+    parts = words.select("word").mapInArrow(run, "i LONG, n DOUBLE, s DOUBLE, q DOUBLE")
+    variance = F.sum("q") / F.sum("n") - F.pow(F.sum("s") / F.sum("n"), F.lit(2))
+    # One row for every group.
+    rows = parts.groupBy("i").agg(F.round(variance, 9).alias("v")).collect()
+    found = {r["i"]: r["v"] for r in rows}
+    return sorted(range(groups), key=lambda g: (-(found.get(g) or 0.0), g))
 
 
 def _reached(prefix: tuple[int, ...]) -> list[tuple[int, ...]]:
@@ -126,13 +150,13 @@ def _name(prefix: tuple[int, ...]) -> str:
     return ".".join(map(str, prefix))
 
 
-def _sharded(words: DataFrame, levels: int, groups: int) -> DataFrame:
+def _sharded(words: DataFrame, levels: int, order: Sequence[int]) -> DataFrame:
     """(word, n, shard, visits) of every word."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[tuple[int, ...], list[str]] = {}
         for frame in frames:
-            counts = vectors(list(frame["word"]), groups)[:, :levels]
+            counts = vectors(list(frame["word"]), order)[:, :levels]
             prefixes = [tuple(map(int, row)) for row in counts]
             for p in set(prefixes) - known.keys():
                 known[p] = [_name(q) for q in _reached(p)]
@@ -166,9 +190,9 @@ def one_apart(a: str, b: str) -> bool:
 class _Words:
     """Words of one group of rows with their vectors and letters."""
 
-    def __init__(self, words: list[str], groups: int):
+    def __init__(self, words: list[str], order: Sequence[int]):
         self.words = words
-        self.counts = vectors(words, groups)
+        self.counts = vectors(words, order)
         self.lengths = np.array([len(w) for w in words], np.int64)
         short = self.lengths <= _WIDE
         letters = "".join(w for w in words if len(w) <= _WIDE)
@@ -176,42 +200,46 @@ class _Words:
         sizes = np.where(short, self.lengths, 0)
         rows = np.repeat(np.arange(len(words)), sizes)
         first = np.cumsum(sizes) - sizes
-        self.letters = np.zeros((len(words), _WIDE + 2), np.uint32)
+        # One byte a letter, and no more columns, where the words need no more.
+        kind = np.uint8 if points.max(initial=0) < 256 else np.uint32
+        self.letters = np.zeros((len(words), _WIDE + 2), kind)
         self.letters[rows, np.arange(len(points)) - first[rows]] = points
 
 
 def _verified(a: _Words, b: _Words, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
     """Which of the pairs (a[ia], b[ib]) are one code point apart."""
-    gap = b.lengths[ib] - a.lengths[ia]
+    left, right = a.lengths[ia], b.lengths[ib]
+    gap = right - left
     near = np.zeros(len(ia), bool)
-    wide = (a.lengths[ia] > _WIDE) | (b.lengths[ib] > _WIDE)
+    wide = (left > _WIDE) | (right > _WIDE)
+    width = min(_WIDE, int(max(left.max(initial=0), right.max(initial=0)))) + 1
     for k in np.flatnonzero(wide & (np.abs(gap) <= 1)):
         near[k] = one_apart(a.words[ia[k]], b.words[ib[k]])
     same = np.flatnonzero(~wide & (gap == 0))
-    near[same] = (a.letters[ia[same]] != b.letters[ib[same]]).sum(1) == 1
+    near[same] = (a.letters[ia[same], :width] != b.letters[ib[same], :width]).sum(1) == 1
     for sign, (x, ix), (y, iy) in ((1, (a, ia), (b, ib)), (-1, (b, ib), (a, ia))):
         some = np.flatnonzero(~wide & (gap == sign))
-        short, long = x.letters[ix[some]], y.letters[iy[some]]
-        differs = short != long
-        start = differs.argmax(1)[:, None]
-        places = np.arange(_WIDE + 1)[None, :]
-        near[some] = ((places < start) | (short[:, :-1] == long[:, 1:])).all(1)
+        short, long = x.letters[ix[some], :width], y.letters[iy[some], : width + 1]
+        start = (short != long[:, :-1]).argmax(1)[:, None]
+        after = np.arange(width)[None, :] >= start
+        near[some] = ~((short != long[:, 1:]) & after).any(1)
     return near
 
 
 def search(words: _Words, visitors: _Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(word, visitor) numbers of all pairs one code point apart.
+    """(word, visitor) numbers of all pairs one code point apart, words of one
+    vector both ways.
 
-    Depth first over the trie of ``words``: a node is a slice of the words in the
-    order of their vectors and holds the visitors that can still reach it, each
-    with what it has left of its surplus and deficit.
+    Of two vectors the visitor's comes first or equals the word's. Depth first over the trie of
+    ``words``: a node is a slice of the words in the order of their vectors and
+    holds the visitors that can still reach it, each with what it has spent: 0
+    nothing, 1 the surplus, 2 the deficit as well.
     """
     order = np.lexsort(words.counts.T[::-1])
     counts = words.counts[order]
     levels = counts.shape[1]
-    everyone = np.arange(len(visitors.words))
-    unspent = np.ones(len(everyone), bool)
-    stack = [(0, len(order), 0, everyone, unspent, unspent)]
+    nobody = np.zeros(len(visitors.words), np.int8)
+    stack = [(0, len(order), 0, np.arange(len(visitors.words)), nobody)]
     kept: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
@@ -222,7 +250,11 @@ def search(words: _Words, visitors: _Words) -> Iterator[tuple[np.ndarray, np.nda
         return left[near], right[near]
 
     while stack:
-        low, high, level, who, more, less = stack.pop()
+        low, high, level, who, spent = stack.pop()
+        if high - low == 1 and level < levels:
+            # One word is left: all its other counts at once.
+            who = _fitting(counts[low, level:], visitors.counts[who, level:], who, spent)
+            level = levels
         if level == levels:
             # At most _PAIRS pairs at a time, however full a leaf is.
             step = max(1, _PAIRS // (high - low))
@@ -235,21 +267,33 @@ def search(words: _Words, visitors: _Words) -> Iterator[tuple[np.ndarray, np.nda
                     kept, size = [], 0
             continue
         here = counts[low:high, level]
-        cuts = np.flatnonzero(np.diff(here)) + 1
-        bounds = [low, *(low + cuts), high]
+        cuts = (np.flatnonzero(here[1:] != here[:-1]) + (low + 1)).tolist()
         own = visitors.counts[who, level]
-        for a, b in zip(bounds, bounds[1:]):
+        for a, b in zip([low, *cuts], [*cuts, high]):
             change = counts[a, level] - own
-            up, down = change == 1, change == -1
-            can = (change == 0) | (up & more) | (down & less)
-            if can.any():
-                stack.append(
-                    (a, b, level + 1, who[can], (more & ~up)[can], (less & ~down)[can])
-                )
+            # Nothing changes, or the next thing is spent: the surplus, the deficit.
+            can = np.flatnonzero((change == 0) | (change == _NEXT[spent]))
+            if len(can):
+                left = who[can], spent[can] + (change[can] != 0).astype(np.int8)
+                stack.append((a, b, level + 1, *left))
     if kept:
         yield compared()
 
 
+def _fitting(word: np.ndarray, own: np.ndarray, who: np.ndarray, spent: np.ndarray) -> np.ndarray:
+    """The visitors whose other counts fit one word's."""
+    change = word[None, :] - own
+    size = np.abs(change).sum(1)
+    some = np.flatnonzero(size <= 2 - spent)
+    change, size, spent = change[some], size[some], spent[some]
+    first = change[np.arange(len(some)), (change != 0).argmax(1)]
+    total = change.sum(1)
+    fits = (size == 0) | (
+        np.where(spent == 1, (size == 1) & (total == -1), (first == 1) & (total == 2 - size))
+    )
+    return who[some[fits]]
+
+
 def near_pairs(words: DataFrame, groups: int = GROUPS) -> DataFrame:
     """(a, na, b, nb): every pair of near words once, with their numbers.
 
@@ -257,9 +301,10 @@ def near_pairs(words: DataFrame, groups: int = GROUPS) -> DataFrame:
     """
     total = words.count()
     levels = min(groups, max(1, math.ceil(math.log(max(total / SHARD, 1), 3))))
-    placed = write_out(_sharded(words, levels, groups), "shards")
+    order = level_order(words, groups)
+    placed = write_out(_sharded(words, levels, order), "shards")
     sizes = placed.groupBy("shard").agg(F.count("*").alias("held"))
-    visits = placed.select(F.explode("visits").alias("at"), "shard", "word", "n")
+    visits = placed.select(F.explode("visits").alias("at"))
     visits = visits.groupBy("at").agg(F.count("*").alias("come")).withColumnRenamed("at", "shard")
     plan = sizes.join(visits, "shard").select(
         F.col("shard").alias("at"),
@@ -276,12 +321,11 @@ def near_pairs(words: DataFrame, groups: int = GROUPS) -> DataFrame:
 
     held = placed.withColumnRenamed("shard", "at").join(plan, "at")
     held = held.select("at", dealt("blocks").alias("block"), every("chunks").alias("chunk"), "word", "n")
-    come = placed.select(F.explode("visits").alias("at"), "shard", "word", "n").join(plan, "at")
+    come = placed.select(F.explode("visits").alias("at"), "word", "n").join(plan, "at")
     come = come.select(
         F.col("at").alias("to"),
         every("blocks").alias("of"),
         dealt("chunks").alias("part"),
-        F.col("shard").alias("home"),
         F.col("word").alias("visitor"),
         F.col("n").alias("times"),
     )
@@ -289,12 +333,12 @@ def near_pairs(words: DataFrame, groups: int = GROUPS) -> DataFrame:
     def meet(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            words_, visitors = _Words(list(left["word"]), groups), _Words(list(right["visitor"]), groups)
-            home = (right["home"] == name[0]).to_numpy()
+            words_, visitors = _Words(list(left["word"]), order), _Words(list(right["visitor"]), order)
             for ia, ib in search(words_, visitors):
-                # Inside a shard both words visit; the smaller one's visit counts.
+                # Words of one vector meet both ways; the smaller one's visit counts.
+                same = (words_.counts[ia] == visitors.counts[ib]).all(1)
                 once = [
-                    not home[j] or visitors.words[j] < words_.words[i] for i, j in zip(ia, ib)
+                    not s or visitors.words[j] < words_.words[i] for s, i, j in zip(same, ia, ib)
                 ]
                 ia, ib = ia[once], ib[once]
                 found.append(
