@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.text import surface_tokens
 from loquent.plans.skew import salted_join
 
@@ -27,41 +29,88 @@ _KEYS = ["video_id", "segment_id"]
 def allowed(types: Column, allowlist: Sequence[str] = ALLOWED_TYPES) -> Column:
     return types.isin(list(allowlist))
 
-#: Tokens of the longest text the default patterns match, "January 5 2024".
-PATTERN_WORDS = 3
 
+#: More than the tokens of any text: spans sort by start, longer ones first.
+_SPAN = 1 << 31
+_MARK = "\u0001"
 
-def _phrases(words: Column, max_words: int | None) -> Column:
-    """All runs of up to ``max_words`` tokens, or of any number of them, as
-    (position, length, phrase)."""
-    count = F.size(words)
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1))
 
-    def runs(start: Column) -> Column:
-        most = count - start
-        if max_words is not None:
-            most = F.least(F.lit(max_words), most)
-        lengths = F.sequence(F.lit(1), most)
-        return F.transform(
-            lengths,
-            lambda n: F.struct(
+def _whole_tokens(pattern: str) -> str:
+    """A regular expression that is empty where a run of whole tokens begins that
+    ``pattern`` matches; its first group is the run."""
+    body = re.sub(r"(?<!\\)\$$", "", pattern.removeprefix("^"))
+    return rf"(?<![^ ])(?=((?:{body}))(?![^ ]))"
+
+
+def _pattern_hits(words: Column, patterns: Mapping[str, Sequence[str]]) -> Column | None:
+    """Runs of tokens that patterns match, as (position, length, phrase, kind).
+
+    The patterns run over the tokens joined by spaces. Marks put in where they
+    match say which tokens that is: the k-th marked token begins the k-th match.
+    """
+
+    def of_pattern(joined: Column, kind: str, pattern: str) -> Column:
+        rule = F.lit(_whole_tokens(pattern))
+        runs = F.regexp_extract_all(joined, rule, F.lit(1))
+        marked = F.split(F.regexp_replace(joined, rule, F.lit(_MARK)), " ")
+        starts = F.filter(
+            F.transform(marked, lambda t, i: F.when(t.startswith(_MARK), i)),
+            lambda i: i.isNotNull(),
+        )
+        hits = F.zip_with(
+            starts,
+            runs,
+            lambda start, run: F.struct(
                 start.alias("position"),
-                n.alias("length"),
-                F.array_join(F.slice(words, start + 1, n), " ").alias("phrase"),
+                F.size(F.split(run, " ")).alias("length"),
+                run.alias("phrase"),
+                F.lit(kind).alias("kind"),
             ),
         )
+        return F.filter(hits, lambda h: h["phrase"] != "")
+
+    rules = [(kind, pattern) for kind, own in patterns.items() for pattern in own]
+    if not rules:
+        return None
+    return let(
+        F.array_join(words, " "),
+        lambda joined: F.concat(*[of_pattern(joined, k, p) for k, p in rules]),
+    )
 
-    return F.flatten(F.transform(starts, runs))
 
+def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Listed phrases in texts, as rows (keys, position, length, phrase, kind).
 
-def _pattern_types(phrase: Column, patterns: Mapping[str, Sequence[str]]) -> Column:
-    hits = [
-        F.when(phrase.rlike("|".join(f"(?:{p})" for p in rules)), F.lit(kind))
-        for kind, rules in patterns.items()
-    ]
-    if not hits:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*hits))
+    The list is walked as a trie from table to table: a token, and a pair of
+    tokens, meets the heads of listed phrases; where one meets, the phrase lengths
+    known for that head are cut out and met with whole phrases. What leaves the
+    first join are beginnings of listed phrases, not all runs of tokens. Whether a
+    table is broadcast follows from its size; common heads are salted.
+    """
+    listed = gazetteer.filter(F.col("phrase").isNotNull() & F.col("entity_type").isNotNull())
+    parts = F.split("phrase", " ")
+    head = F.array_join(F.slice(parts, 1, 2), " ")
+    heads = listed.groupBy(head.alias("_head")).agg(F.collect_set(F.size(parts)).alias("_lengths"))
+    longest = listed.agg(F.max(F.size(parts))).first()[0] or 1
+    whole = listed.select(F.col("phrase").alias("_key"), F.col("entity_type").alias("kind")).distinct()
+
+    def start(word: Column, i: Column) -> Column:
+        return F.struct(i.alias("position"), F.slice("_words", i + 1, longest).alias("_run"))
+
+    starts = words.select(*_KEYS, F.inline(F.transform("_words", start)))
+    first = F.lower(F.get("_run", F.lit(0)))
+    pair = F.when(F.size("_run") > 1, F.lower(F.array_join(F.slice("_run", 1, 2), " ")))
+    begun = starts.select(
+        *_KEYS, "position", "_run", F.explode(F.array_compact(F.array(first, pair))).alias("_head")
+    )
+    begun = salted_join(begun, heads, ["_head"], [*_KEYS, "position"])
+    lengths = F.filter("_lengths", lambda n: n <= F.size("_run"))
+    cut = begun.select(*_KEYS, "position", "_run", F.explode(lengths).alias("length"))
+    phrase = F.array_join(F.slice("_run", 1, F.col("length")), " ")
+    cut = cut.select(*_KEYS, "position", "length", phrase.alias("phrase"))
+    cut = cut.withColumn("_key", F.lower("phrase"))
+    found = salted_join(cut, whole, ["_key"], [*_KEYS, "position"])
+    return found.select(*_KEYS, "position", "length", "phrase", "kind")
 
 
 def find_mentions(
@@ -75,58 +124,45 @@ def find_mentions(
     entity_type), all types included.
 
     ``gazetteer`` has (phrase, entity_type) with lower-case phrases of
-    space-separated tokens, of any length: the longest phrase says how many
-    tokens are looked at. Patterns match up to ``pattern_words`` tokens, whatever
-    the gazetteer holds; without it, the default patterns match the three tokens
-    they need, and a caller's own ones any number of tokens, which takes the square
-    of a segment's tokens. A phrase inside a longer matched one is dropped. Matching
-    is on whole tokens.
+    space-separated tokens, of any number. Patterns are regular expressions over
+    tokens joined by single spaces; a match is whole tokens, any number of them or
+    up to ``pattern_words``, so ``^`` and ``$`` around a pattern change nothing. From
+    each token a pattern has one match, the one that the expression prefers. Groups
+    may not be referred to by number. A phrase inside a longer matched one is
+    dropped. What patterns find does not depend on the gazetteer, nor the reverse,
+    but for that.
     """
-    if pattern_words is None and (not patterns or patterns == DEFAULT_PATTERNS):
-        pattern_words = PATTERN_WORDS
-    max_words = pattern_words
-    if gazetteer is not None and max_words is not None:
-        longest = F.max(F.size(F.split("phrase", " ")))
-        max_words = max(max_words, gazetteer.agg(longest).first()[0] or 0)
     words = segments.select(*_KEYS, surface_tokens(F.col("text")).alias("_words"))
-    phrases = words.select(*_KEYS, F.inline(_phrases(F.col("_words"), max_words)))
-    kinds = _pattern_types(F.col("phrase"), patterns)
-    if max_words != pattern_words:
-        none = F.array().cast("array<string>")
-        kinds = F.when(F.col("length") <= pattern_words, kinds).otherwise(none)
-    typed = phrases.withColumn("_kinds", kinds)
+    hits = _pattern_hits(F.col("_words"), patterns)
+    found = None
+    if hits is not None:
+        found = words.select(*_KEYS, F.inline(hits))
+        if pattern_words is not None:
+            found = found.filter(F.col("length") <= pattern_words)
     if gazetteer is not None:
-        kinds = gazetteer.groupBy(F.col("phrase").alias("_key")).agg(
-            F.collect_set("entity_type").alias("_listed")
-        )
-        # Common phrases repeat a lot in the corpus, so the join is salted.
-        # Whether the gazetteer is broadcast follows from its size.
-        keyed = typed.withColumn("_key", F.lower("phrase"))
-        none = F.array().cast("array<string>")
-        typed = salted_join(keyed, kinds, ["_key"], [*_KEYS, "position"], "left")
-        typed = typed.withColumn(
-            "_kinds", F.array_union("_kinds", F.coalesce("_listed", none))
-        )
-    matched = typed.filter(F.size("_kinds") > 0).withColumn(
-        "_end", F.col("position") + F.col("length")
-    )
-    # Spans start in order, longer first, so a span lies in an earlier one
-    # exactly if some earlier span reaches its end.
-    earlier = (
-        Window.partitionBy(*_KEYS)
-        .orderBy("position", F.desc("length"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    reach = F.max("_end").over(earlier)
-    return (
-        matched.withColumn("_reach", reach)
-        .filter(F.col("_reach").isNull() | (F.col("_reach") < F.col("_end")))
-        .select(
-            *_KEYS,
-            F.col("position").cast("bigint").alias("position"),
-            F.col("phrase").alias("entity_text"),
-            F.explode("_kinds").alias("entity_type"),
+        listed = _gazetteer_hits(words, gazetteer)
+        found = listed if found is None else found.unionByName(listed)
+    if found is None:
+        found = words.limit(0).select(
+            *_KEYS, F.expr("0 AS position"), F.expr("0 AS length"), F.expr("'' AS phrase"), F.expr("'' AS kind")
         )
+    start = F.col("position").cast("bigint")
+    spans = found.withColumn("_span", start * _SPAN + (_SPAN - F.col("length")))
+    # Spans sort by start, longer first, so a span lies in another one exactly if
+    # a span before it reaches its end. Equal spans are not before each other.
+    by_segment = Window.partitionBy(*_KEYS)
+    before = by_segment.orderBy("_span").rangeBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.col("position") + F.col("length")).over(before)
+    twin = F.lag(F.struct("_span", "kind")).over(by_segment.orderBy("_span", "kind"))
+    kept = spans.withColumn("_reach", reach).withColumn("_twin", twin)
+    return kept.filter(
+        (F.col("_reach").isNull() | (F.col("_reach") < F.col("position") + F.col("length")))
+        & ~F.col("_twin").eqNullSafe(F.struct("_span", "kind"))
+    ).select(
+        *_KEYS,
+        start.alias("position"),
+        F.col("phrase").alias("entity_text"),
+        F.col("kind").alias("entity_type"),
     )
 
 
