@@ -49,6 +49,13 @@ CO_OCCURRENCES = _schema(
     ("segment_count", T.LongType(), False),
 )
 
+#: Videos that a batch could not process, with the reason.
+FAILURES = _schema(
+    ("video_id", T.StringType(), False),
+    ("error", T.StringType(), False),
+    ("failed_at", T.TimestampType(), False),
+)
+
 GRAPH_NODES = _schema(
     ("entity_text", T.StringType(), False),
     ("entity_type", T.StringType(), True),
@@ -61,6 +68,7 @@ TABLES: dict[str, T.StructType] = {
     "segments": SEGMENTS,
     "entities": ENTITIES,
     "co_occurrences": CO_OCCURRENCES,
+    "failures": FAILURES,
 }
 
 #: A segment is identified by its video and its id inside the corpus.

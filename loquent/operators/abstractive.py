@@ -117,6 +117,74 @@ def lead_summary(segments: DataFrame, *, n_words: int = LEAD_WORDS) -> DataFrame
     )
 
 
+def guarded(summarise: BatchSummariser) -> BatchSummariser:
+    """``summarise`` with a column ``error`` instead of an exception.
+
+    It is called once per partition as long as it raises nothing. After an
+    exception, the prompts it had taken and not answered are tried again in
+    halves, down to single prompts, which get the message; then it is called
+    anew for the rest. An answer is never asked for twice.
+    """
+
+    def answered(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.assign(error=None)
+
+    def halved(prompts: pd.DataFrame, error: Exception) -> Iterator[pd.DataFrame]:
+        if len(prompts) == 1:
+            message = f"{type(error).__name__}: {error}"
+            yield prompts[_TOPIC].assign(summary=None, error=message)
+            return
+        middle = len(prompts) // 2
+        for half in (prompts.iloc[:middle], prompts.iloc[middle:]):
+            yield from tried(half.reset_index(drop=True))
+
+    def tried(prompts: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        open_ = {key: i for i, key in enumerate(zip(*(prompts[c] for c in _TOPIC)))}
+        try:
+            for out in summarise(iter([prompts])):
+                for key in zip(*(out[c] for c in _TOPIC)):
+                    open_.pop(key, None)
+                yield answered(out)
+        except Exception as error:
+            if open_:
+                left = prompts.iloc[sorted(open_.values())].reset_index(drop=True)
+                yield from halved(left, error)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        source = iter(frames)
+        while True:
+            asked: dict[tuple, str] = {}
+            ended = False
+
+            def feed() -> Iterator[pd.DataFrame]:
+                nonlocal ended
+                for frame in source:
+                    asked.update(zip(zip(*(frame[c] for c in _TOPIC)), frame["prompt"]))
+                    yield frame
+                ended = True
+
+            try:
+                for out in summarise(feed()):
+                    for key in zip(*(out[c] for c in _TOPIC)):
+                        asked.pop(key, None)
+                    yield answered(out)
+                return
+            except Exception as error:
+                if not asked and not ended:
+                    # It failed before it took a prompt; the next ones are tried alone.
+                    frame = next(source, None)
+                    if frame is None:
+                        return
+                    yield from tried(frame)
+                elif asked:
+                    left = pd.DataFrame([(*k, p) for k, p in asked.items()], columns=[*_TOPIC, "prompt"])
+                    yield from halved(left, error)
+                if ended:
+                    return
+
+    return run
+
+
 def hook_summary(
     segments: DataFrame,
     summarise: BatchSummariser,
@@ -125,7 +193,9 @@ def hook_summary(
     partitions: int | None = None,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
-    """(video_id, topic_key, summary) from a caller's batch function.
+    """(video_id, topic_key, summary, error) from a caller's batch function.
+
+    Where it raises for a topic, that topic has the message and no summary.
 
     ``partitions`` sets how many partitions, and so how many clients, share the
     prompts. Prompts are few bytes for much work, so Spark would choose too few.
@@ -134,7 +204,8 @@ def hook_summary(
     prompts = summary_prompt(segments, instruction=instruction, size=size)
     if partitions is not None:
         prompts = prompts.repartition(partitions, *_TOPIC)
-    return write_out(prompts.mapInPandas(summarise, _SUMMARY_SCHEMA), "summaries")
+    answers = prompts.mapInPandas(guarded(summarise), f"{_SUMMARY_SCHEMA}, error STRING")
+    return write_out(answers, "summaries")
 
 
 def topic_summary(
@@ -146,7 +217,10 @@ def topic_summary(
     n_words: int = LEAD_WORDS,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
-    """(video_id, segment_id, summary): every segment gets its topic's summary."""
+    """(video_id, segment_id, summary): every segment gets its topic's summary.
+
+    With ``summarise`` a column ``error`` holds the message where it raised.
+    """
     if summarise is None:
         per_topic = lead_summary(segments, n_words=n_words)
     else:
@@ -159,4 +233,5 @@ def topic_summary(
         )
     keyed = with_topic_key(segments).select(*_TOPIC, "segment_id")
     spread = attach(keyed, per_topic, _TOPIC, "segment_id", size=size)
-    return spread.select("video_id", "segment_id", "summary")
+    added = [c for c in per_topic.columns if c not in _TOPIC]
+    return spread.select("video_id", "segment_id", *added)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,21 +12,35 @@ from pyspark.sql import functions as F
 from loquent.functions import urls as U
 from loquent.functions.reporting import outcome_line
 from loquent.operators.cooccurrence import co_occurrences, top_pairs, with_support
-from loquent.operators.enrich import merge_nlp
-from loquent.operators.ids import (
-    global_entity_ids,
-    global_segment_ids,
-    list_position,
-    next_id,
-)
+from loquent.operators.enrich import merge_nlp, unique_names
+from loquent.operators.ids import global_entity_ids, global_segment_ids, list_position
 from loquent.operators.registry import ENTITIES, Processor, run_all
 from loquent.plans.skew import restrict_to_videos, salted_join
 from loquent.session import write_out
 from loquent.sources.transcripts import expand_list, with_times
-from loquent.sources.warehouse import Warehouse
+from loquent.sources.warehouse import CommitConflict, Warehouse, with_time
 
 NO_ID_MESSAGE = "No video id in URL: "
 NO_TRANSCRIPT_MESSAGE = "No transcript for video: "
+#: Halvings of a batch before its error is taken for one of the system.
+MAX_SPLITS = 64
+_ERROR_LINE = re.compile(r"^[\w.]*(?:Error|Exception|Interrupt|Exit)\b")
+
+
+def result_errors(results: Mapping[str, DataFrame]) -> DataFrame | None:
+    """(video_id, error) of the videos some processor reports an error for.
+
+    A result may have a column ``error``; None if none has. The smallest message
+    of a video stands for all.
+    """
+    found = None
+    for result in results.values():
+        if "error" in result.columns:
+            own = result.filter(F.col("error").isNotNull()).select("video_id", "error")
+            found = own if found is None else found.unionByName(own)
+    if found is None:
+        return None
+    return write_out(found.groupBy("video_id").agg(F.min("error").alias("error")), "errors")
 
 
 def process_segments(
@@ -32,19 +48,24 @@ def process_segments(
     videos: DataFrame,
     segments: DataFrame,
     processors: Sequence[Processor] | None = None,
-) -> None:
-    """Store new videos with their segments and entities.
+) -> DataFrame | None:
+    """Store new videos with their segments and entities, as one commit.
 
     ``videos`` has (video_id, url, title[, position]), one row per video;
     ``segments`` (video_id, segment_id, text[, start_time, end_time]) with
-    local ids. Videos already stored are left out. The video rows come last,
-    and leftovers of a run that broke before them are removed first, so a
-    repeated run gives the same tables.
+    local ids. Videos already stored are left out. A run that breaks before its
+    commit leaves nothing that a reader sees, so it can be repeated.
+
+    A video for which a processor reports an error (see ``result_errors``) is not
+    stored; its message goes to the table ``failures`` and is returned as
+    (video_id, error). Its ids stay unused.
     """
     new = write_out(warehouse.skip_processed(videos), "new_videos")
     if new.limit(1).isEmpty():
-        return
-    warehouse.delete_videos(new, ("entities", "segments"))
+        return None
+    batch = warehouse.begin()
+    if warehouse.holds_loose_rows():
+        batch.delete(new, ("entities", "segments"))
 
     columns = ["video_id", *(["position"] if "position" in new.columns else [])]
     mine = write_out(
@@ -56,21 +77,81 @@ def process_segments(
     placed = global_segment_ids(
         mine,
         position="position" if "position" in new.columns else None,
-        start=next_id(warehouse.read_segments(), "segment_id"),
+        start=batch.next_segment_id,
     )
     base = write_out(
         placed.select("segment_id", "video_id", "start_time", "end_time", "text"),
         "segments",
     )
     results = run_all(base, processors)
-    warehouse.append_segments(merge_nlp(base, results))
-    found = write_out(results[ENTITIES], "entities")
-    warehouse.append_entities(
-        global_entity_ids(
-            found, start=next_id(warehouse.read_entities(), "entity_id")
-        )
-    )
-    warehouse.append_videos(new.select("video_id", "url", "title"))
+    errors = result_errors(results)
+    if errors is not None and errors.isEmpty():
+        errors = None
+
+    def sound(rows: DataFrame) -> DataFrame:
+        return rows if errors is None else restrict_to_videos(rows, errors, "left_anti")
+
+    batch.append("segments", sound(merge_nlp(base, results, unique=unique_names(processors))))
+    found = write_out(sound(results[ENTITIES]), "entities")
+    batch.append("entities", global_entity_ids(found, start=batch.next_entity_id))
+    batch.append("videos", with_time(sound(new.select("video_id", "url", "title")), "processed_at"))
+    if errors is not None:
+        batch.append("failures", with_time(errors, "failed_at"))
+    batch.commit()
+    return errors
+
+
+def reason(error: Exception) -> str:
+    """The line of an error that names it: of a worker's traceback, the last one."""
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    named = [line for line in lines if _ERROR_LINE.match(line)]
+    return (named or lines or [type(error).__name__])[-1 if named else 0]
+
+
+def process_videos(
+    warehouse: Warehouse,
+    videos: DataFrame,
+    segments: DataFrame,
+    processors: Sequence[Processor] | None = None,
+    *,
+    max_splits: int = MAX_SPLITS,
+) -> list[DataFrame]:
+    """``process_segments``, going on past videos that make a processor raise.
+
+    Where a job fails, its videos are halved and both halves are tried again, so
+    one bad video costs some three times the work of its batch, and all others
+    are stored. A video that fails alone goes to the table ``failures``. After
+    ``max_splits`` halvings the error is raised: then it is hardly the videos'.
+    Returns frames of (video_id, error).
+    """
+    place = F.xxhash64("video_id")
+    waiting = [write_out(videos, "videos")]
+    failed: list[DataFrame] = []
+    splits = 0
+    while waiting:
+        part = waiting.pop()
+        try:
+            errors = process_segments(warehouse, part, segments, processors)
+            failed += [] if errors is None else [errors]
+        except CommitConflict:
+            raise
+        except Exception as error:
+            row = part.agg(
+                F.count_distinct("video_id").alias("n"),
+                F.percentile_approx(place, 0.5, F.lit(10_000)).alias("middle"),
+                F.max(place).alias("top"),
+            ).first()
+            if row["n"] <= 1:
+                message = F.lit(reason(error)).alias("error")
+                errors = write_out(part.select("video_id", message).distinct(), "errors")
+                warehouse.append("failures", with_time(errors, "failed_at"))
+                failed.append(errors)
+            elif splits >= max_splits or row["middle"] == row["top"]:
+                raise
+            else:
+                splits += 1
+                waiting += [part.filter(place > row["middle"]), part.filter(place <= row["middle"])]
+    return failed
 
 
 def batch_outcomes(
@@ -117,7 +198,8 @@ def process_batch(
 ) -> DataFrame:
     """Process a URL list as one job; returns the outcome of every URL.
 
-    A bad URL does not stop the batch; its error is kept in its row. A video
+    Neither a bad URL nor a video that a processor fails on stops the batch; its
+    error is kept in its row. A video
     named twice is processed once, one titled twice takes the smallest title,
     and one without segments has no transcript, whatever its title.
     """
@@ -135,8 +217,12 @@ def process_batch(
         .select("video_id", "_first.*")
     )
     videos = wanted.join(titles.select("video_id", "title"), "video_id")
-    process_segments(warehouse, videos, segments, processors)
-    return outcomes
+    failed = process_videos(warehouse, videos, segments, processors)
+    if not failed:
+        return outcomes
+    messages = reduce(DataFrame.unionByName, failed).withColumnRenamed("error", "_failed")
+    known = salted_join(outcomes, messages, ["video_id"], ["position"], "left")
+    return known.withColumn("error", F.coalesce("error", "_failed")).drop("_failed")
 
 
 def process_lists(

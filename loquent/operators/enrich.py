@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from loquent.operators.registry import (
     TOPICS,
     Processor,
     attach_topic,
+    default_processors,
     run_all,
 )
 from loquent.plans.ordered import CHUNK_SIZE, attach
@@ -27,20 +28,44 @@ from loquent.plans.ordered import CHUNK_SIZE, attach
 _KEYS = ["video_id", "segment_id"]
 
 
+def last_rows(result: DataFrame, order: str = "order") -> DataFrame:
+    """The last row of every segment: of the largest ``order`` if the result has
+    that column, else the one that stands last in the frame."""
+    place = F.col(order) if order in result.columns else F.monotonically_increasing_id()
+    others = [c for c in result.columns if c not in _KEYS]
+    row = F.struct(*[F.col(c) for c in others])
+    numbered = result.select(*_KEYS, place.alias("_place"), row.alias("_row"))
+    last = numbered.groupBy(*_KEYS).agg(F.max_by("_row", "_place").alias("_row"))
+    return last.select(*_KEYS, "_row.*")
+
+
+def unique_names(processors: Sequence[Processor] | None) -> set[str]:
+    """Names of the processors that promise one row per segment."""
+    chosen = default_processors() if processors is None else processors
+    return {p.name for p in chosen if getattr(p, "one_per_segment", False)}
+
+
 def merge_nlp(
     segments: DataFrame,
     results: Mapping[str, DataFrame],
     *,
+    unique: Collection[str] = (),
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
     """Segments with topic, summaries and the three metrics.
 
-    ``results`` has one row per segment at most. Missing summaries become '',
-    a missing topic null. The compression ratio compares a topic's summary with
+    Where a result has several rows of a segment the last one counts (see
+    ``last_rows``); those named in ``unique`` have one each. Missing summaries
+    become '', a missing topic null. The compression ratio compares a topic's summary with
     the whole topic's text, so only word counts are summed per topic; the text
     itself is not gathered.
     """
-    labelled = attach_topic(segments, results[TOPICS])
+    results = {
+        name: result if name in unique else last_rows(result)
+        for name, result in results.items()
+        if name in (TOPICS, EXTRACTIVE, ABSTRACTIVE)
+    }
+    labelled = attach_topic(segments, results[TOPICS].select(*_KEYS, "topic_label"))
     sized = attach(
         with_topic_key(labelled),
         topic_words(labelled),
@@ -84,4 +109,6 @@ def enrich_segments(
     Every processor reads ``segments``, so they should be a stored table rather
     than a costly plan (see ``session.write_out``).
     """
-    return merge_nlp(segments, run_all(segments, processors))
+    return merge_nlp(
+        segments, run_all(segments, processors), unique=unique_names(processors)
+    )

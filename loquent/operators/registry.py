@@ -27,7 +27,11 @@ ABSTRACTIVE = "abstractive_summary"
 
 @runtime_checkable
 class Processor(Protocol):
-    """Turns segments into rows keyed by (video_id, segment_id)."""
+    """Turns segments into rows keyed by (video_id, segment_id).
+
+    A result may have a column ``error``; a video with one is not stored. A
+    processor with a true ``one_per_segment`` gives one row per segment at most.
+    """
 
     name: str
 
@@ -38,6 +42,7 @@ class Processor(Protocol):
 class ExtractiveSummarizer:
     limit: int = TOP_TERMS
     name: str = EXTRACTIVE
+    one_per_segment: bool = True
 
     def transform(self, segments: DataFrame) -> DataFrame:
         return extractive_summary(segments, limit=self.limit)
@@ -67,6 +72,7 @@ class TopicSegmenter:
     embedding: str | None = None
     size: int = CHUNK_SIZE
     name: str = TOPICS
+    one_per_segment: bool = True
 
     def transform(self, segments: DataFrame) -> DataFrame:
         return segment_topics(
@@ -81,6 +87,7 @@ class AbstractiveSummarizer:
     partitions: int | None = None
     n_words: int = LEAD_WORDS
     name: str = ABSTRACTIVE
+    one_per_segment: bool = True
 
     def transform(self, segments: DataFrame) -> DataFrame:
         return topic_summary(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loquent.operators.batch import process_segments
+from loquent.operators.batch import process_videos
 from loquent.operators.registry import Processor
 from loquent.sources.transcripts import segments_from_text
 from loquent.sources.warehouse import Warehouse
@@ -23,14 +23,14 @@ def incremental_ingest(
     checkpoint: str,
     processors: Sequence[Processor] | None = None,
     *,
-    store: Callable[..., None] = process_segments,
+    store: Callable[..., object] = process_videos,
 ) -> StreamingQuery:
     """Process all transcript files not seen yet, then stop.
 
     ``source`` holds parquet files of whole transcripts, one row per video. The
     stream remembers its files in ``checkpoint``; a video that comes again in
     another file, or in a batch run again after a failure, is skipped because
-    its row is already stored.
+    its row is already stored. Videos that fail are in the table ``failures``.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
