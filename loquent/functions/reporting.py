@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OUTCOME_MARKER = "EPISODE_DONE"
+OUTCOME_MARKER = "VIDEO_DONE"
 
 
+# The formats of the lines below.
 def pair_line(a: Column, b: Column, videos: Column, segments: Column) -> Column:
     return F.format_string("%s <-> %s: %d videos, %d segments", a, b, videos, segments)
 

@@ -64,7 +64,7 @@ def process_segments(
     if new.limit(1).isEmpty():
         return None
     batch = warehouse.begin()
-    if warehouse.holds_loose_rows():
+    if batch.after_loose_rows():
         batch.delete(new, ("entities", "segments"))
 
     columns = ["video_id", *(["position"] if "position" in new.columns else [])]
@@ -104,8 +104,9 @@ def process_segments(
 def reason(error: Exception) -> str:
     """The line of an error that names it: of a worker's traceback, the last one."""
     lines = [line.strip() for line in str(error).splitlines() if line.strip()]
-    named = [line for line in lines if _ERROR_LINE.match(line)]
-    return (named or lines or [type(error).__name__])[-1 if named else 0]
+    if any(line.startswith("Traceback") for line in lines):
+        lines = [line for line in lines if _ERROR_LINE.match(line)][-1:] or lines
+    return (lines or [type(error).__name__])[0]
 
 
 def process_videos(

@@ -11,6 +11,7 @@ from loquent.functions.reporting import averages_line, entity_line
 from loquent.functions.text import format_time, prefix, title_or_default
 from loquent.plans.skew import restrict_to_videos
 
+# How much the reports show.
 MAX_TOPICS_SHOWN = 30
 TIMELINE_PREFIX = 160
 DIVERGENT_PREFIX = 70

@@ -69,6 +69,13 @@ def _is_keyed(schema: T.StructType) -> bool:
     return "video_id" in schema.fieldNames()
 
 
+def live(name: str, log: Sequence[Commit]) -> list[Commit]:
+    """The entries whose rows make up a table."""
+    wrote = [c for c in log if name in c.tables]
+    whole = [i for i, c in enumerate(wrote) if c.replaces]
+    return wrote[whole[-1] :] if whole else wrote
+
+
 class Batch:
     """Rows that become visible together.
 
@@ -78,7 +85,8 @@ class Batch:
 
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
-        last = (warehouse.commits() or [Commit(-1, "", False, (), (), 0, 0)])[-1]
+        self.log = warehouse.commits()
+        last = self.log[-1] if self.log else Commit(-1, "", False, (), (), 0, 0)
         self.seq = last.seq + 1
         # Names sort as commits do, also beside a broken batch of one place.
         self.name = f"{self.seq:012d}-{uuid.uuid4().hex[:8]}"
@@ -103,6 +111,14 @@ class Batch:
         keys.write.mode("append").option("compression", "zstd").parquet(path)
         self._deleted += [n for n in names if n not in self._deleted]
 
+    def after_loose_rows(self) -> bool:
+        """Whether some rows are stored apart from the rows of their videos."""
+        return any(
+            "videos" not in c.tables and not c.replaces
+            for name in ("segments", "entities")
+            for c in live(name, self.log)
+        )
+
     def _after(self, name: str, column: str, free: int) -> int:
         """The next free id; only this batch's own rows are read."""
         if name not in self._tables:
@@ -240,28 +256,22 @@ class Warehouse:
         batch.append("co_occurrences", pairs)
         batch.commit(replaces=True)
 
-    def _live(self, name: str, log: Sequence[Commit]) -> list[Commit]:
-        """The batches that make up a table now."""
-        wrote = [c for c in log if name in c.tables]
-        whole = [i for i, c in enumerate(wrote) if c.replaces]
-        return wrote[whole[-1] :] if whole else wrote
-
     def read(self, name: str, video_id: str | None = None) -> DataFrame:
         """A whole table as it is committed now, or the rows of one video."""
         schema = model.TABLES[name]
         log = self.commits()
-        live = self._live(name, log)
-        if not live:
+        parts = live(name, log)
+        if not parts:
             return self.spark.createDataFrame([], schema)
         rows = (
             self.spark.read.schema(self._stored_schema(schema))
             .option("basePath", self.path(name))
-            .parquet(*[self.batch_path(name, c.batch) for c in live])
+            .parquet(*[self.batch_path(name, c.batch) for c in parts])
         )
         if video_id is not None:
             here = F.col(BUCKET) == _bucket(F.lit(video_id))
             rows = rows.filter(here & (F.col("video_id") == video_id))
-        later = [c for c in log if name in c.deleted and c.seq > live[0].seq]
+        later = [c for c in log if name in c.deleted and c.seq > parts[0].seq]
         if later:
             rows = self._without(rows, name, later)
         return rows.select(*schema.fieldNames())
@@ -289,15 +299,6 @@ class Warehouse:
         batch.append(name, self.read(name))
         batch.commit(replaces=True)
 
-    def holds_loose_rows(self) -> bool:
-        """Whether some rows were stored apart from the rows of their videos."""
-        log = self.commits()
-        return any(
-            "videos" not in c.tables and not c.replaces
-            for name in ("segments", "entities")
-            for c in self._live(name, log)
-        )
-
     def read_finished(self, name: str) -> DataFrame:
         """Rows of videos whose video row is there, that is, whose run has ended."""
         return restrict_to_videos(self.read(name), self.read_videos())

@@ -45,12 +45,13 @@ def test_prefix_and_title(one):
 @pytest.mark.parametrize(
     "original, summary, ratio",
     [
-        ("rain fell on old roofs", "rain fell", 0.4),
-        ("", "a", None),
-        ("   ", "a", None),
-        ("a b", "", 0.0),
-        ("a b", "a b", 1.0),
-        ("a", "a b c", 3.0),
+        # Any white space parts words; only their number counts.
+        ("salt\tfog\nkelp  tide", "x", 0.25),
+        ("salt fog kelp", "salt-fog kelp", 2 / 3),
+        ("one", "much longer than its one word", 6.0),
+        ("salt fog", " \n ", 0.0),
+        ("\u2003\n", "anything", None),
+        (None, None, None),
     ],
 )
 def test_compression_ratio(one, original, summary, ratio):
@@ -108,13 +109,18 @@ SCORES = "s ARRAY<STRUCT<sentence STRING, score DOUBLE>>, t STRING"
 @pytest.mark.parametrize(
     "scores, target, expected",
     [
-        ([("Nine bells rang.", 0.5), ("Fog came.", 0.2)], "Fog came.", 0.2),
-        ([("Nine bells rang.", 0.5)], "Missing.", None),
-        ([], "Nine bells rang.", None),
-        ([("", 0.5)], "", None),
-        ([("Nine bells rang.", 0.5)], " Nine bells rang. ", 0.5),
-        ([(" Nine bells rang. ", 0.5)], " Nine bells rang. ", None),
-        ([("Same.", 0.1), ("Same.", 0.9)], "Same.", 0.9),
+        # Of equal sentences the last counts, also between others.
+        ([("Tar.", 3.0), ("Rope.", 1.5), ("Tar.", 0.25), ("Oil.", 9.0)], "Tar.", 0.25),
+        # A part of a sentence, or more than it, is another sentence.
+        ([("Tar and rope.", 1.0)], "Tar and", None),
+        ([("Tar", 1.0)], "Tar and rope.", None),
+        ([("tar.", 1.0)], "Tar.", None),
+        # The target is trimmed, the keys are not; white space is no sentence.
+        ([("Tar.", 1.0), ("Tar.\n", 2.0)], "\tTar.\n", 1.0),
+        ([(" ", 1.0), ("", 2.0)], " ", None),
+        ([("Tar.", 0.0)], "Tar.", 0.0),
+        (None, "Tar.", None),
+        ([("Tar.", 1.0)], None, None),
     ],
 )
 def test_textrank_lookup(one, scores, target, expected):
@@ -189,16 +195,16 @@ def test_outcome_lines_round_trip(spark):
     line = reporting.outcome_line(C("position"), C("total"), C("video_id"), C("error"))
     lines = df.select(line.alias("line"))
     assert [r["line"] for r in lines.collect()] == [
-        "EPISODE_DONE 1/3 id1 ok",
-        "EPISODE_DONE 2/3 id2 failed",
-        "EPISODE_DONE 3/3 unknown ok",
+        "VIDEO_DONE 1/3 id1 ok",
+        "VIDEO_DONE 2/3 id2 failed",
+        "VIDEO_DONE 3/3 unknown ok",
     ]
     got = [tuple(r["o"]) for r in lines.select(reporting.parse_outcome(C("line")).alias("o")).collect()]
     assert got == [(1, 3, "id1", True), (2, 3, "id2", False), (3, 3, "unknown", True)]
 
 
 def test_other_lines_are_no_outcomes(one):
-    assert one(reporting.parse_outcome(C("l")), "l STRING", "EPISODE_DONE 1 of 2") is None
+    assert one(reporting.parse_outcome(C("l")), "l STRING", "VIDEO_DONE 1 of 2") is None
 
 
 def test_report_lines(one):

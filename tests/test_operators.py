@@ -1,6 +1,8 @@
 import itertools
+import math
 import random
 import re
+import statistics
 from collections import Counter, defaultdict
 
 import pytest
@@ -26,16 +28,23 @@ def vectors(spark, *rows, video="v"):
     )
 
 
-def test_zero_multiplier_splits_at_the_jump_only(spark):
-    three = vectors(spark, (1, [1.0, 0.0]), (6, [0.0, 1.0]), (7, [0.1, 1.0]))
-    labels = by_id(topics.segment_topics(three, k=0.0, embedding="vec"), "topic_label")
-    assert labels == {1: "topic_0", 6: "topic_1", 7: "topic_1"}
+#: Small turns, a right angle after id 12, a smaller one after id 30.
+TURNS = [(11, 0), (12, 5), (20, 95), (30, 97), (44, 130), (45, 133)]
 
 
-def test_high_multiplier_keeps_all_together(spark):
-    three = vectors(spark, (1, [1.0, 0.0]), (6, [0.0, 1.0]), (7, [0.1, 1.0]))
-    labels = by_id(topics.segment_topics(three, k=10.0, embedding="vec"), "topic_label")
-    assert set(labels.values()) == {"topic_0"}
+@pytest.mark.parametrize(
+    "k, starts", [(-0.2, {20, 44}), (0.5, {20}), (1.5, {20}), (1.8, set())]
+)
+def test_topics_start_where_the_turn_passes_the_threshold(spark, k, starts):
+    rows = [(i, [math.cos(math.radians(a)), math.sin(math.radians(a))]) for i, a in TURNS]
+    turns = [1 - math.cos(math.radians(b - a)) for (_, a), (_, b) in zip(TURNS, TURNS[1:])]
+    limit = statistics.mean(turns) + k * statistics.stdev(turns)
+    assert {i for (i, _), t in zip(TURNS[1:], turns) if t > limit} == starts
+    labels = by_id(topics.segment_topics(vectors(spark, *rows), k=k, embedding="vec"), "topic_label")
+    number = 0
+    for i, _ in TURNS:
+        number += i in starts
+        assert labels[i] == f"topic_{number}"
 
 
 @pytest.mark.parametrize("count", [0, 1, 2])
