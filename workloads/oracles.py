@@ -495,6 +495,9 @@ FINALS: dict[str, str] = {
         SELECT video_id, count(*) AS segments FROM doc_seg
         WHERE video_id NOT IN (SELECT video_id FROM label_video WHERE toxic = 1)
         GROUP BY ALL""",
+    "compact_segments": """
+        SELECT video_id, segment_id, text FROM doc_seg
+        WHERE video_id NOT IN (SELECT video_id FROM label_video WHERE toxic = 1)""",
     "graph_nodes": """
         SELECT coalesce(f.entity_text, o.p_name) AS entity_text,
                coalesce(f.entity_type, o.p_type) AS entity_type
@@ -772,6 +775,13 @@ FINALS: dict[str, str] = {
                CASE WHEN id LIKE 'x%' THEN 'No transcript for video: ' || id END AS error
         FROM (SELECT DISTINCT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'x' ELSE '' END
                 || CAST(conv_id AS VARCHAR) AS id FROM conversations)""",
+    "process_batch_failures": """
+        SELECT conv_id AS position, CAST(conv_id AS VARCHAR) AS video_id,
+               CASE WHEN refused THEN 'ValueError: refused' END AS error,
+               NOT refused AS stored,
+               CASE WHEN refused THEN 'ValueError: refused' END AS noted
+        FROM (SELECT conv_id, bool_or(contains(text, 'ing ing')) AS refused
+              FROM conversations GROUP BY conv_id)""",
     "batch_outcomes": "SELECT position, url, video_id, error FROM outcome",
     "batch_summary": """
         SELECT count(*) AS total, count(*) FILTER (error IS NULL) AS succeeded,

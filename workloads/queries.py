@@ -212,6 +212,17 @@ def delete_video(spark, folder):
     )
 
 
+@query("compact_segments")
+def compact_segments(spark, folder):
+    """Rows that stay after a delete, read from the table written anew."""
+    warehouse = D.new_warehouse(spark)
+    warehouse.append_segments(transcripts.with_times(D.doc_segments(spark, folder)))
+    toxic = D.table(spark, folder, "labels").filter("toxic = 1")
+    warehouse.delete_videos(toxic.select(F.col("doc_id").cast("string").alias("video_id")))
+    warehouse.compact("segments")
+    return warehouse.read_segments().select("video_id", "segment_id", "text")
+
+
 @query("graph_nodes")
 def graph_nodes(spark, folder):
     # Part names are the nodes of an earlier load.
@@ -850,6 +861,37 @@ def process_batch_entities(spark, folder):
     return warehouse.read_entities()
 
 
+@query("process_batch_failures")
+def process_batch_failures(spark, folder):
+    """Outcomes of a batch whose summariser refuses some talks; what is stored."""
+
+    def summarise(frames):
+        for frame in frames:
+            if frame["prompt"].str.contains("ing ing", regex=False).any():
+                raise ValueError("refused")
+            yield frame[["video_id", "topic_key"]].assign(summary="fine")
+
+    videos = D.talk_videos(spark, folder)
+    warehouse = D.new_warehouse(spark)
+    outcomes = batch.process_batch(
+        warehouse,
+        videos.select("position", "url"),
+        videos.select("video_id", "title"),
+        D.talk_segments(spark, folder),
+        [
+            D.LeadSentence(),
+            registry.TopicSegmenter(),
+            registry.AbstractiveSummarizer(summarise=summarise),
+            registry.EntityExtractor(),
+        ],
+    )
+    stored = warehouse.read_videos().select("video_id", F.lit(True).alias("stored"))
+    failed = warehouse.read_failures().select("video_id", F.col("error").alias("noted"))
+    return outcomes.join(stored, "video_id", "left").join(failed, "video_id", "left").select(
+        "position", "video_id", "error", F.coalesce("stored", F.lit(False)).alias("stored"), "noted"
+    )
+
+
 @query("process_lists")
 def process_lists(spark, folder):
     # Lists of up to ten talks; one talk in seven is listed under an unknown id.
