@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loquent.functions.binding import let
 from loquent.functions.text import surface_tokens
 from loquent.plans.skew import salted_join
+from loquent.session import write_out
 
 # The entity types kept.
 ALLOWED_TYPES = ("PERSON", "ORG", "GPE", "DATE", "PRODUCT")
@@ -91,8 +92,12 @@ def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
     parts = F.split("phrase", " ")
     head = F.array_join(F.slice(parts, 1, 2), " ")
     heads = listed.groupBy(head.alias("_head")).agg(F.collect_set(F.size(parts)).alias("_lengths"))
+    # Written out, their sizes are known, and small ones are broadcast: texts then
+    # meet them where they are read.
+    heads = write_out(heads, "heads")
     longest = listed.agg(F.max(F.size(parts))).first()[0] or 1
     whole = listed.select(F.col("phrase").alias("_key"), F.col("entity_type").alias("kind")).distinct()
+    whole = write_out(whole, "phrases")
 
     def start(word: Column, i: Column) -> Column:
         return F.struct(i.alias("position"), F.slice("_words", i + 1, longest).alias("_run"))
