@@ -1,7 +1,9 @@
 """One summary per topic.
 
-The default summary is the topic's first words. A caller's own summariser gets
-one prompt per topic through ``mapInPandas``.
+The default summary is the sentence that says most of the topic's main terms; all
+of the topic's text counts. A caller's own summariser gets prompts through
+``mapInPandas``: one per topic, or one per block of a topic and then, as in a tree,
+one per group of partial summaries.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loquent.functions.text import word_count, words
+from loquent.functions.text import sentences, terms, word_count
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
 from loquent.session import write_out
 
@@ -21,9 +23,14 @@ from loquent.session import write_out
 BatchSummariser = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 INSTRUCTION = "Sum up this part of a transcript in one or two sentences."
-LEAD_WORDS = 6
+#: Terms of a topic that its summary is chosen by.
+MAIN_TERMS = 10
+#: Partial summaries that are summed up together.
+FAN_IN = 16
 
 _TOPIC = ["video_id", "topic_key"]
+#: Parts the key of a topic from the number of a block.
+_PART = "\u0001"
 _SUMMARY_SCHEMA = "video_id STRING, topic_key STRING, summary STRING"
 
 
@@ -93,27 +100,71 @@ def summary_prompt(
     )
 
 
-def lead_summary(segments: DataFrame, *, n_words: int = LEAD_WORDS) -> DataFrame:
-    """(video_id, topic_key, summary): the first words of each topic text.
+def main_terms(segments: DataFrame, *, n_terms: int = MAIN_TERMS) -> DataFrame:
+    """(video_id, topic_key, main_terms): a topic's most frequent terms.
 
-    The first ``n_words`` segments that have words are enough; the row_number
-    limit is applied before the shuffle, so no topic is gathered whole.
+    Occurrences are counted over the whole topic; equal counts go by term. Counts
+    are summed map side and each task passes on its own best only, so a topic that
+    fills much of the corpus is one task's work nowhere.
     """
-    keyed = with_topic_key(segments).select(
-        *_TOPIC, "segment_id", F.slice(words(F.col("text")), 1, n_words).alias("_lead")
+    order = Window.partitionBy(*_TOPIC).orderBy(F.desc("n"), "term")
+    entry = F.struct(F.col("_rank"), F.col("term"), F.col("n"))
+    return (
+        with_topic_key(segments)
+        .select(*_TOPIC, F.explode(terms(F.col("text"))).alias("term"))
+        .groupBy(*_TOPIC, "term")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") <= n_terms)
+        .groupBy(*_TOPIC)
+        .agg(F.sort_array(F.collect_list(entry)).alias("main_terms"))
+    )
+
+
+def _central_sentence(text: Column, main: Column) -> Column:
+    """STRUCT<score, place, sentence> of a text's best sentence; null if none.
+
+    The score adds up the counts of the main terms that a sentence has.
+    """
+
+    def rated(sentence: Column, i: Column) -> Column:
+        own = terms(sentence)
+        score = F.aggregate(
+            main,
+            F.lit(0).cast("bigint"),
+            lambda total, t: total + F.when(F.array_contains(own, t["term"]), t["n"]).otherwise(0),
+        )
+        return F.struct(
+            F.coalesce(score, F.lit(0)).alias("score"),
+            (-i).alias("place"),
+            sentence.alias("sentence"),
+        )
+
+    return F.array_max(F.transform(sentences(text), rated))
+
+
+def central_summary(
+    segments: DataFrame, *, n_terms: int = MAIN_TERMS, size: int = CHUNK_SIZE
+) -> DataFrame:
+    """(video_id, topic_key, summary): the sentence with most of the main terms.
+
+    Of equal sentences the earliest. Every segment puts forward its best sentence
+    and topics keep the best of these, so no topic is gathered. A topic without
+    text has the summary ''.
+    """
+    keyed = with_topic_key(segments).select(*_TOPIC, "segment_id", "text")
+    rated = attach(
+        keyed, main_terms(segments, n_terms=n_terms), _TOPIC, "segment_id", size=size
     )
-    # Segments without words come last, so that a topic of only those stays.
-    order = Window.partitionBy(*_TOPIC).orderBy(F.size("_lead") == 0, "segment_id")
-    ordered = F.sort_array(F.collect_list(F.struct("_n", "_lead")))
-    first = F.slice(
-        F.flatten(F.transform("_leads", lambda e: e["_lead"])), 1, n_words
+    best = _central_sentence(F.col("text"), F.col("main_terms"))
+    entry = F.struct(
+        F.col("_best.score"), -F.col("segment_id"), F.col("_best.sentence").alias("sentence")
     )
     return (
-        keyed.withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= n_words)
+        rated.select(*_TOPIC, "segment_id", best.alias("_best"))
         .groupBy(*_TOPIC)
-        .agg(ordered.alias("_leads"))
-        .select(*_TOPIC, F.array_join(first, " ").alias("summary"))
+        .agg(F.max(F.when(F.col("_best").isNotNull(), entry)).alias("_best"))
+        .select(*_TOPIC, F.coalesce("_best.sentence", F.lit("")).alias("summary"))
     )
 
 
@@ -208,21 +259,111 @@ def hook_summary(
     return write_out(answers, "summaries")
 
 
+def _prompted(
+    parts: DataFrame, summarise: BatchSummariser, instruction: str, partitions: int | None
+) -> DataFrame:
+    """(video_id, topic_key, part, text, error): the answer to every part's text.
+
+    The hook sees a part as a topic of its own, with the part in its key.
+    """
+    key = F.concat("topic_key", F.lit(_PART), F.col("part").cast("string"))
+    prompts = parts.select(
+        "video_id",
+        key.alias("topic_key"),
+        F.concat(F.lit(instruction + "\n\n"), F.col("text")).alias("prompt"),
+    )
+    if partitions is not None:
+        prompts = prompts.repartition(partitions, *_TOPIC)
+    answers = prompts.mapInPandas(guarded(summarise), f"{_SUMMARY_SCHEMA}, error STRING")
+    split = rf"(?s)^(.*){_PART}(-?\d+)$"
+    told = write_out(answers, "partial").select(
+        "video_id",
+        F.regexp_extract("topic_key", split, 1).alias("topic_key"),
+        F.regexp_extract("topic_key", split, 2).cast("bigint").alias("part"),
+        F.col("summary").alias("text"),
+        "error",
+    )
+    # A part without an answer stays, so that its topic is not taken for complete.
+    return parts.select(*_TOPIC, "part").join(told, [*_TOPIC, "part"], "left")
+
+
+def tree_summary(
+    segments: DataFrame,
+    summarise: BatchSummariser,
+    *,
+    block: int,
+    fan_in: int = FAN_IN,
+    instruction: str = INSTRUCTION,
+    partitions: int | None = None,
+) -> DataFrame:
+    """(video_id, topic_key, summary, error) without gathering any topic.
+
+    A prompt holds the segments of ``block`` consecutive ids of a topic. The
+    partial summaries are summed up ``fan_in`` at a time until a topic has one, so
+    no row holds more than a block or ``fan_in`` answers. A topic that fits into
+    one block is asked for once. Where the hook raises for a part, its topic has
+    the message and no summary, and is not asked for again. A part without an
+    answer adds nothing.
+    """
+    if block < 1 or fan_in < 2:
+        raise ValueError("block must be at least 1 and fan_in at least 2")
+    entry = F.when(F.coalesce("text", F.lit("")) != "", F.struct("segment_id", "text"))
+    parts = (
+        with_chunk(with_topic_key(segments), "segment_id", block)
+        .groupBy(*_TOPIC, F.col(CHUNK).alias("part"))
+        .agg(_in_order(entry, "\n").alias("text"))
+    )
+    done = None
+    while True:
+        answers = _prompted(parts, summarise, instruction, partitions)
+        known = answers.groupBy(*_TOPIC).agg(
+            F.count(F.lit(1)).alias("_parts"), F.max("error").alias("_error")
+        )
+        known = write_out(known, "parts")
+        ended = (F.col("_parts") == 1) | F.col("_error").isNotNull()
+        finished = known.filter(ended).select(*_TOPIC, F.col("_error").alias("error"))
+        single = answers.join(known.filter("_parts = 1").select(*_TOPIC), _TOPIC, "left_semi")
+        summaries = single.select(*_TOPIC, F.col("text").alias("summary"))
+        closed = finished.join(summaries, _TOPIC, "left").select(
+            *_TOPIC, F.when(F.col("error").isNull(), F.col("summary")).alias("summary"), "error"
+        )
+        done = closed if done is None else done.unionByName(closed)
+        rest = known.filter(~ended).select(*_TOPIC)
+        if rest.isEmpty():
+            return done
+        # Parts are numbered anew, so gaps between blocks cost no further level.
+        order = Window.partitionBy(*_TOPIC).orderBy("part")
+        numbered = answers.join(rest, _TOPIC, "left_semi").withColumn(
+            "_place", (F.row_number().over(order) - 1).cast("bigint")
+        )
+        piece = F.struct(F.col("_place").alias("segment_id"), F.col("text"))
+        parts = numbered.groupBy(*_TOPIC, F.expr(f"_place div {fan_in}").alias("part")).agg(
+            _in_order(piece, "\n").alias("text")
+        )
+
+
 def topic_summary(
     segments: DataFrame,
     *,
     summarise: BatchSummariser | None = None,
     instruction: str = INSTRUCTION,
     partitions: int | None = None,
-    n_words: int = LEAD_WORDS,
+    n_terms: int = MAIN_TERMS,
+    block: int | None = None,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
     """(video_id, segment_id, summary): every segment gets its topic's summary.
 
-    With ``summarise`` a column ``error`` holds the message where it raised.
+    With ``summarise`` a column ``error`` holds the message where it raised. It is
+    given whole topics or, with ``block``, blocks of that many segments first (see
+    ``tree_summary``).
     """
     if summarise is None:
-        per_topic = lead_summary(segments, n_words=n_words)
+        per_topic = central_summary(segments, n_terms=n_terms, size=size)
+    elif block is not None:
+        per_topic = tree_summary(
+            segments, summarise, block=block, instruction=instruction, partitions=partitions
+        )
     else:
         per_topic = hook_summary(
             segments,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from loquent.operators.abstractive import (
     INSTRUCTION,
-    LEAD_WORDS,
+    MAIN_TERMS,
     BatchSummariser,
     topic_summary,
 )
@@ -85,7 +85,8 @@ class AbstractiveSummarizer:
     summarise: BatchSummariser | None = None
     instruction: str = INSTRUCTION
     partitions: int | None = None
-    n_words: int = LEAD_WORDS
+    n_terms: int = MAIN_TERMS
+    block: int | None = None
     name: str = ABSTRACTIVE
     one_per_segment: bool = True
 
@@ -95,7 +96,8 @@ class AbstractiveSummarizer:
             summarise=self.summarise,
             instruction=self.instruction,
             partitions=self.partitions,
-            n_words=self.n_words,
+            n_terms=self.n_terms,
+            block=self.block,
         )
 
 

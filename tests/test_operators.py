@@ -258,13 +258,13 @@ def test_topic_text(spark, size):
     assert sorted(texts.values()) == ["a b c\nd e f g", "other", "own", "self", "x"]
 
 
-def test_first_words_of_each_topic(spark):
+def test_summary_without_terms_is_the_first_sentence(spark):
     got = abstractive.topic_summary(topic_rows(spark)).collect()
     summaries = {(r["video_id"], r["segment_id"]): r["summary"] for r in got}
     assert summaries == {
-        ("v", 1): "a b c d e f",
-        ("v", 2): "a b c d e f",
-        ("v", 3): "a b c d e f",
+        ("v", 1): "a b c",
+        ("v", 2): "a b c",
+        ("v", 3): "a b c",
         ("v", 4): "x",
         ("v", 5): "",
         ("v", 6): "own",
@@ -273,6 +273,71 @@ def test_first_words_of_each_topic(spark):
     }
 
 
+def test_summary_has_most_of_the_main_terms_of_the_whole_topic(spark):
+    rows = [
+        ("v", 1, "Hello there. Nothing yet.", "topic_0"),
+        ("v", 70_000, "The harbour floods. We go on!", "topic_0"),
+        ("v", 140_000, "Every harbour floods when the harbour wall breaks. Well.", "topic_0"),
+        ("v", 140_001, "A wall is a wall. Harbour walls, harbour floods.", "topic_0"),
+        ("v", 140_002, None, "topic_1"),
+        ("v", 140_003, "12 34. 56", "topic_2"),
+    ]
+    schema = "video_id STRING, segment_id LONG, text STRING, topic_label STRING"
+    segments = spark.createDataFrame(rows, schema)
+    # harbour 5, floods 3, wall 3, the 2; all others once, in order of the term.
+    main = {r["topic_key"]: r["main_terms"] for r in abstractive.main_terms(segments).collect()}
+    assert [(t["term"], t["n"]) for t in main["topic_0"]][:4] == [
+        ("harbour", 5), ("floods", 3), ("wall", 3), ("the", 2),
+    ]
+    assert len(main["topic_0"]) == 10 and "topic_2" not in main
+    per_topic = {r["topic_key"]: r["summary"] for r in abstractive.central_summary(segments).collect()}
+    assert per_topic == {
+        "topic_0": "Every harbour floods when the harbour wall breaks.",
+        "topic_1": "",
+        "topic_2": "12 34.",
+    }
+    few = abstractive.topic_summary(segments, n_terms=1, size=2).collect()
+    # With the term harbour alone, the first sentence that has it.
+    assert {r["summary"] for r in few if r["segment_id"] <= 140_001} == {"The harbour floods."}
+
+
+def test_tree_of_partial_summaries(spark):
+    rows = [("v", i, f"w{i}", "topic_0") for i in range(40)]
+    rows += [("v", 100, "alone", "topic_1"), ("v", 101, None, "topic_2")]
+    rows += [("w", 5 * i, f"bad{i}" if i == 7 else f"x{i}", "topic_0") for i in range(9)]
+    schema = "video_id STRING, segment_id LONG, text STRING, topic_label STRING"
+    segments = spark.createDataFrame(rows, schema)
+
+    def short(batches):
+        for b in batches:
+            body = b["prompt"].str.split("\n\n", n=1).str[1]
+            if body.str.contains("bad").any():
+                raise ValueError("refused")
+            assert (body.str.count("\n") < 3).all()
+            told = "[" + body.str.replace("\n", " ") + "]"
+            yield b[["video_id", "topic_key"]].assign(summary=told)
+
+    def first_word(batches):
+        for b in batches:
+            yield b[["video_id", "topic_key"]].assign(summary=b["prompt"].str[:1])
+
+    by_topic = {(r["video_id"], r["topic_key"]): r for r in abstractive.tree_summary(
+        segments, short, block=3, fan_in=3).collect()}
+    whole = by_topic["v", "topic_0"]
+    assert whole["error"] is None
+    # Every text once, in order, at most three to a prompt: four levels.
+    assert whole["summary"].replace("[", "").replace("]", "").split() == [f"w{i}" for i in range(40)]
+    assert whole["summary"].startswith("[[[[w0 w1 w2] [w3 w4 w5] [w6 w7 w8]]")
+    assert by_topic["v", "topic_1"]["summary"] == "[alone]"
+    assert by_topic["v", "topic_2"]["summary"] == "[]"
+    assert by_topic["w", "topic_0"]["summary"] is None
+    assert by_topic["w", "topic_0"]["error"] == "ValueError: refused"
+    spread = abstractive.topic_summary(segments, summarise=first_word, block=50)
+    assert spread.count() == len(rows)
+    with pytest.raises(ValueError):
+        abstractive.tree_summary(segments, short, block=0)
+
+
 def test_topic_words_count_the_whole_topic(spark):
     rows = abstractive.topic_words(topic_rows(spark)).collect()
     counts = {(r["video_id"], r["topic_key"]): r["original_words"] for r in rows}

@@ -243,7 +243,7 @@ def _label_ctes(prefix: str, suffix: str, k: float) -> None:
 
 
 def _summary_ctes(prefix: str, suffix: str = "") -> None:
-    """Topic texts and first-words summaries."""
+    """Topic texts and the sentence with most of a topic's main terms."""
     CTES[f"{prefix}_text{suffix}"] = f"""
   SELECT video_id, topic_label AS topic_key,
          string_agg(text, chr(10) ORDER BY segment_id) AS topic_text
@@ -251,11 +251,38 @@ def _summary_ctes(prefix: str, suffix: str = "") -> None:
   WHERE text <> '' GROUP BY ALL"""
     CTES[f"{prefix}_key{suffix}"] = f"""
   SELECT DISTINCT video_id, topic_label AS topic_key FROM {prefix}_topic{suffix}"""
-    CTES[f"{prefix}_lead{suffix}"] = f"""
-  SELECT k.video_id, k.topic_key, coalesce({lead('topic_text')}, '') AS summary,
+    CTES[f"{prefix}_main{suffix}"] = f"""
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY video_id, topic_key
+                                 ORDER BY n DESC, term) AS rn
+    FROM (SELECT video_id, topic_label AS topic_key, term, count(*) AS n
+          FROM (SELECT video_id, topic_label, unnest({terms('text')}) AS term
+                FROM {prefix}_seg JOIN {prefix}_topic{suffix}
+                  USING (video_id, segment_id))
+          GROUP BY ALL))
+  WHERE rn <= 10"""
+    CTES[f"{prefix}_said{suffix}"] = f"""
+  SELECT video_id, segment_id, topic_label AS topic_key, unnest(s) AS sentence,
+         generate_subscripts(s, 1) AS place
+  FROM (SELECT video_id, segment_id, topic_label, {sentences('text')} AS s
+        FROM {prefix}_seg JOIN {prefix}_topic{suffix} USING (video_id, segment_id))"""
+    CTES[f"{prefix}_rated{suffix}"] = f"""
+  SELECT video_id, topic_key, segment_id, place, sentence,
+         coalesce(sum(CASE WHEN list_contains(own, term) THEN n END), 0) AS score
+  FROM (SELECT *, {terms('sentence')} AS own FROM {prefix}_said{suffix})
+  LEFT JOIN {prefix}_main{suffix} USING (video_id, topic_key)
+  GROUP BY video_id, topic_key, segment_id, place, sentence"""
+    CTES[f"{prefix}_central{suffix}"] = f"""
+  SELECT k.video_id, k.topic_key, coalesce(sentence, '') AS summary,
          coalesce({word_count('topic_text')}, 0) AS original_words
   FROM {prefix}_key{suffix} k
-  LEFT JOIN {prefix}_text{suffix} USING (video_id, topic_key)"""
+  LEFT JOIN {prefix}_text{suffix} USING (video_id, topic_key)
+  LEFT JOIN (
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY video_id, topic_key
+               ORDER BY score DESC, segment_id, place) AS best
+      FROM {prefix}_rated{suffix})
+    WHERE best = 1) USING (video_id, topic_key)"""
 
 
 def _bag_similarity(source: str, left: str, right: str) -> str:
@@ -277,13 +304,13 @@ def _bag_similarity(source: str, left: str, right: str) -> str:
 
 
 def _score_ctes(prefix: str, suffix: str = "") -> None:
-    """Segments with first-sentence and first-words summaries and metrics."""
+    """Segments with first-sentence and central summaries and metrics."""
     base = f"{prefix}_base{suffix}"
     CTES[base] = f"""
   SELECT t.*, l.topic_label, {first_sentence('t.text')} AS ext_summary,
          s.summary AS abs_summary, s.original_words
   FROM {prefix}_timed t JOIN {prefix}_topic{suffix} l USING (video_id, segment_id)
-  JOIN {prefix}_lead{suffix} s
+  JOIN {prefix}_central{suffix} s
     ON s.video_id = t.video_id AND s.topic_key = l.topic_label"""
     CTES[f"{prefix}_sim{suffix}"] = _bag_similarity(base, "ext_summary", "abs_summary")
     # The last of equal sentences counts, so look the place up from the end.
@@ -358,7 +385,7 @@ def _rank_ctes(prefix: str) -> None:
          s.summary AS abs_summary, s.original_words
   FROM {prefix}_timed t JOIN {prefix}_topic l USING ({keys})
   JOIN {prefix}_best b USING ({keys})
-  JOIN {prefix}_lead s ON s.video_id = t.video_id AND s.topic_key = l.topic_label"""
+  JOIN {prefix}_central s ON s.video_id = t.video_id AND s.topic_key = l.topic_label"""
     CTES[f"{prefix}_fsim"] = _bag_similarity(full, "ext_summary", "abs_summary")
     # Equal sentences have equal scores, so the lookup finds the best score.
     CTES[f"{prefix}_full"] = f"""
@@ -636,7 +663,7 @@ FINALS: dict[str, str] = {
         FROM doc_key LEFT JOIN doc_text USING (video_id, topic_key)""",
     "topic_summary": """
         SELECT t.video_id, t.segment_id, summary
-        FROM doc_topic t JOIN doc_lead l
+        FROM doc_topic t JOIN doc_central l
           ON l.video_id = t.video_id AND l.topic_key = t.topic_label""",
     "sentence_split": """
         SELECT video_id, segment_id, position, sentence FROM doc_sentence""",
@@ -754,7 +781,7 @@ FINALS: dict[str, str] = {
         UNION ALL SELECT 'topic_segmenter', video_id, segment_id, topic_label
                   FROM talk_topic
         UNION ALL SELECT 'abstractive_summary', t.video_id, t.segment_id, summary
-                  FROM talk_topic t JOIN talk_lead l
+                  FROM talk_topic t JOIN talk_central l
                     ON l.video_id = t.video_id AND l.topic_key = t.topic_label""",
     "process_batch": f"""
         SELECT i.segment_id, f.video_id, {_times}, text, topic_label, ext_summary,
@@ -791,6 +818,10 @@ FINALS: dict[str, str] = {
         SELECT video_id, count(*) AS segments, count(*) AS segment_ids
         FROM doc_seg GROUP BY video_id""",
 }
-FINALS["topic_summary_hook"] = FINALS["topic_summary"]
+FINALS["topic_summary_hook"] = f"""
+    SELECT t.video_id, t.segment_id, coalesce({lead('topic_text')}, '') AS summary,
+           CAST(NULL AS VARCHAR) AS error
+    FROM doc_topic t LEFT JOIN doc_text x
+      ON x.video_id = t.video_id AND x.topic_key = t.topic_label"""
 
 ORACLES: dict[str, str] = {name: _sql(final) for name, final in FINALS.items()}
