@@ -228,6 +228,63 @@ def test_targets_and_flow(spark, docs, none):
     assert mixing.take_mix(docs).columns == docs.columns
 
 
+def test_mixing_of_any_number_of_sources(spark):
+    rng = random.Random(3)
+    rows = [
+        (i, f"s{i % 6000:05d}" if i % 6000 else None, "w " * rng.randint(0, 9))
+        for i in range(14_000)
+    ]
+    rows += [(20_000 + i, "s00001", "w " * rng.randint(1, 60)) for i in range(5_000)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, source STRING, text STRING")
+    sizes = {}
+    for _, source, text in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weights = [(5, 2, 1)[i % 3] for i in range(len(names))]
+    wanted = dict(zip(names, mixing.targets([sizes[s] for s in names], weights), strict=True))
+    taken, source_of = dict.fromkeys(names, 0), {i: s for i, s, _ in rows}
+    found = mixing.mix(frame).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        source = source_of[r["doc_id"]]
+        taken[source] += r["taken"]
+        assert r["source_size"] == sizes[source]
+        assert r["target"] == pytest.approx(float(wanted[source]), rel=1e-12)
+        assert r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3
+    # Nine words at most to a document; the large source has many to choose from.
+    assert all(abs(taken[s] - wanted[s]) <= 9 for s in names)
+    assert abs(taken["s00001"] - wanted["s00001"]) <= 1
+
+
+def test_mixing_fills_the_gap_behind_a_long_document(spark):
+    rows = [(i, "a", "w " * (5_000 if i % 20 == 3 else 7 + i % 11)) for i in range(200)]
+    rows += [(1_000 + i, "b", "w " * 40) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, source STRING, text STRING")
+    found = mixing.mix(frame).collect()
+    for low, high in ((0, 999), (1_000, 9_999)):
+        own = [r for r in found if low <= r["doc_id"] <= high]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 40
+
+
+def test_mixing_of_overlapping_sources(spark):
+    rows = [(i, ["a"], "w " * 10) for i in range(30)]
+    rows += [(100 + i, ["b", "a"], "w " * 10) for i in range(30)]
+    rows += [(200 + i, ["c"], "w " * 10) for i in range(30)]
+    rows += [(300, [], "w w"), (301, None, "w"), (302, [None], "w")]
+    frame = spark.createDataFrame(rows, "doc_id LONG, held ARRAY<STRING>, text STRING")
+    found = {r["doc_id"]: r for r in mixing.mix(frame, sources=F.col("held")).collect()}
+    assert len(found) == len(rows)
+    # 904 words; a holds 600, b 300, c 300, no source 4 of weight 5, at most 12.
+    shares = mixing.targets([600, 300, 300, 4], [5, 2, 1, 5], total=904)
+    want = dict(zip("abcn", map(float, shares), strict=True))
+    assert found[0]["target"] == found[100]["target"] == pytest.approx(want["a"])
+    assert found[200]["target"] == pytest.approx(want["c"])
+    assert {found[i]["source_size"] for i in (300, 301, 302)} == {4}
+    total = sum(r["taken"] for i, r in found.items() if i < 200)
+    assert abs(total - want["a"] - want["b"]) <= 10
+    assert sum(found[i]["taken"] for i in (300, 301, 302)) == 12
+
+
 def test_katz_sums_to_one_and_equals_brute_force(spark, docs, none):
     rng = random.Random(8)
     rows = [(i, " ".join(rng.choice("abcdefghij") for _ in range(rng.randint(0, 30)))) for i in range(80)]
