@@ -24,7 +24,8 @@ def graph_nodes(entities: DataFrame, existing: DataFrame | None = None) -> DataF
     )
 
 
-def _ends_known(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def ends_known(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose two ends are nodes."""
     for end, other in (_ENDS, _ENDS[::-1]):
         names = nodes.select(F.col("entity_text").alias(end))
         pairs = salted_join(pairs, names, [end], [other], "left_semi")
@@ -42,7 +43,7 @@ def graph_edges(
 
     Edges seen again get the new counts. Older edges stay, unless ``replace``.
     """
-    fresh = _ends_known(pairs, nodes)
+    fresh = ends_known(pairs, nodes)
     if existing is None or replace:
         return fresh
     kept = existing.join(fresh.select(*_ENDS), _ENDS, "left_anti")

@@ -126,6 +126,12 @@ CTES["pairs"] = """
          count(segment_id) AS segment_count
   FROM pair GROUP BY entity_a, entity_b"""
 
+CTES["stored_node"] = """
+  SELECT p_brand AS entity_text,
+         CASE WHEN p_brand LIKE '%1' THEN upper(substr(p_brand, 1, 6))
+              ELSE min(p_type) END AS entity_type
+  FROM part WHERE p_brand NOT LIKE '%5' GROUP BY p_brand"""
+
 _types = "[" + ", ".join(f"'{t}'" for t in GAZETTEER_TYPES) + "]"
 CTES["gaz"] = f"""
   SELECT DISTINCT phrase,
@@ -539,6 +545,15 @@ FINALS: dict[str, str] = {
         WHERE segment_count >= 20 AND NOT EXISTS (
           SELECT 1 FROM star_edge e
           WHERE e.entity_a = pairs.entity_a AND e.entity_b = pairs.entity_b)""",
+    "stored_graph_nodes": """
+        SELECT entity_text, entity_type FROM stored_node""",
+    "stored_graph_triples": """
+        SELECT p.entity_a, a.entity_type AS type_a, p.entity_b,
+               b.entity_type AS type_b, video_count,
+               CASE WHEN segment_count >= 20 THEN segment_count ELSE 0 END
+                 AS segment_count
+        FROM pairs p JOIN stored_node a ON a.entity_text = p.entity_a
+        JOIN stored_node b ON b.entity_text = p.entity_b""",
     "graph_triples": """
         SELECT entity_a, a.entity_type AS type_a, entity_b, b.entity_type AS type_b,
                video_count, segment_count
