@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loquent.functions.text import sentences, terms, word_count
+from loquent.plans.located import SEGMENT
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
 from loquent.session import write_out
 
@@ -149,13 +150,19 @@ def central_summary(
     """(video_id, topic_key, summary): the sentence with most of the main terms.
 
     Of equal sentences the earliest. Every segment puts forward its best sentence
-    and topics keep the best of these, so no topic is gathered. A topic without
-    text has the summary ''.
+    and topics keep the best of these, so no topic is gathered. The main terms are
+    brought to the segments, so segments laid out by segment stay where they are. A
+    topic without text has the summary ''.
     """
-    keyed = with_topic_key(segments).select(*_TOPIC, "segment_id", "text")
-    rated = attach(
-        keyed, main_terms(segments, n_terms=n_terms), _TOPIC, "segment_id", size=size
+    keyed = with_topic_key(segments)
+    wanted = attach(
+        keyed.select(*_TOPIC, "segment_id"),
+        main_terms(segments, n_terms=n_terms),
+        _TOPIC,
+        "segment_id",
+        size=size,
     )
+    rated = segments.select(*SEGMENT, "text").join(wanted, SEGMENT)
     best = _central_sentence(F.col("text"), F.col("main_terms"))
     entry = F.struct(
         F.col("_best.score"), -F.col("segment_id"), F.col("_best.sentence").alias("sentence")
@@ -359,7 +366,9 @@ def topic_summary(
     ``tree_summary``).
     """
     if summarise is None:
-        per_topic = central_summary(segments, n_terms=n_terms, size=size)
+        per_topic = write_out(
+            central_summary(segments, n_terms=n_terms, size=size), "summaries"
+        )
     elif block is not None:
         per_topic = tree_summary(
             segments, summarise, block=block, instruction=instruction, partitions=partitions

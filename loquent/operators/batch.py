@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from loquent.functions import urls as U
 from loquent.functions.reporting import outcome_line
 from loquent.operators.cooccurrence import co_occurrences, top_pairs, with_support
-from loquent.operators.enrich import merge_nlp, unique_names
+from loquent.operators.embed import OpenEncoder, embed
+from loquent.operators.enrich import VECTOR, merge_nlp, unique_names, vector_processors
 from loquent.operators.ids import global_entity_ids, global_segment_ids, list_position
-from loquent.operators.registry import ENTITIES, Processor, run_all
+from loquent.operators.registry import ENTITIES, Processor, row_results, run_all
+from loquent.plans.located import write_by_segment
 from loquent.plans.skew import restrict_to_videos, salted_join
 from loquent.session import write_out
 from loquent.sources.transcripts import expand_list, with_times
@@ -48,6 +50,8 @@ def process_segments(
     videos: DataFrame,
     segments: DataFrame,
     processors: Sequence[Processor] | None = None,
+    *,
+    open_encoder: OpenEncoder | None = None,
 ) -> DataFrame | None:
     """Store new videos with their segments and entities, as one commit.
 
@@ -58,7 +62,8 @@ def process_segments(
 
     A video for which a processor reports an error (see ``result_errors``) is not
     stored; its message goes to the table ``failures`` and is returned as
-    (video_id, error). Its ids stay unused.
+    (video_id, error). Its ids stay unused. For ``open_encoder`` see
+    ``enrich_segments``.
     """
     new = write_out(warehouse.skip_processed(videos), "new_videos")
     if new.limit(1).isEmpty():
@@ -79,10 +84,11 @@ def process_segments(
         position="position" if "position" in new.columns else None,
         start=batch.next_segment_id,
     )
-    base = write_out(
-        placed.select("segment_id", "video_id", "start_time", "end_time", "text"),
-        "segments",
-    )
+    placed = placed.select("segment_id", "video_id", "start_time", "end_time", "text")
+    if open_encoder is not None:
+        placed = embed(placed, {"text": VECTOR}, open_encoder)
+        processors = vector_processors() if processors is None else processors
+    base = write_by_segment(placed, "segments")
     results = run_all(base, processors)
     errors = result_errors(results)
     if errors is not None and errors.isEmpty():
@@ -91,7 +97,14 @@ def process_segments(
     def sound(rows: DataFrame) -> DataFrame:
         return rows if errors is None else restrict_to_videos(rows, errors, "left_anti")
 
-    batch.append("segments", sound(merge_nlp(base, results, unique=unique_names(processors))))
+    enriched = merge_nlp(
+        base,
+        results,
+        unique=unique_names(processors),
+        rows=row_results(processors),
+        open_encoder=open_encoder,
+    )
+    batch.append("segments", sound(enriched))
     found = write_out(sound(results[ENTITIES]), "entities")
     batch.append("entities", global_entity_ids(found, start=batch.next_entity_id))
     batch.append("videos", with_time(sound(new.select("video_id", "url", "title")), "processed_at"))
@@ -116,6 +129,7 @@ def process_videos(
     processors: Sequence[Processor] | None = None,
     *,
     max_splits: int = MAX_SPLITS,
+    open_encoder: OpenEncoder | None = None,
 ) -> list[DataFrame]:
     """``process_segments``, going on past videos that make a processor raise.
 
@@ -132,7 +146,9 @@ def process_videos(
     while waiting:
         part = waiting.pop()
         try:
-            errors = process_segments(warehouse, part, segments, processors)
+            errors = process_segments(
+                warehouse, part, segments, processors, open_encoder=open_encoder
+            )
             failed += [] if errors is None else [errors]
         except CommitConflict:
             raise
@@ -196,6 +212,7 @@ def process_batch(
     processors: Sequence[Processor] | None = None,
     *,
     hosts: Sequence[str] = U.VIDEO_HOSTS,
+    open_encoder: OpenEncoder | None = None,
 ) -> DataFrame:
     """Process a URL list as one job; returns the outcome of every URL.
 
@@ -218,7 +235,7 @@ def process_batch(
         .select("video_id", "_first.*")
     )
     videos = wanted.join(titles.select("video_id", "title"), "video_id")
-    failed = process_videos(warehouse, videos, segments, processors)
+    failed = process_videos(warehouse, videos, segments, processors, open_encoder=open_encoder)
     if not failed:
         return outcomes
     messages = reduce(DataFrame.unionByName, failed).withColumnRenamed("error", "_failed")

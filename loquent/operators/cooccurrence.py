@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loquent.functions.reporting import pair_line
 
-#: Entities of a segment that one task pairs with all later ones.
-BLOCK = 256
+#: Entities in a block of a segment; a task pairs two blocks.
+BLOCK = 512
 
 _SEGMENT = ["video_id", "segment_id"]
 
@@ -23,33 +23,43 @@ def entity_pairs(entities: DataFrame, *, block: int = BLOCK) -> DataFrame:
     """(entity_a, entity_b, video_id, segment_id) with entity_a < entity_b.
 
     Each segment's distinct texts are gathered, duplicates merged before they
-    are sent, and cut into blocks. A block goes with the texts that follow its
-    first one to a task of its own, where each text of the block meets the
-    later ones, so the pairs of a long segment are made by many tasks and never
-    held at once. What one task gathers is a segment's distinct texts, however
-    often they are repeated; their pairs are quadratic in that number, so a
-    segment whose pairs can be stored at all has texts that fit easily.
+    are sent, and cut into blocks. Every two blocks of a segment, and every block
+    with itself, go to a task of their own, which holds no more than these two. So
+    the pairs of a long segment are made by many tasks and never held at once, and
+    no block carries more than another one with it. Only the list of a segment's
+    distinct texts is in one row, which is small where its pairs can be stored.
     """
     texts = entities.groupBy(*_SEGMENT).agg(
         F.sort_array(F.collect_set("entity_text")).alias("texts")
     )
     last = ((F.size("texts") - 1) / block).cast("int")
-    begin = F.col("_block") * block + 1
+
+    def cut(number: str) -> Column:
+        return F.slice("texts", F.col(number) * block + 1, F.lit(block))
+
+    # Numbers first, slices after: a row holds its two blocks, not all of them.
     blocks = (
         texts.filter(F.size("texts") > 1)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("_last", last)
+        .withColumn("_first", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+        .withColumn("_second", F.explode(F.sequence(F.col("_first"), F.col("_last"))))
         .select(
             *_SEGMENT,
-            "_block",
-            F.slice("texts", begin, F.lit(block)).alias("firsts"),
-            F.slice("texts", begin, F.size("texts")).alias("texts"),
+            "_first",
+            "_second",
+            cut("_first").alias("firsts"),
+            F.when(F.col("_first") < F.col("_second"), cut("_second")).alias("seconds"),
         )
-        .repartition(*_SEGMENT, "_block")
+        .repartition(*_SEGMENT, "_first", "_second")
     )
-    later = F.slice("texts", F.col("_place") + 2, F.size("texts"))
+    later = F.slice("firsts", F.col("_place") + 2, F.lit(block))
     return (
-        blocks.select(*_SEGMENT, "texts", F.posexplode("firsts").alias("_place", "entity_a"))
-        .select(*_SEGMENT, "entity_a", F.explode(later).alias("entity_b"))
+        blocks.select(
+            *_SEGMENT, "firsts", "seconds", F.posexplode("firsts").alias("_place", "entity_a")
+        )
+        .select(
+            *_SEGMENT, "entity_a", F.explode(F.coalesce("seconds", later)).alias("entity_b")
+        )
         .select("entity_a", "entity_b", *_SEGMENT)
     )
 

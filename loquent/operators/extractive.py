@@ -202,9 +202,8 @@ def _best_sentence(scores: Column) -> Column:
     return F.coalesce(F.array_max(placed)["text"], F.lit(""))
 
 
-def extractive_summary(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:
-    """(video_id, segment_id, summary, sentence_scores), one row per segment."""
-    text = F.col("text")
+def summary_and_scores(text: Column, limit: int = TOP_TERMS) -> Column:
+    """STRUCT<summary, sentence_scores> of one text."""
 
     def result(scores: Column) -> Column:
         return F.struct(
@@ -212,7 +211,14 @@ def extractive_summary(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFr
         )
 
     scores = let(top_terms(text, limit), lambda top: _scored(text, top))
-    return segments.select(*_KEYS, F.inline(F.array(let(scores, result))))
+    return let(scores, result)
+
+
+def extractive_summary(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:
+    """(video_id, segment_id, summary, sentence_scores), one row per segment."""
+    return segments.select(
+        *_KEYS, F.inline(F.array(summary_and_scores(F.col("text"), limit)))
+    )
 
 
 def sentence_scores(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:

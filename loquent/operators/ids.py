@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loquent.plans.ordered import CHUNK_SIZE, attach, running_sum
+from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, running_sum, with_chunk
+from loquent.session import write_out
 
 # 32 hash bits in 4,096 chunks: the ordinal for videos that come without one.
 _HASH_CHUNK = 1 << 20
@@ -35,28 +36,43 @@ def global_segment_ids(
     Videos are numbered in the order of the BIGINT column ``position`` (equal
     for all rows of a video), or of a hash of the video id without one. A
     video's segments stay consecutive.
+
+    The segments are read once for a row per chunk of a video, which is written out;
+    offsets come from these rows, and a second reading brings them to the chunks.
     """
     if position is None:
         ordinal = F.conv(F.substring(F.md5("video_id"), 1, 8), 16, 10).cast("bigint")
         chunk = _HASH_CHUNK
     else:
         ordinal, chunk = F.col(position), size
-    sizes = segments.groupBy("video_id").agg(
-        (F.max("segment_id") + 1).alias("_size"), F.min(ordinal).alias("_ordinal")
+    chunked = with_chunk(segments, "segment_id", size)
+    parts = write_out(
+        chunked.groupBy("video_id", CHUNK).agg(
+            (F.max("segment_id") + 1).alias("_size"), F.min(ordinal).alias("_ordinal")
+        ),
+        "chunk_sizes",
+    )
+    sizes = parts.groupBy("video_id").agg(
+        F.max("_size").alias("_size"), F.min("_ordinal").alias("_ordinal")
     )
-    offsets = running_sum(
-        sizes,
+    ends = running_sum(
+        write_out(sizes, "video_sizes"),
         [],
         "_ordinal",
         F.col("_size"),
         "_end",
         ties=["video_id"],
         size=chunk,
-    ).select("video_id", (F.col("_end") - F.col("_size") + start).alias("_offset"))
-    placed = attach(segments, offsets, ["video_id"], "segment_id", size=size)
-    return placed.withColumn(
-        "segment_id", F.col("segment_id") + F.col("_offset")
-    ).drop("_offset")
+    )
+    offsets = write_out(
+        ends.select("video_id", (F.col("_end") - F.col("_size") + start).alias("_offset")),
+        "offsets",
+    )
+    placed = chunked.join(
+        parts.select("video_id", CHUNK).join(offsets, "video_id"), ["video_id", CHUNK], "left"
+    )
+    numbered = placed.withColumn("segment_id", F.col("segment_id") + F.col("_offset"))
+    return numbered.select(*segments.columns)
 
 
 def global_entity_ids(

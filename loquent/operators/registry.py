@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Protocol, runtime_checkable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from loquent.operators.abstractive import (
     INSTRUCTION,
@@ -15,8 +16,9 @@ from loquent.operators.abstractive import (
     topic_summary,
 )
 from loquent.operators.entities import ALLOWED_TYPES, DEFAULT_PATTERNS, extract_entities
-from loquent.operators.extractive import TOP_TERMS, extractive_summary
+from loquent.operators.extractive import TOP_TERMS, summary_and_scores
 from loquent.operators.topics import segment_topics
+from loquent.plans.located import SEGMENT
 from loquent.plans.ordered import CHUNK_SIZE
 
 EXTRACTIVE = "extractive_summary"
@@ -38,14 +40,31 @@ class Processor(Protocol):
     def transform(self, segments: DataFrame) -> DataFrame: ...
 
 
+class RowProcessor:
+    """A processor that needs nothing but the segment's own row.
+
+    ``row`` is its result as a STRUCT over the columns of the segments. Enrichment
+    works it out where the segment is, so the result is never joined. A subclass
+    with a ``transform`` of its own is run like any other processor.
+    """
+
+    one_per_segment = True
+
+    def row(self) -> Column:
+        raise NotImplementedError
+
+    def transform(self, segments: DataFrame) -> DataFrame:
+        return segments.select(*SEGMENT, F.inline(F.array(self.row())))
+
+
 @dataclass
-class ExtractiveSummarizer:
+class ExtractiveSummarizer(RowProcessor):
     limit: int = TOP_TERMS
     name: str = EXTRACTIVE
     one_per_segment: bool = True
 
-    def transform(self, segments: DataFrame) -> DataFrame:
-        return extractive_summary(segments, limit=self.limit)
+    def row(self) -> Column:
+        return summary_and_scores(F.col("text"), self.limit)
 
 
 @dataclass
@@ -110,6 +129,17 @@ def default_processors(gazetteer: DataFrame | None = None) -> list[Processor]:
     ]
 
 
+def row_results(processors: Sequence[Processor] | None = None) -> dict[str, Column]:
+    """What the processors of one row give, by name; of equal names the last counts."""
+    chosen = default_processors() if processors is None else processors
+    last = {p.name: p for p in chosen}
+    return {
+        name: p.row()
+        for name, p in last.items()
+        if isinstance(p, RowProcessor) and type(p).transform is RowProcessor.transform
+    }
+
+
 def attach_topic(segments: DataFrame, topics: DataFrame) -> DataFrame:
     """Segments with the topic_label found for them, null where none was."""
     plain = segments.drop("topic_label")

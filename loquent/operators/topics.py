@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.text import tokens
 from loquent.functions.vectors import bag, bag_cosine, cosine_from_parts, dot, norm
+from loquent.plans.located import write_by_segment
 from loquent.plans.ordered import (
     CHUNK_SIZE,
     attach,
@@ -127,9 +128,9 @@ def segment_topics(
     """(video_id, segment_id, topic_label) for every segment.
 
     The distances are written out once: threshold, boundaries and counts all
-    read them, and only they need the text. So are the labels, which a pipeline
-    joins more than once. Both are narrow next to the text.
+    read them, and only they need the text. So are the labels, by segment, since a
+    pipeline joins them more than once. Both are narrow next to the text.
     """
     distances = adjacent_distance(segments, embedding=embedding, size=size)
     labels = label_topics(write_out(distances, "distances"), k, size=size)
-    return write_out(labels, "topics")
+    return write_by_segment(labels, "topics")

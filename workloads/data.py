@@ -13,6 +13,7 @@ from loquent.operators.registry import (
     EntityExtractor,
     ExtractiveSummarizer,
     Processor,
+    RowProcessor,
     TopicSegmenter,
 )
 from loquent.session import scratch_path
@@ -24,6 +25,7 @@ from loquent.sources.warehouse import Warehouse
 GAZETTEER_TYPES = ("PERSON", "ORG", "GPE", "DATE", "PRODUCT", "NORP")
 LONG_WORD = 8
 PAIRED_WORD = 6
+LETTERS = "etaoinsr"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -149,26 +151,28 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-class LeadSentence:
+class LeadSentence(RowProcessor):
     """A caller's own extractive processor: every sentence scores minus its place."""
 
     name = EXTRACTIVE
 
-    def transform(self, segments: DataFrame) -> DataFrame:
+    def row(self) -> Column:
+        said = sentences(F.col("text"))
         scored = F.transform(
-            sentences(F.col("text")),
+            said,
             lambda s, i: F.struct(
                 s.alias("sentence"), (-i).cast("double").alias("score")
             ),
         )
-        return segments.select(
-            "video_id",
-            "segment_id",
-            F.coalesce(F.get(sentences(F.col("text")), F.lit(0)), F.lit("")).alias(
-                "summary"
-            ),
-            scored.alias("sentence_scores"),
-        )
+        lead = F.coalesce(F.get(said, F.lit(0)), F.lit(""))
+        return F.struct(lead.alias("summary"), scored.alias("sentence_scores"))
+
+
+class LetterCounts:
+    """A caller's own encoder: how often a text has each of ``LETTERS``."""
+
+    def __call__(self):
+        return lambda texts: [[t.count(c) for c in LETTERS] for t in texts]
 
 
 def light_processors(k: float = 1.0) -> list[Processor]:

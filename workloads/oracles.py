@@ -9,7 +9,7 @@ import re
 
 from loquent.functions import urls as U
 from loquent.operators.abstractive import INSTRUCTION
-from workloads.data import GAZETTEER_TYPES, LONG_WORD, PAIRED_WORD
+from workloads.data import GAZETTEER_TYPES, LETTERS, LONG_WORD, PAIRED_WORD
 
 # --- expressions ------------------------------------------------------------
 
@@ -78,6 +78,24 @@ def page_id(x: str) -> str:
     return f"nullif(CASE WHEN {short} THEN {path} ELSE {value} END, '')"
 
 
+def letter_vector(x: str) -> str:
+    counts = [f"(length({x}) - length(replace({x}, '{c}', '')))::DOUBLE" for c in LETTERS]
+    return "[" + ", ".join(counts) + "]"
+
+
+def dense_similarity(x: str, y: str) -> str:
+    """Cosine of two vectors, 0 if one has no length."""
+    scale = f"(sqrt(list_dot_product({x}, {x})) * sqrt(list_dot_product({y}, {y})))"
+    return f"CASE WHEN {scale} > 0 THEN list_dot_product({x}, {y}) / {scale} ELSE 0.0 END"
+
+
+def text_similarity(x: str, y: str) -> str:
+    return (
+        f"CASE WHEN {x} = '' AND {y} = '' THEN 1.0 WHEN {x} = '' OR {y} = '' THEN 0.0 "
+        f"ELSE {dense_similarity(letter_vector(x), letter_vector(y))} END"
+    )
+
+
 def fmt_time(x: str) -> str:
     whole = f"CAST(trunc({x}) AS BIGINT)"
     return f"({whole} // 60) || ':' || lpad(CAST({whole} % 60 AS VARCHAR), 2, '0')"
@@ -411,6 +429,23 @@ _summary_ctes("doc", "_k0")
 _score_ctes("doc")
 _score_ctes("doc", "_k0")
 
+# The same segments, with topics and similarity by letter counts.
+CTES["let_seg"] = "SELECT * FROM doc_seg"
+CTES["let_timed"] = "SELECT * FROM doc_timed"
+CTES["let_distance"] = f"""
+  SELECT video_id, segment_id,
+         CASE WHEN before IS NOT NULL THEN 1 - {dense_similarity('v', 'before')} END
+           AS distance
+  FROM (SELECT *, lag(v) OVER (PARTITION BY video_id ORDER BY segment_id) AS before
+        FROM (SELECT video_id, segment_id, {letter_vector('text')} AS v FROM let_seg))"""
+_label_ctes("let", "", 1.0)
+_summary_ctes("let")
+_score_ctes("let")
+CTES["let_sim"] = f"""
+  SELECT video_id, segment_id,
+         {text_similarity('ext_summary', 'abs_summary')} AS semantic_similarity
+  FROM let_base"""
+
 CTES["vec_distance"] = """
   SELECT CAST(label AS VARCHAR) AS video_id, vec_id AS segment_id,
          1 - list_dot_product(e, before)
@@ -783,6 +818,10 @@ FINALS: dict[str, str] = {
         SELECT coalesce(nullif(title, ''), '(untitled)') AS title, processed_at,
                video_id
         FROM talk_video ORDER BY processed_at DESC, video_id""",
+    "enrich_segments_dense": f"""
+        SELECT video_id, segment_id, {_times}, text, topic_label, ext_summary,
+               abs_summary, {_metrics}
+        FROM let_scored""",
     "enrich_segments": f"""
         SELECT video_id, segment_id, {_times}, text, topic_label, ext_summary,
                abs_summary, {_metrics}
@@ -833,6 +872,10 @@ FINALS: dict[str, str] = {
         SELECT video_id, count(*) AS segments, count(*) AS segment_ids
         FROM doc_seg GROUP BY video_id""",
 }
+FINALS["semantic_similarity_dense"] = f"""
+    SELECT video_id, segment_id,
+           round({text_similarity('text', 'lead')}, 6) AS semantic_similarity
+    FROM (SELECT *, {first_sentence('text')} AS lead FROM doc_seg)"""
 FINALS["topic_summary_hook"] = f"""
     SELECT t.video_id, t.segment_id, coalesce({lead('topic_text')}, '') AS summary,
            CAST(NULL AS VARCHAR) AS error

@@ -13,9 +13,9 @@ from loquent.functions import text as X
 from loquent.functions import urls as U
 from loquent.functions.reporting import averages_line, parse_outcome
 from loquent.functions.vectors import dense_cosine
-from loquent.operators import abstractive, batch, cooccurrence, entities, extractive
+from loquent.operators import abstractive, batch, cooccurrence, embed, entities, extractive
 from loquent.operators import graph, ids, registry, reports, topics
-from loquent.operators.enrich import enrich_segments
+from loquent.operators.enrich import VECTOR, enrich_segments
 from loquent.plans.ordered import attach
 from loquent.plans.skew import salted_join
 from loquent.session import scratch_path, write_out
@@ -689,6 +689,17 @@ def semantic_similarity(spark, folder):
     )
 
 
+@query("semantic_similarity_dense")
+def semantic_similarity_dense(spark, folder):
+    first = F.coalesce(F.get(X.sentences(F.col("text")), F.lit(0)), F.lit(""))
+    pairs = D.doc_segments(spark, folder).withColumn("first", first)
+    vectors = {"text": "text_vector", "first": "first_vector"}
+    similarity = embed.vector_similarity(*[F.col(c) for c in ("text", "first", *vectors.values())])
+    return embed.embed(pairs, vectors, D.LetterCounts()).select(
+        "video_id", "segment_id", F.round(similarity, 6).alias("semantic_similarity")
+    )
+
+
 @query("textrank_lookup")
 def textrank_lookup(spark, folder):
     parts = X.sentences(F.col("text"))
@@ -764,7 +775,7 @@ def global_entity_ids(spark, folder):
 
 def _scored(spark, folder, k=1.0):
     segments = transcripts.with_times(D.doc_segments(spark, folder))
-    return enrich_segments(write_out(segments, "segments"), D.light_processors(k))
+    return enrich_segments(segments, D.light_processors(k))
 
 
 _AVERAGES = ("avg_compression_ratio", "avg_semantic_similarity")
@@ -826,10 +837,18 @@ def history(spark, folder):
 def enrich(spark, folder):
     segments = transcripts.with_times(D.doc_segments(spark, folder))
     chosen = [p for p in D.full_processors(spark, folder) if p.name != "entities"]
-    enriched = enrich_segments(write_out(segments, "segments"), chosen)
+    enriched = enrich_segments(segments, chosen)
     return _rounded(enriched, *_METRICS, *_TIMES)
 
 
+@query("enrich_segments_dense")
+def enrich_dense(spark, folder):
+    """Topics and similarity by the vectors of a caller's encoder."""
+    segments = transcripts.with_times(D.doc_segments(spark, folder))
+    chosen = [D.LeadSentence(), registry.TopicSegmenter(embedding=VECTOR), registry.AbstractiveSummarizer()]
+    enriched = enrich_segments(segments, chosen, open_encoder=D.LetterCounts())
+    return _rounded(enriched, *_METRICS, *_TIMES)
+
 
 @query("run_all")
 def run_all(spark, folder):
