@@ -139,6 +139,7 @@ def process_videos(
     ``max_splits`` halvings the error is raised: then it is hardly the videos'.
     Returns frames of (video_id, error).
     """
+    options = {} if open_encoder is None else {"open_encoder": open_encoder}
     place = F.xxhash64("video_id")
     waiting = [write_out(videos, "videos")]
     failed: list[DataFrame] = []
@@ -146,9 +147,7 @@ def process_videos(
     while waiting:
         part = waiting.pop()
         try:
-            errors = process_segments(
-                warehouse, part, segments, processors, open_encoder=open_encoder
-            )
+            errors = process_segments(warehouse, part, segments, processors, **options)
             failed += [] if errors is None else [errors]
         except CommitConflict:
             raise
