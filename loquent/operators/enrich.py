@@ -7,6 +7,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.metrics import (
     ratio_of_counts,
     semantic_similarity,
@@ -100,9 +101,11 @@ def merge_nlp(
     joined = segments.select(*kept).join(_sized(segments, topics, size), _KEYS, "left")
     joined = joined.join(abstractive, _KEYS, "left")
     if EXTRACTIVE in rows:
-        own = rows[EXTRACTIVE]
-        found = F.struct(own["summary"].alias("_ext"), own["sentence_scores"].alias("_scores"))
-        joined = joined.select("*", F.inline(F.array(found)))
+
+        def renamed(own: Column) -> Column:
+            return F.struct(own["summary"].alias("_ext"), own["sentence_scores"].alias("_scores"))
+
+        joined = joined.select("*", F.inline(F.array(let(rows[EXTRACTIVE], renamed))))
     else:
         extractive = result(
             EXTRACTIVE, F.col("summary").alias("_ext"), F.col("sentence_scores").alias("_scores")
