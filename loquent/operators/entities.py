@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.binding import let
 from loquent.functions.text import surface_tokens
-from loquent.plans.skew import salted_join
+from loquent.plans.skew import listed_join
 from loquent.session import write_out
 
 # The entity types kept.
@@ -86,13 +86,13 @@ def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
     tokens, meets the heads of listed phrases; where one meets, the phrase lengths
     known for that head are cut out and met with whole phrases. What leaves the
     first join are beginnings of listed phrases, not all runs of tokens. Whether a
-    table is broadcast follows from its size; common heads are salted.
+    table is broadcast follows from its length; else common heads are salted.
     """
     listed = gazetteer.filter(F.col("phrase").isNotNull() & F.col("entity_type").isNotNull())
     parts = F.split("phrase", " ")
     head = F.array_join(F.slice(parts, 1, 2), " ")
     heads = listed.groupBy(head.alias("_head")).agg(F.collect_set(F.size(parts)).alias("_lengths"))
-    # Written out, their sizes are known, and small ones are broadcast: texts then
+    # Written out, their lengths are known, and short ones are broadcast: texts then
     # meet them where they are read.
     heads = write_out(heads, "heads")
     longest = listed.agg(F.max(F.size(parts))).first()[0] or 1
@@ -108,13 +108,13 @@ def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
     begun = starts.select(
         *_KEYS, "position", "_run", F.explode(F.array_compact(F.array(first, pair))).alias("_head")
     )
-    begun = salted_join(begun, heads, ["_head"], [*_KEYS, "position"])
+    begun = listed_join(begun, heads, ["_head"], [*_KEYS, "position"])
     lengths = F.filter("_lengths", lambda n: n <= F.size("_run"))
     cut = begun.select(*_KEYS, "position", "_run", F.explode(lengths).alias("length"))
     phrase = F.array_join(F.slice("_run", 1, F.col("length")), " ")
     cut = cut.select(*_KEYS, "position", "length", phrase.alias("phrase"))
     cut = cut.withColumn("_key", F.lower("phrase"))
-    found = salted_join(cut, whole, ["_key"], [*_KEYS, "position"])
+    found = listed_join(cut, whole, ["_key"], [*_KEYS, "position"])
     return found.select(*_KEYS, "position", "length", "phrase", "kind")
 
 
