@@ -105,8 +105,8 @@ def process_segments(
         open_encoder=open_encoder,
     )
     batch.append("segments", sound(enriched))
-    found = write_out(sound(results[ENTITIES]), "entities")
-    batch.append("entities", global_entity_ids(found, start=batch.next_entity_id))
+    found = global_entity_ids(sound(results[ENTITIES]), start=batch.next_entity_id)
+    batch.append("entities", found)
     batch.append("videos", with_time(sound(new.select("video_id", "url", "title")), "processed_at"))
     if errors is not None:
         batch.append("failures", with_time(errors, "failed_at"))

@@ -81,9 +81,10 @@ def global_entity_ids(
     """Add dense entity ids in segment order, then order of mention.
 
     ``segment_id`` must be global. ``position`` is the place in the segment.
+    The entities are written out: totals and ranks read them three times.
     """
     numbered = running_sum(
-        entities,
+        write_out(entities, "entities"),
         [],
         "segment_id",
         F.lit(1).cast("bigint"),
