@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 _SPACE = r"[\s\x1c-\x1f]"
 _SPACES = rf"(?U){_SPACE}+"
 _OUTER_SPACES = rf"(?U)^{_SPACE}+|{_SPACE}+$"
+# The same ones by name, for a look at single characters.
+_BLANKS = [
+    chr(c)
+    for c in (
+        *range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
+]
 
 _TOKEN = r"[\p{L}\p{N}]+"
 _TERM = r"\p{L}{3,}"
@@ -23,8 +31,11 @@ def _text(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Text without outer white space."""
-    return F.regexp_replace(text, _OUTER_SPACES, "")
+    """Text without outer white space. The pattern, which looks at every space inside
+    too, only sees texts that have some."""
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    outer = first.isin(_BLANKS) | last.isin(_BLANKS)
+    return F.when(outer, F.regexp_replace(text, _OUTER_SPACES, "")).otherwise(text)
 
 
 def words(text: Column) -> Column:
@@ -34,7 +45,9 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; 0 for empty or null text."""
-    return F.size(words(text)).cast("bigint")
+    stripped = strip(_text(text))
+    none = F.when(stripped == "", 1).otherwise(0)
+    return (F.size(F.split(stripped, _SPACES)) - none).cast("bigint")
 
 
 def tokens(text: Column) -> Column:
