@@ -5,13 +5,20 @@ linked, ranks come from a fixed number of weighted PageRank rounds, and the
 sentence nearest to the ten best terms is the summary.
 
 A segment's graph depends on its own text only and is no larger than that, so
-graph, rounds and scores are one built-in expression over the row: one pass over
-the text, no shuffle, no join, no lineage growing by the round. Every step sorts
-or reads arrays in order, so a row costs n log n in its number of terms.
+there is no shuffle, no join, no lineage growing by the round. Terms, sentences and
+scores are built-in expressions over the row. Graphs are ranked by an Arrow function
+for many rows at a time, whose steps are NumPy's: links are two arrays of nodes, a
+round is one weighted count. Every step sorts or reads arrays in order, so a row
+costs n log n in its number of terms.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,121 +42,75 @@ def sentence_split(segments: DataFrame) -> DataFrame:
     ).withColumn("position", F.col("position").cast("bigint"))
 
 
-def _term_nodes(words: Column) -> Column:
-    """One struct per distinct term, in term order: the term and its places."""
-    by_term = F.sort_array(
-        F.transform(words, lambda t, i: F.struct(t.alias("term"), i.alias("place")))
-    )
-
-    def runs(tokens: Column) -> Column:
-        places = F.transform(tokens, lambda _, i: i)
-        starts = F.filter(
-            places,
-            lambda i: (i == 0)
-            | (F.get(tokens, i)["term"] != F.get(tokens, i - 1)["term"]),
-        )
-
-        def nodes(firsts: Column) -> Column:
-            def node(first: Column, k: Column) -> Column:
-                end = F.coalesce(F.get(firsts, k + 1), F.size(tokens))
-                run = F.slice(tokens, first + 1, end - first)
-                return F.struct(
-                    F.get(tokens, first)["term"].alias("term"),
-                    F.transform(run, lambda t: t["place"]).alias("places"),
-                )
-
-            return F.transform(firsts, node)
-
-        return let(starts, nodes)
-
-    return let(by_term, runs)
-
-
-def _node_links(nodes: Column) -> Column:
-    """For each node the nodes within ``WINDOW`` places, once per meeting."""
-    placed = F.sort_array(
-        F.flatten(
-            F.transform(
-                nodes,
-                lambda node, k: F.transform(
-                    node["places"],
-                    lambda p: F.struct(p.alias("place"), k.alias("node")),
-                ),
-            )
-        )
+def _ranks(node: np.ndarray, row: np.ndarray, node_row: np.ndarray) -> np.ndarray:
+    """Ranks after ``ROUNDS`` rounds; ``node`` and ``row`` are those of every place.
+
+    Nodes within ``WINDOW`` places are linked once per meeting, both ways, so a
+    node passes on its rank in equal parts, one for each of its links.
+    """
+    sources, targets = [], []
+    for step in range(1, WINDOW + 1):
+        a, b = node[:-step], node[step:]
+        met = (row[:-step] == row[step:]) & (a != b)
+        sources += [a[met], b[met]]
+        targets += [b[met], a[met]]
+    source, target = np.concatenate(sources), np.concatenate(targets)
+    n = len(node_row)
+    links = np.maximum(np.bincount(source, minlength=n), 1)
+    count = np.bincount(node_row)[node_row]
+    rank, base = 1.0 / count, (1.0 - DAMPING) / count
+    for _ in range(ROUNDS):
+        rank = base + DAMPING * np.bincount(target, (rank / links)[source], minlength=n)
+    return rank
+
+
+def best_terms(words: pa.ListArray, limit: int | None = None) -> pa.Array:
+    """The best terms of every list with their ranks; equal ranks go by term.
+
+    Without a limit all of its terms, in term order.
+    """
+    coded = words.flatten().dictionary_encode()
+    in_order = pc.sort_indices(coded.dictionary)
+    listed = coded.dictionary.take(in_order)
+    place = np.empty(len(listed), dtype=np.int64)
+    place[in_order.to_numpy()] = np.arange(len(listed))
+    row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+    codes = place[coded.indices.to_numpy()]
+    nodes, node = np.unique(row * max(len(listed), 1) + codes, return_inverse=True)
+    node_row, term = np.divmod(nodes, max(len(listed), 1))
+    rank = _ranks(node, row, node_row)
+    sizes = np.bincount(node_row, minlength=len(words))
+    best = np.arange(len(nodes))
+    if limit is not None:
+        # Halves go up, as in Spark's round().
+        shown = np.floor(rank * 10.0**RANK_DIGITS + 0.5)
+        best = np.lexsort((term, -shown, node_row))
+        first = np.cumsum(sizes) - sizes
+        best = best[np.arange(len(best)) - first[node_row[best]] < limit]
+        sizes = np.minimum(sizes, limit)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    found = pa.StructArray.from_arrays(
+        [listed.take(pa.array(term[best])), pa.array(rank[best])], ["term", "rank"]
     )
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
 
-    def links(node_at: Column) -> Column:
-        def around(place: Column) -> Column:
-            first = F.greatest(place - WINDOW, F.lit(0))
-            return F.slice(node_at, first + 1, place + WINDOW - first + 1)
-
-        return F.transform(
-            nodes,
-            lambda node, k: F.filter(
-                F.flatten(F.transform(node["places"], around)), lambda j: j != k
-            ),
-        )
-
-    return let(F.transform(placed, lambda p: p["node"]), links)
-
-
-def _rank_rounds(links: Column) -> Column:
-    """Ranks after ``ROUNDS`` rounds. Links are symmetric and repeat by weight,
-    so a node passes on its rank in equal parts, one for each of its links."""
-    count = F.greatest(F.size(links), F.lit(1)).cast("double")
-    base = F.lit(1.0 - DAMPING) / count
-    start = F.transform(links, lambda _: F.lit(1.0) / count)
-
-    def one_round(ranks: Column, _: Column) -> Column:
-        parts = F.zip_with(
-            ranks,
-            links,
-            lambda rank, out: F.when(F.size(out) > 0, rank / F.size(out)).otherwise(0.0),
-        )
-
-        def spread(part: Column) -> Column:
-            def incoming(sources: Column) -> Column:
-                return F.aggregate(
-                    sources, F.lit(0.0), lambda total, j: total + F.get(part, j)
-                )
 
-            return F.transform(
-                links, lambda sources: base + F.lit(DAMPING) * incoming(sources)
-            )
+@cache
+def _best_terms(limit: int | None = None):
+    @F.arrow_udf("array<struct<term: string, rank: double>>")
+    def best(words: pa.Array) -> pa.Array:
+        return best_terms(words, limit)
 
-        return let(parts, spread)
-
-    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
-    return F.aggregate(rounds, start, one_round)
+    return best
 
 
 def ranked_terms(text: Column) -> Column:
     """ARRAY<STRUCT<term, rank>> of all terms of a text, in term order."""
-
-    def rank(nodes: Column) -> Column:
-        ranks = let(_node_links(nodes), _rank_rounds)
-        return F.zip_with(
-            nodes,
-            ranks,
-            lambda node, r: F.struct(node["term"].alias("term"), r.alias("rank")),
-        )
-
-    return let(_term_nodes(terms(text)), rank)
+    return _best_terms()(terms(text))
 
 
 def top_terms(text: Column, limit: int = TOP_TERMS) -> Column:
     """The best terms with ranks scaled to sum 1; equal ranks go by term."""
-    ordered = F.sort_array(
-        F.transform(
-            ranked_terms(text),
-            lambda t: F.struct(
-                (-F.round(t["rank"], RANK_DIGITS)).alias("order"),
-                t["term"].alias("term"),
-                t["rank"].alias("rank"),
-            ),
-        )
-    )
 
     def scaled(best: Column) -> Column:
         total = F.aggregate(best, F.lit(0.0), lambda s, t: s + t["rank"])
@@ -163,7 +124,7 @@ def top_terms(text: Column, limit: int = TOP_TERMS) -> Column:
             ),
         )
 
-    return let(F.slice(ordered, 1, limit), scaled)
+    return let(_best_terms(limit)(terms(text)), scaled)
 
 
 def key_terms(segments: DataFrame, *, limit: int = TOP_TERMS) -> DataFrame:
