@@ -57,14 +57,17 @@ def adjacent_distance(
     Distances are lexical unless ``embedding`` names a column of dense vectors.
     The first segment of a video has none (null).
     """
+    source = F.col("_code")
     if embedding is None:
-        code = bag(tokens(F.col("text")))
+        code = bag(tokens(source))
     else:
-        vector = F.col(embedding)
-        code = F.struct(vector.alias("vector"), norm(vector).alias("norm"))
-    coded = segments.select("video_id", "segment_id", code.alias("_code"))
+        code = F.struct(source.alias("vector"), norm(source).alias("norm"))
+    given = segments.select(
+        "video_id", "segment_id", F.col(embedding or "text").alias("_code")
+    )
+    # Texts are about half as large as their term counts, so they are what moves.
     paired = with_previous(
-        coded, "video_id", "segment_id", "_code", "_before", size=size
+        given, "video_id", "segment_id", "_code", "_before", code=code, size=size
     )
     now, before = F.col("_code"), F.col("_before")
     if embedding is None:

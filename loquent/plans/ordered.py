@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquent.session import write_out
+
 CHUNK_SIZE = 65_536
 CHUNK = "_chunk"
 
@@ -106,27 +108,32 @@ def with_previous(
     payload: str,
     out: str,
     *,
+    code: Column | None = None,
     size: int = CHUNK_SIZE,
 ) -> DataFrame:
     """Add ``out``: ``payload`` of the row before, null on a group's first row.
 
+    ``payload`` names a column; with ``code`` it becomes that expression over it once
+    the rows are where their windows run, so the column, not the code, is shuffled.
     The last row of each chunk is also handed to the group's next chunk, where
-    it only serves the row after it and is then dropped.
+    it only serves the row after it and is then dropped. Which rows that are, one
+    small row per chunk that has a next one, is written out: the payload is not
+    gathered for them.
     """
-    chunked = with_chunk(df, order, size).withColumn("_handed", F.lit(False))
-    lasts = chunked.groupBy(by, CHUNK).agg(
-        F.max(order).alias(order), F.max_by(payload, order).alias(payload)
-    )
+    chunked = with_chunk(df, order, size)
+    lasts = chunked.groupBy(by, CHUNK).agg(F.max(order).alias(order))
     following = F.lead(CHUNK).over(Window.partitionBy(by).orderBy(CHUNK))
-    handed = (
-        lasts.withColumn(CHUNK, following)
-        .filter(F.col(CHUNK).isNotNull())
-        .withColumn("_handed", F.lit(True))
+    ends = lasts.withColumn("_next", following).filter(F.col("_next").isNotNull())
+    ends = write_out(ends.select(by, order, "_next"), "chunk_ends")
+    handed = chunked.join(ends, [by, order]).withColumn(CHUNK, F.col("_next")).drop("_next")
+    both = chunked.withColumn("_handed", F.lit(False)).unionByName(
+        handed.withColumn("_handed", F.lit(True))
     )
+    if code is not None:
+        both = both.repartition(by, CHUNK).withColumn(payload, code)
     inside = Window.partitionBy(by, CHUNK).orderBy(order)
     return (
-        chunked.unionByName(handed, allowMissingColumns=True)
-        .withColumn(out, F.lag(payload).over(inside))
+        both.withColumn(out, F.lag(payload).over(inside))
         .filter(~F.col("_handed"))
         .drop(CHUNK, "_handed")
     )

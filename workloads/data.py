@@ -35,14 +35,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def doc_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as whole transcripts.
 
-    The test file is a single row group, which one task would read alone; its
-    rows are spread over the cores. A table with a split per core, as any large
-    one has, is read where it lies.
+    Splits of a file say nothing of its row groups, and a row group is read by one
+    task. A table in fewer files than there are cores is spread by row; one in more
+    files, as any large one is, is read where it lies.
     """
     rows = table(spark, folder, "documents")
     cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores, "doc_id")
+    if len(rows.inputFiles()) < cores:
+        rows = rows.repartition(max(cores, rows.rdd.getNumPartitions()), "doc_id")
     return rows.select(
         F.col("doc_id").cast("string").alias("video_id"),
         F.col("doc_id").alias("position"),
