@@ -43,11 +43,22 @@ def _whole_tokens(pattern: str) -> str:
     return rf"(?<![^ ])(?=((?:{body}))(?![^ ]))"
 
 
+def _somewhere(pattern: str) -> str:
+    """A regular expression found in a text exactly if ``_whole_tokens`` is. It looks
+    for the space before a token, not back from every character."""
+    body = re.sub(r"(?<!\\)\$$", "", pattern.removeprefix("^"))
+    return rf"(?:^| )(?:{body})(?![^ ])"
+
+
+_HIT = "ARRAY<STRUCT<position: INT, length: INT, phrase: STRING, kind: STRING>>"
+
+
 def _pattern_hits(words: Column, patterns: Mapping[str, Sequence[str]]) -> Column | None:
     """Runs of tokens that patterns match, as (position, length, phrase, kind).
 
     The patterns run over the tokens joined by spaces. Marks put in where they
     match say which tokens that is: the k-th marked token begins the k-th match.
+    Most texts have no match, which one search tells.
     """
 
     def of_pattern(joined: Column, kind: str, pattern: str) -> Column:
@@ -68,7 +79,9 @@ def _pattern_hits(words: Column, patterns: Mapping[str, Sequence[str]]) -> Colum
                 F.lit(kind).alias("kind"),
             ),
         )
-        return F.filter(hits, lambda h: h["phrase"] != "")
+        hits = F.filter(hits, lambda h: h["phrase"] != "")
+        none = F.expr(f"CAST(ARRAY() AS {_HIT})")
+        return F.when(joined.rlike(_somewhere(pattern)), hits).otherwise(none)
 
     rules = [(kind, pattern) for kind, own in patterns.items() for pattern in own]
     if not rules:
@@ -82,11 +95,12 @@ def _pattern_hits(words: Column, patterns: Mapping[str, Sequence[str]]) -> Colum
 def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listed phrases in texts, as rows (keys, position, length, phrase, kind).
 
-    The list is walked as a trie from table to table: a token, and a pair of
-    tokens, meets the heads of listed phrases; where one meets, the phrase lengths
-    known for that head are cut out and met with whole phrases. What leaves the
-    first join are beginnings of listed phrases, not all runs of tokens. Whether a
-    table is broadcast follows from its length; else common heads are salted.
+    The list is walked as a trie from table to table: a token meets the first tokens
+    of listed phrases; where one meets, it and the pair it begins meet the heads of
+    phrases; where one meets, the phrase lengths known for that head are cut out and
+    met with whole phrases. What leaves the first join are beginnings of listed
+    phrases, and only for them are runs of tokens cut. Whether a table is broadcast
+    follows from its length; else common tokens and heads are salted.
     """
     listed = gazetteer.filter(F.col("phrase").isNotNull() & F.col("entity_type").isNotNull())
     parts = F.split("phrase", " ")
@@ -95,19 +109,21 @@ def _gazetteer_hits(words: DataFrame, gazetteer: DataFrame) -> DataFrame:
     # Written out, their lengths are known, and short ones are broadcast: texts then
     # meet them where they are read.
     heads = write_out(heads, "heads")
+    firsts = write_out(listed.select(F.get(parts, F.lit(0)).alias("_first")).distinct(), "firsts")
     longest = listed.agg(F.max(F.size(parts))).first()[0] or 1
     whole = listed.select(F.col("phrase").alias("_key"), F.col("entity_type").alias("kind")).distinct()
     whole = write_out(whole, "phrases")
 
-    def start(word: Column, i: Column) -> Column:
-        return F.struct(i.alias("position"), F.slice("_words", i + 1, longest).alias("_run"))
-
-    starts = words.select(*_KEYS, F.inline(F.transform("_words", start)))
-    first = F.lower(F.get("_run", F.lit(0)))
+    # An outer explode: else Spark asks for the number of tokens in a filter, for which
+    # they are looked for twice.
+    placed = words.select(*_KEYS, "_words", F.posexplode_outer("_words").alias("position", "_word"))
+    run = F.slice("_words", F.col("position") + 1, longest)
+    starts = placed.select(*_KEYS, "position", run.alias("_run"), F.lower("_word").alias("_first"))
+    starts = listed_join(starts, firsts, ["_first"], [*_KEYS, "position"])
     pair = F.when(F.size("_run") > 1, F.lower(F.array_join(F.slice("_run", 1, 2), " ")))
     begun = starts.select(
-        *_KEYS, "position", "_run", F.explode(F.array_compact(F.array(first, pair))).alias("_head")
-    )
+        *_KEYS, "position", "_run", F.explode(F.array("_first", pair)).alias("_head")
+    ).filter(F.col("_head").isNotNull())
     begun = listed_join(begun, heads, ["_head"], [*_KEYS, "position"])
     lengths = F.filter("_lengths", lambda n: n <= F.size("_run"))
     cut = begun.select(*_KEYS, "position", "_run", F.explode(lengths).alias("length"))
