@@ -39,7 +39,7 @@ def textrank_lookup(scores: Column, target: Column) -> Column:
     counts; an empty target or a miss gives null. The keys are not trimmed.
     """
     wanted = strip(F.coalesce(target, F.lit("")))
-    hits = F.filter(scores, lambda s: (s["sentence"] == wanted) & (wanted != ""))
+    hits = let(wanted, lambda w: F.filter(scores, lambda s: (s["sentence"] == w) & (w != "")))
     return F.try_element_at(hits, F.lit(-1))["score"]
 
 

@@ -8,12 +8,20 @@ one per group of partial summaries.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from heapq import nsmallest
+from operator import and_
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.text import sentences, terms, word_count
 from loquent.plans.located import SEGMENT
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
@@ -32,6 +40,16 @@ FAN_IN = 16
 _TOPIC = ["video_id", "topic_key"]
 #: Parts the key of a topic from the number of a block.
 _PART = "\u0001"
+_LEADING = pa.schema(
+    {
+        "video_id": pa.string(),
+        "topic_key": pa.string(),
+        "main_terms": pa.list_(pa.struct({"_rank": pa.int32(), "term": pa.string(), "n": pa.int64()})),
+    }
+)
+_LEADING_TYPE = (
+    "video_id STRING, topic_key STRING, main_terms ARRAY<STRUCT<_rank: INT, term: STRING, n: BIGINT>>"
+)
 _SUMMARY_SCHEMA = "video_id STRING, topic_key STRING, summary STRING"
 
 
@@ -101,27 +119,122 @@ def summary_prompt(
     )
 
 
-def main_terms(segments: DataFrame, *, n_terms: int = MAIN_TERMS) -> DataFrame:
-    """(video_id, topic_key, main_terms): a topic's most frequent terms.
-
-    Occurrences are counted over the whole topic; equal counts go by term. Counts
-    are summed map side and each task passes on its own best only, so a topic that
-    fills much of the corpus is one task's work nowhere.
-    """
-    order = Window.partitionBy(*_TOPIC).orderBy(F.desc("n"), "term")
+def _counted(keyed: DataFrame, by: Sequence[str], n_terms: int) -> DataFrame:
+    """(*by, main_terms) of the rows' texts."""
+    order = Window.partitionBy(*by).orderBy(F.desc("n"), "term")
     entry = F.struct(F.col("_rank"), F.col("term"), F.col("n"))
     return (
-        with_topic_key(segments)
-        .select(*_TOPIC, F.explode(terms(F.col("text"))).alias("term"))
-        .groupBy(*_TOPIC, "term")
+        keyed.select(*by, F.explode(terms(F.col("text"))).alias("term"))
+        .groupBy(*by, "term")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= n_terms)
-        .groupBy(*_TOPIC)
+        .groupBy(*by)
         .agg(F.sort_array(F.collect_list(entry)).alias("main_terms"))
     )
 
 
+def _leading(n_terms: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The most frequent terms of topics whose rows follow each other.
+
+    Batches of (video_id, topic_key, chunk, words) in, (video_id, topic_key, terms)
+    out. Terms of a batch are counted together by sorting numbers for them. Of the
+    topic that a batch ends in, the counts are kept until it is over.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = None, Counter()
+
+        def told(keys: list[tuple], lists: list) -> pa.RecordBatch:
+            columns = [[k[0] for k in keys], [k[1] for k in keys], lists]
+            arrays = [pa.array(c, t) for c, t in zip(columns, _LEADING.types)]
+            return pa.RecordBatch.from_arrays(arrays, names=_LEADING.names)
+
+        def over() -> list:
+            best = nsmallest(n_terms, counts.items(), lambda c: (-c[1], c[0].encode()))
+            return [{"_rank": i + 1, "term": t, "n": n} for i, (t, n) in enumerate(best)]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = [c.dictionary_encode().indices.fill_null(-1).to_numpy() for c in batch.columns[:3]]
+            new = np.any([c[1:] != c[:-1] for c in codes], axis=0)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            group = np.concatenate([[0], np.cumsum(new)])
+            keys = list(zip(*[c.take(pa.array(starts)).to_pylist() for c in batch.columns[:3]]))
+            words = batch.column(3)
+            coded = words.flatten().dictionary_encode()
+            in_order = pc.sort_indices(coded.dictionary)
+            listed = coded.dictionary.take(in_order).to_pylist()
+            place = np.empty(len(listed), np.int64)
+            place[in_order.to_numpy()] = np.arange(len(listed))
+            rows = np.repeat(group, pc.list_value_length(words).to_numpy())
+            many = max(len(listed), 1)
+            found, n = np.unique(rows * many + place[coded.indices.to_numpy()], return_counts=True)
+            owner, term = np.divmod(found, many)
+
+            def own(g: int) -> dict[str, int]:
+                a, b = np.searchsorted(owner, [g, g + 1])
+                return {listed[t]: int(c) for t, c in zip(term[a:b], n[a:b])}
+
+            first, last = 0, len(keys) - 1
+            if held is not None:
+                if held == keys[0]:
+                    counts.update(own(0))
+                    first = 1
+                if (held != keys[0] or last > 0) and counts:
+                    yield told([held], [over()])
+            if first <= last:
+                held, counts = keys[last], Counter(own(last))
+            inside = (owner >= first) & (owner < last)
+            owner, term, n = owner[inside], term[inside], n[inside]
+            best = np.lexsort((term, -n, owner))
+            ends = np.searchsorted(owner, owner)
+            rank = np.arange(len(best)) - ends
+            best, rank = best[rank < n_terms], rank[rank < n_terms]
+            lists: dict[int, list] = {}
+            for g, r, t, c in zip(owner[best].tolist(), rank.tolist(), term[best].tolist(), n[best].tolist()):
+                lists.setdefault(g, []).append({"_rank": r + 1, "term": listed[t], "n": c})
+            if lists:
+                yield told([keys[g] for g in lists], list(lists.values()))
+        if held is not None and counts:
+            yield told([held], [over()])
+
+    return run
+
+
+def main_terms(
+    segments: DataFrame, *, n_terms: int = MAIN_TERMS, size: int = CHUNK_SIZE
+) -> DataFrame:
+    """(video_id, topic_key, main_terms): a topic's most frequent terms.
+
+    Occurrences are counted over the whole topic; equal counts go by term. Texts are
+    far smaller than their term counts, so they are what moves: the texts of a topic
+    in one chunk of its video meet in one task, which counts and ranks them with NumPy,
+    batch by batch. Topics that
+    reach over several chunks, a few, are counted term by term: their counts are
+    summed map side and each task passes on its own best only, so a topic that fills
+    much of the corpus is one task's work nowhere.
+    """
+    keyed = with_chunk(with_topic_key(segments), "segment_id", size).select(*_TOPIC, CHUNK, "text")
+    long = (
+        keyed.groupBy(*_TOPIC)
+        .agg(F.min(CHUNK).alias("_first"), F.max(CHUNK).alias("_last"))
+        .filter("_first < _last")
+        .select(*[F.col(c).alias(f"_{c}") for c in _TOPIC])
+    )
+    long = write_out(long, "long_topics")
+    among = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _TOPIC])
+    several = None
+    if not long.isEmpty():
+        several = _counted(keyed.join(long, among, "left_semi"), _TOPIC, n_terms)
+        keyed = keyed.join(long, among, "left_anti")
+    group = [*_TOPIC, CHUNK]
+    met = keyed.repartition(*group).sortWithinPartitions(*group)
+    found = met.select(*group, terms(F.col("text"))).mapInArrow(_leading(n_terms), _LEADING_TYPE)
+    return found if several is None else found.unionByName(several)
+
+
 def _central_sentence(text: Column, main: Column) -> Column:
     """STRUCT<score, place, sentence> of a text's best sentence; null if none.
 
@@ -129,11 +242,14 @@ def _central_sentence(text: Column, main: Column) -> Column:
     """
 
     def rated(sentence: Column, i: Column) -> Column:
-        own = terms(sentence)
-        score = F.aggregate(
-            main,
-            F.lit(0).cast("bigint"),
-            lambda total, t: total + F.when(F.array_contains(own, t["term"]), t["n"]).otherwise(0),
+        # Bound, or the sentence would be searched for its terms once per main term.
+        score = let(
+            terms(sentence),
+            lambda own: F.aggregate(
+                main,
+                F.lit(0).cast("bigint"),
+                lambda total, t: total + F.when(F.array_contains(own, t["term"]), t["n"]).otherwise(0),
+            ),
         )
         return F.struct(
             F.coalesce(score, F.lit(0)).alias("score"),
@@ -151,13 +267,13 @@ def central_summary(
 
     Of equal sentences the earliest. Every segment puts forward its best sentence
     and topics keep the best of these, so no topic is gathered. The main terms are
-    brought to the segments, so segments laid out by segment stay where they are. A
-    topic without text has the summary ''.
+    written out and brought to the segments, so segments laid out by segment stay
+    where they are. A topic without text has the summary ''.
     """
     keyed = with_topic_key(segments)
     wanted = attach(
         keyed.select(*_TOPIC, "segment_id"),
-        main_terms(segments, n_terms=n_terms),
+        write_out(main_terms(segments, n_terms=n_terms, size=size), "main_terms"),
         _TOPIC,
         "segment_id",
         size=size,

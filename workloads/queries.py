@@ -16,6 +16,7 @@ from loquent.functions.vectors import dense_cosine
 from loquent.operators import abstractive, batch, cooccurrence, embed, entities, extractive
 from loquent.operators import graph, ids, registry, reports, topics
 from loquent.operators.enrich import VECTOR, enrich_segments
+from loquent.plans.located import write_by_segment
 from loquent.plans.ordered import attach
 from loquent.plans.skew import salted_join
 from loquent.session import scratch_path, write_out
@@ -600,7 +601,8 @@ def attach_topic(spark, folder):
 
 
 def _labelled(spark, folder):
-    segments = D.doc_segments(spark, folder)
+    # Laid out by segment: the text is split once, and labels come to it in place.
+    segments = write_by_segment(D.doc_segments(spark, folder), "segments")
     return registry.attach_topic(segments, topics.segment_topics(segments))
 
 
