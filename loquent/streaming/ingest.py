@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loquent.operators.batch import process_videos
 from loquent.operators.registry import Processor
+from loquent.session import write_out
 from loquent.sources.transcripts import segments_from_text
 from loquent.sources.warehouse import Warehouse
 
@@ -36,8 +37,10 @@ def incremental_ingest(
     def handle(batch: DataFrame, _: int) -> None:
         # One row per video, the same one however often this is worked out;
         # copies are merged before they are sent and before any text is split.
+        # They are written out: names and segments read them more than once.
         copy = F.min(F.struct("url", "title", "text")).alias("copy")
         videos = batch.groupBy("video_id").agg(copy).select("video_id", "copy.*")
+        videos = write_out(videos, "arrived")
         store(
             warehouse,
             videos.select("video_id", "url", "title"),
