@@ -30,11 +30,12 @@ from loquent.llm.common import map_columns
 PATTERN = (
     r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 )
-#: Words of up to so many bytes are kept with their ids, at most so many words.
+#: Words of up to so many bytes are kept with their ids, at most so many words: some
+#: 15 MB a worker. Most further words of a large corpus are never met again.
 KEPT_LENGTH = 48
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 15
 #: Answers kept in the transition table; others are worked out anew.
-TABLE = 1 << 19
+TABLE = 1 << 17
 
 
 def byte_letters() -> dict[str, int]:

@@ -15,6 +15,8 @@ WHITE = "\t\n\x0b\x0c\r "
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Rows that are Python values at a time; a batch of Arrow's holds many more.
+ROWS = 512
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,7 +62,8 @@ def map_columns(
 
     ``make`` runs once in every task and returns the function that maps the
     input columns, as lists, to one list per column of the schema ``added``. An
-    added column replaces one of the same name.
+    added column replaces one of the same name. The lists are at most ``ROWS``
+    long, so that a worker never holds a whole batch as Python values.
     """
     fields = T.StructType.fromDDL(added)
     kept = [f for f in df.schema if f.name not in fields.fieldNames()]
@@ -70,12 +73,14 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
-        for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in inputs]
-            results = function(*[c.to_pylist() for c in columns])
-            old = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            new = [pa.array(r, type=t) for r, t in zip(results, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*old, *new], names=schema.fieldNames())
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, ROWS):
+                batch = whole_batch.slice(start, ROWS)
+                columns = [batch.column(batch.schema.get_field_index(c)) for c in inputs]
+                results = function(*[c.to_pylist() for c in columns])
+                old = [batch.column(batch.schema.get_field_index(c)) for c in names]
+                new = [pa.array(r, type=t) for r, t in zip(results, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*old, *new], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
 
