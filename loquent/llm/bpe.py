@@ -35,7 +35,7 @@ PATTERN = (
 KEPT_LENGTH = 48
 KEPT_WORDS = 1 << 15
 #: Answers kept in the transition table; others are worked out anew.
-TABLE = 1 << 17
+TABLE = 1 << 19
 
 
 def byte_letters() -> dict[str, int]:
