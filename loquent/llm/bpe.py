@@ -9,16 +9,19 @@ one is the encoding. It is built by one gadget per merge (u, v), in order:
 * whatever state has an arc ``u`` gets an arc ``uv``, to where ``v`` leads.
 
 All arcs of one label lead to one state, so a state is named by the token read
-last. Copies share what they did not change: a state keeps only the arc it lost,
-the state it was copied from, and when. ``Automaton.open`` walks that chain; the
-answers are kept in a table of transitions.
+last. Copies share what they did not change: kept are only the step at which a
+token's state lost an arc, and what each token was made of, and when.
+``Automaton.open`` goes back from the last step to where the arc was lost or both
+were single bytes, which have all arcs; the answers are kept in a table of transitions.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, count, pairwise
 
 import numpy as np
 import regex
@@ -34,8 +37,12 @@ PATTERN = (
 #: 15 MB a worker. Most further words of a large corpus are never met again.
 KEPT_LENGTH = 48
 KEPT_WORDS = 1 << 15
+#: Texts are encoded together until they have so many characters.
+TOGETHER = 1 << 20
 #: Answers kept in the transition table; others are worked out anew.
 TABLE = 1 << 19
+#: Bytes of a word from which the longest token that may follow is known.
+HEAD = 4
 
 
 def byte_letters() -> dict[str, int]:
@@ -53,45 +60,50 @@ class Automaton:
     def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
         self.label = {i: t for t, i in vocabulary.items()}
         self.id = vocabulary
-        self.longest = max(map(len, vocabulary), default=1)
-        size = max(vocabulary.values(), default=-1) + 1
-        # By token: the state its arcs lead to, the arc it was first opened
-        # beside, and the step at which it was made.
-        self.target = [0] * size
+        self.size = size = max(vocabulary.values(), default=-1) + 1
+        # By token: the arc it was first opened beside, the token whose state its
+        # arcs lead to a copy of, and the step at which it was made.
         self.beside = [-1] * size
+        self.follows = [-1] * size
         self.made = [-1] * size
-        # By state: the arc it lost, the state it was copied from, the step.
-        self.lost = [-1]
-        self.copied = [-1]
-        self.since = [-1]
+        #: By token and arc: the step at which the state of the one lost the other.
+        self.lost: dict[int, int] = {}
+        self.last = len(merges)
         self.table: dict[int, bool] = {}
-        self.size = size
         for step, (left, right) in enumerate(merges):
             self._gadget(step, vocabulary[left], vocabulary[right], vocabulary[left + right])
+        #: The longest token by its first bytes.
+        self.reach: dict[bytes, int] = {}
+        for token in vocabulary:
+            if len(token) >= HEAD:
+                head = token[:HEAD]
+                self.reach[head] = max(self.reach.get(head, 0), len(token))
 
     def _gadget(self, step: int, u: int, v: int, uv: int) -> None:
-        old, after = self.target[u], self.target[v]
-        self.lost.append(v)
-        self.copied.append(old)
-        self.since.append(step)
-        self.target[u] = len(self.lost) - 1
-        self.target[uv] = after
+        self.lost[u * self.size + v] = step
         self.beside[uv] = u
+        self.follows[uv] = v
         self.made[uv] = step
 
     def open(self, state: int, token: int) -> bool:
-        """Whether ``state`` has an arc ``token``."""
-        at, label, free = state, token, True
-        while at:
-            if self.since[at] <= self.made[label]:
-                label = self.beside[label]
-            elif self.lost[at] == label:
+        """Whether the state after the token ``state`` has an arc ``token``."""
+        lost, made, size = self.lost.get, self.made, self.size
+        at, label, before = state, token, self.last
+        free = None
+        while free is None:
+            first, second = made[at], made[label]
+            step = lost(at * size + label)
+            if step is not None and first < step < before and second < step:
                 free = False
-                break
+            elif first > second:
+                at, before = self.follows[at], first
+            elif second >= 0:
+                # Its own step first takes the arc ``v`` away, then gives arcs ``uv``.
+                label, before = self.beside[label], second + 1
             else:
-                at = self.copied[at]
+                free = True
         if len(self.table) < TABLE:
-            self.table[state * self.size + token] = free
+            self.table[state * size + token] = free
         return free
 
     def encode(self, word: bytes) -> list[int]:
@@ -103,50 +115,87 @@ class Automaton:
         a dead position is never tried again: the work is linear in the word
         times the longest token.
         """
-        ids, target, label, longest = self.id, self.target, self.label, self.longest
-        table, size = self.table, self.size
+        ids, label, reach, table = self.id, self.label, self.reach.get, self.table.get
+        size, short = self.size, HEAD - 1
         path: list[int] = []
         dead: set[int] = set()
-        n, at, state = len(word), 0, 0
-        end = min(n, longest)
+        n, at, last = len(word), 0, -1
+        end = min(n, reach(word[:HEAD], short))
         while at < n:
-            row = state * size
+            row = last * size
             while end > at:
                 token = ids.get(word[at:end])
                 if token is not None and end not in dead:
-                    free = table.get(row + token)
-                    if self.open(state, token) if free is None else free:
+                    free = last < 0 or table(row + token)
+                    if self.open(last, token) if free is None else free:
                         break
                 end -= 1
             if end > at:
                 path.append(token)
-                at, state = end, target[token]
-                end = min(n, at + longest)
+                at, last = end, token
+                end = min(n, at + reach(word[at : at + HEAD], short))
             else:
                 dead.add(at)
                 end = at - 1
                 at -= len(label[path.pop()])
-                state = target[path[-1]] if path else 0
+                last = path[-1] if path else -1
         return path
 
 
-class Words(dict):
-    """Packed ids by word; a missing word is encoded, and kept if it is short."""
+class Words:
+    """Packed ids of words; ``kept`` has those of words met before."""
 
-    def __init__(self, automaton: Automaton):
-        super().__init__()
+    def __init__(self, automaton: Automaton, added: dict[str, int]):
         self.automaton = automaton
-        size = automaton.size
-        self.packed = [i.to_bytes(4, "little") for i in range(size)]
-
-    def __missing__(self, word: str) -> bytes:
-        packed = self.packed
-        ids = b"".join([packed[i] for i in self.automaton.encode(word.encode("utf-8"))])
-        if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.added = {t: [i] for t, i in added.items()}
+        self.kept: dict[str, bytes] = {}
+
+    def _encode(self, words: list[str]) -> Iterator[bytes]:
+        encode, added = self.automaton.encode, self.added.get
+        ids: list[int] = []
+        ends = [0]
+        for word in words:
+            ids += added(word) or encode(word.encode("utf-8"))
+            ends.append(4 * len(ids))
+        packed = np.array(ids, "<u4").tobytes()
+        return (packed[a:b] for a, b in pairwise(ends))
+
+    def join(self, texts: Iterable[list[str]]) -> list[bytes]:
+        """Ids of each list of words.
+
+        Words are numbered over all lists, so each distinct one is held and encoded once.
+        """
+        numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        rows = [list(map(numbers.__getitem__, words)) for words in texts]
+        words = list(numbers)
+        del numbers
+        found = list(map(self.kept.get, words))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(unknown, self._encode([words[i] for i in unknown]), strict=True):
+            found[i] = ids
+        out = [b"".join([found[i] for i in row]) for row in rows]
+        if len(self.kept) + len(unknown) <= KEPT_WORDS:
+            self._keep(words, found, unknown)
+        else:
+            self._make_room(words, found, rows)
+        return out
+
+    def _keep(self, words: list[str], found: list[bytes], which: list[int]) -> None:
+        self.kept.update((words[i], found[i]) for i in which if len(words[i]) <= KEPT_LENGTH)
+
+    def _make_room(self, words: list[str], found: list[bytes], rows: list[list[int]]) -> None:
+        """Makes an eighth free: repeated words stay, the most frequent first, then
+        those kept before. Words met once would push them out.
+        """
+        most, before = KEPT_WORDS - KEPT_WORDS // 8, self.kept
+        counts = np.bincount(np.fromiter(chain.from_iterable(rows), "i8"))
+        order = np.argsort(-counts, kind="stable")[: min(most, np.count_nonzero(counts > 1))]
+        self.kept = {}
+        self._keep(words, found, order.tolist())
+        for word, ids in before.items():
+            if len(self.kept) >= most:
+                break
+            self.kept[word] = ids
 
 
 class Tokenizer:
@@ -179,31 +228,41 @@ class Tokenizer:
         added = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         vocabulary = {raw(t): i for t, i in model["vocab"].items() if t not in added}
         self.automaton = Automaton(vocabulary, [(raw(a), raw(b)) for a, b in pairs])
-        self.added = added
         self.label = dict(self.automaton.label)
         self.label.update({i: t.encode() for t, i in added.items()})
         longest = sorted(added, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest))) if added else None
         self.split = regex.compile(PATTERN).findall
-        self.words = Words(self.automaton)
-
-    def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.split(text)))
+        self.words = Words(self.automaton, added)
 
-    def packed(self, text: str) -> bytes:
-        """Ids of the text as little-endian unsigned 32-bit integers."""
+    def _parts(self, text: str) -> list[str]:
+        """Words of the text and strings of added tokens, in order."""
         if not self.cut or not self.cut.search(text):
-            return self._plain(text)
+            return self.split(text)
         out, start = [], 0
         for match in self.cut.finditer(text):
-            out.append(self._plain(text[start : match.start()]))
-            out.append(np.array([self.added[match[0]]], "<u4").tobytes())
+            out += self.split(text[start : match.start()])
+            out.append(match[0])
             start = match.end()
-        out.append(self._plain(text[start:]))
-        return b"".join(out)
+        return out + self.split(text[start:])
+
+    def packed(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.words.join(map(self._parts, group))
+                group, size = [], 0
+        yield from self.words.join(map(self._parts, group))
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.packed(text), "<u4").tolist()
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        return (np.frombuffer(packed, "<u4").tolist() for packed in self.packed(texts))
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
@@ -237,8 +296,8 @@ def encode_column(
     path = path or default_path()
 
     def make() -> Callable:
-        encode = tokenizer(path).encode
-        return lambda texts: [[encode(t or "") for t in texts]]
+        encode_all = tokenizer(path).encode_all
+        return lambda texts: [list(encode_all(t or "" for t in texts))]
 
     return map_columns(docs, [text], f"{out} ARRAY<INT>", make)
 
@@ -270,8 +329,7 @@ def round_trip(docs: DataFrame, text: str = "text", path: str | None = None) ->
 
         def digest(texts: list) -> list:
             counts, ids, decoded = [], [], []
-            for text in texts:
-                packed = own.packed(text or "")
+            for packed in own.packed(t or "" for t in texts):
                 back = own.decode(np.frombuffer(packed, "<u4").tolist())
                 counts.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
