@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.binding import let
 from loquent.functions.text import strip, tokens, word_count
-from loquent.functions.vectors import bag, bag_cosine, dense_cosine
+from loquent.functions.vectors import dense_cosine, token_cosine
 
 
 def ratio_of_counts(original_words: Column, summary_words: Column) -> Column:
@@ -21,10 +21,10 @@ def compression_ratio(original: Column, summary: Column) -> Column:
 
 def semantic_similarity(text_a: Column, text_b: Column) -> Column:
     """Lexical cosine of two texts; ('', '') is 1.0."""
-    return let(
-        bag(tokens(text_a)),
-        lambda a: let(bag(tokens(text_b)), lambda b: bag_cosine(a, b)),
-    )
+    # Equal texts need no counting: bags of no tokens are equal, too.
+    differ = F.coalesce(text_a, F.lit("")) != F.coalesce(text_b, F.lit(""))
+    a, b = (F.when(differ, tokens(text)) for text in (text_a, text_b))
+    return token_cosine(a, b)
 
 
 def embedding_similarity(vector_a: Column, vector_b: Column) -> Column:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from functools import cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,3 +102,53 @@ def bag_cosine(a: Column, b: Column) -> Column:
         .when((aa == 0) | (bb == 0), F.lit(0.0))
         .otherwise(bag_dot(a, b) / F.sqrt(aa * bb))
     )
+
+
+def counted(words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The words of every list by number: their keys in order, how often each is
+    there, the list it is in, and how many words there are.
+
+    The key of a word is that of the same word in the list before plus that number.
+    """
+    coded = words.flatten().dictionary_encode()
+    many = max(len(coded.dictionary), 1)
+    sizes = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(words)), sizes)
+    keys, n = np.unique(row * many + coded.indices.to_numpy(), return_counts=True)
+    return keys, n.astype(np.float64), keys // many, many
+
+
+def cosines(a: np.ndarray, b: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """Cosines from squares and products; see ``bag_cosine``."""
+    some = (a > 0) & (b > 0)
+    found = np.where((a == 0) & (b == 0), 1.0, 0.0)
+    found[some] = products[some] / np.sqrt(a[some] * b[some])
+    return found
+
+
+def token_cosines(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Cosines of the bags of two arrays of token lists, list by list."""
+    size = len(a)
+    keys, n, row, many = counted(pa.concat_arrays([a, b.cast(a.type)]))
+    squares = np.bincount(row, n * n, minlength=2 * size)
+    # A list of b stands ``size`` lists after its partner.
+    middle = np.searchsorted(keys, size * many)
+    first, second = keys[:middle], keys[middle:] - size * many
+    _, i, j = np.intersect1d(first, second, assume_unique=True, return_indices=True)
+    products = np.bincount(row[i], n[i] * n[middle + j], minlength=size)
+    return pa.array(cosines(squares[:size], squares[size:], products))
+
+
+@cache
+def _token_cosine():
+    @F.arrow_udf("double")
+    def cosine(a: pa.Array, b: pa.Array) -> pa.Array:
+        return token_cosines(a, b)
+
+    return cosine
+
+
+def token_cosine(a: Column, b: Column) -> Column:
+    """``bag_cosine`` of the bags of two token arrays, counted with NumPy for many
+    rows at a time."""
+    return _token_cosine()(a, b)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from loquent.functions.binding import let
 from loquent.functions.text import sentences, terms, word_count
-from loquent.plans.located import SEGMENT
+from loquent.plans.located import SEGMENT, write_by_segment
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
 from loquent.session import write_out
 
@@ -51,6 +51,7 @@ _LEADING_TYPE = (
     "video_id STRING, topic_key STRING, main_terms ARRAY<STRUCT<_rank: INT, term: STRING, n: BIGINT>>"
 )
 _SUMMARY_SCHEMA = "video_id STRING, topic_key STRING, summary STRING"
+_SEGMENT_SUMMARY = "video_id STRING, segment_id BIGINT, summary STRING"
 
 
 def topic_key(label: Column, segment: Column) -> Column:
@@ -203,6 +204,21 @@ def _leading(n_terms: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _long_topics(keyed: DataFrame, order: str, span: int) -> DataFrame:
+    """(_video_id, _topic_key) of topics over ``span`` or more of ``order``, written out."""
+    long = (
+        keyed.groupBy(*_TOPIC)
+        .agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+        .filter(F.col("_last") - F.col("_first") >= span)
+        .select(*[F.col(c).alias(f"_{c}") for c in _TOPIC])
+    )
+    return write_out(long, "long_topics")
+
+
+def _among(long: DataFrame) -> Column:
+    return reduce(and_, [F.col(c).eqNullSafe(long[f"_{c}"]) for c in _TOPIC])
+
+
 def main_terms(
     segments: DataFrame, *, n_terms: int = MAIN_TERMS, size: int = CHUNK_SIZE
 ) -> DataFrame:
@@ -217,14 +233,8 @@ def main_terms(
     much of the corpus is one task's work nowhere.
     """
     keyed = with_chunk(with_topic_key(segments), "segment_id", size).select(*_TOPIC, CHUNK, "text")
-    long = (
-        keyed.groupBy(*_TOPIC)
-        .agg(F.min(CHUNK).alias("_first"), F.max(CHUNK).alias("_last"))
-        .filter("_first < _last")
-        .select(*[F.col(c).alias(f"_{c}") for c in _TOPIC])
-    )
-    long = write_out(long, "long_topics")
-    among = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _TOPIC])
+    long = _long_topics(keyed, CHUNK, 1)
+    among = _among(long)
     several = None
     if not long.isEmpty():
         several = _counted(keyed.join(long, among, "left_semi"), _TOPIC, n_terms)
@@ -260,25 +270,109 @@ def _central_sentence(text: Column, main: Column) -> Column:
     return F.array_max(F.transform(sentences(text), rated))
 
 
-def central_summary(
-    segments: DataFrame, *, n_terms: int = MAIN_TERMS, size: int = CHUNK_SIZE
-) -> DataFrame:
-    """(video_id, topic_key, summary): the sentence with most of the main terms.
+def _central(
+    n_terms: int, every: bool = False
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sentence with most of the main terms, of topics whose rows follow each other.
 
-    Of equal sentences the earliest. Every segment puts forward its best sentence
-    and topics keep the best of these, so no topic is gathered. The main terms are
-    written out and brought to the segments, so segments laid out by segment stay
-    where they are. A topic without text has the summary ''.
+    Batches of (video_id, topic_key, segment_id, said) in, where ``said`` lists
+    the sentences with their terms; (video_id, topic_key, summary) out, or with
+    ``every`` (video_id, segment_id, summary) of each row. The rows of the
+    topic that a batch ends in are kept until it is over.
     """
-    keyed = with_topic_key(segments)
+
+    def told(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.concat_batches(pieces)
+        group = np.concatenate([[0], np.cumsum(_new_group(rows))])
+        sentence, lists = rows.column(-1).flatten().flatten()
+        owner = np.repeat(np.arange(len(group)), _sizes(rows.column(-1)))
+        words = lists.flatten().dictionary_encode()
+        in_order = pc.sort_indices(words.dictionary).to_numpy()
+        many = max(len(in_order), 1)
+        place = np.empty(len(in_order), np.int64)
+        place[in_order] = np.arange(len(in_order))
+        inside = np.repeat(np.arange(len(owner)), _sizes(lists))
+        keys = group[owner[inside]] * many + place[words.indices.to_numpy()]
+        found, at, n = np.unique(keys, return_inverse=True, return_counts=True)
+        topic, term = np.divmod(found, many)
+        best = np.lexsort((term, -n, topic))
+        main = np.zeros(len(found), bool)
+        main[best[np.arange(len(best)) - np.searchsorted(topic, topic) < n_terms]] = True
+        # A main term counts once for a sentence.
+        hit = main[at]
+        once = np.unique(inside[hit] * max(len(found), 1) + at[hit])
+        said, which = np.divmod(once, max(len(found), 1))
+        score = np.bincount(said, n[which], minlength=len(owner))
+        # Every row's best sentence, the first of equals; then every topic's best row.
+        first = np.lexsort((-score, owner))
+        first = first[np.unique(owner[first], return_index=True)[1]]
+        keyed = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
+        keyed &= rows.column(2).is_valid().to_numpy(zero_copy_only=False)
+        first = first[keyed[owner[first]]]
+        segment = rows.column(2).fill_null(0).to_numpy()[owner[first]]
+        chosen: dict[int, tuple] = {}
+        # Rows of one segment, of which there may be several, go by the sentence.
+        order = np.lexsort((segment, -score[first], group[owner[first]]))
+        first, segment = first[order], segment[order]
+        owned, rated = group[owner[first]], score[first]
+        twin = np.zeros(len(first), bool)
+        twin[1:] = np.all([x[1:] == x[:-1] for x in (owned, rated, segment)], axis=0)
+        for i in np.unique(owned, return_index=True)[1].tolist():
+            text, j = sentence[first[i]].as_py(), i + 1
+            while j < len(first) and twin[j]:
+                text, j = max(text, sentence[first[j]].as_py(), key=str.encode), j + 1
+            chosen[int(owned[i])] = text
+        if every:
+            own = [chosen.get(g, "") if k else None for g, k in zip(group.tolist(), keyed.tolist())]
+            columns = [rows.column(0), rows.column(2), pa.array(own, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names=[*SEGMENT, "summary"])
+        kept, at = np.unique(group[keyed], return_index=True)
+        at = pa.array(np.flatnonzero(keyed)[at])
+        summaries = pa.array([chosen.get(g, "") for g in kept.tolist()], pa.string())
+        columns = [rows.column(0).take(at), rows.column(1).take(at), summaries]
+        return pa.RecordBatch.from_arrays(columns, names=[*_TOPIC, "summary"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = np.flatnonzero(_new_group(batch)) + 1
+            joint = held and pa.concat_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)])
+            if held and _new_group(joint)[0]:
+                yield told(held)
+                held = []
+            if len(ends):
+                yield told([*held, batch.slice(0, ends[-1])])
+                held, batch = [], batch.slice(ends[-1])
+            held.append(batch)
+        if held:
+            yield told(held)
+
+    return run
+
+
+def _new_group(rows: pa.RecordBatch) -> np.ndarray:
+    """Whether rows but the first differ from the one before in the first two columns."""
+    codes = [c.dictionary_encode().indices.fill_null(-1).to_numpy() for c in rows.columns[:2]]
+    return np.any([c[1:] != c[:-1] for c in codes], axis=0)
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return pc.list_value_length(lists).fill_null(0).to_numpy()
+
+
+def _central_by_terms(keyed: DataFrame, main: DataFrame, size: int) -> DataFrame:
+    """(video_id, topic_key, summary) of topics by their main terms, which are brought
+    to the segments: each puts forward a sentence, and topics keep the best of these."""
     wanted = attach(
         keyed.select(*_TOPIC, "segment_id"),
-        write_out(main_terms(segments, n_terms=n_terms, size=size), "main_terms"),
+        write_out(main, "main_terms"),
         _TOPIC,
         "segment_id",
         size=size,
     )
-    rated = segments.select(*SEGMENT, "text").join(wanted, SEGMENT)
+    rated = keyed.select(*SEGMENT, "text").join(wanted, SEGMENT)
     best = _central_sentence(F.col("text"), F.col("main_terms"))
     entry = F.struct(
         F.col("_best.score"), -F.col("segment_id"), F.col("_best.sentence").alias("sentence")
@@ -291,6 +385,44 @@ def central_summary(
     )
 
 
+def central_summary(
+    segments: DataFrame, *, n_terms: int = MAIN_TERMS, size: int = CHUNK_SIZE
+) -> DataFrame:
+    """(video_id, topic_key, summary): the sentence with most of the main terms.
+
+    Of equal sentences the earliest. The texts of a topic that spans less than ``size``
+    ids meet in one task, which counts their terms and rates their sentences with NumPy,
+    topic by topic. Topics that span more, a few, are not gathered: their terms are
+    summed map side, and their main terms are brought to the segments. A topic without
+    text has the summary ''. The summaries are written out.
+    """
+    near, far, _ = _central_found(segments, n_terms, size)
+    near = write_out(near, "summaries")
+    return near if far is None else near.unionByName(far)
+
+
+def _central_found(
+    segments: DataFrame, n_terms: int, size: int, *, every: bool = False
+) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Summaries of the topics that span less than ``size`` ids (of their segments with
+    ``every``), of the others if there are any, and the segments of these."""
+    keyed = with_topic_key(segments).select(*SEGMENT, "topic_key", "text")
+    long = _long_topics(keyed, "segment_id", size)
+    some = keyed.join(long, _among(long), "left_semi")
+    far = None
+    if not long.isEmpty():
+        far = _central_by_terms(some, _counted(some, _TOPIC, n_terms), size)
+        far = write_out(far, "long_summaries")
+        keyed = keyed.join(long, _among(long), "left_anti")
+    met = keyed.repartition(*_TOPIC).sortWithinPartitions(*_TOPIC)
+    said = F.transform(
+        sentences(F.col("text")), lambda s: F.struct(s.alias("sentence"), terms(s).alias("terms"))
+    )
+    near = met.select(*_TOPIC, "segment_id", said.alias("said"))
+    schema = _SEGMENT_SUMMARY if every else _SUMMARY_SCHEMA
+    return near.mapInArrow(_central(n_terms, every), schema), far, some
+
+
 def guarded(summarise: BatchSummariser) -> BatchSummariser:
     """``summarise`` with a column ``error`` instead of an exception.
 
@@ -482,10 +614,12 @@ def topic_summary(
     ``tree_summary``).
     """
     if summarise is None:
-        per_topic = write_out(
-            central_summary(segments, n_terms=n_terms, size=size), "summaries"
-        )
-    elif block is not None:
+        near, far, some = _central_found(segments, n_terms, size, every=True)
+        if far is not None:
+            spread = attach(some.select(*_TOPIC, "segment_id"), far, _TOPIC, "segment_id", size=size)
+            near = near.unionByName(spread.select(*SEGMENT, "summary"))
+        return write_by_segment(near, "summaries")
+    if block is not None:
         per_topic = tree_summary(
             segments, summarise, block=block, instruction=instruction, partitions=partitions
         )

@@ -13,8 +13,8 @@ from loquent.functions import urls as U
 from loquent.functions.reporting import outcome_line
 from loquent.operators.cooccurrence import co_occurrences, top_pairs, with_support
 from loquent.operators.embed import OpenEncoder, embed
-from loquent.operators.enrich import VECTOR, merge_nlp, unique_names, vector_processors
-from loquent.operators.ids import global_entity_ids, global_segment_ids, list_position
+from loquent.operators.enrich import VECTOR, WORDS, merge_nlp, unique_names, vector_processors
+from loquent.operators.ids import chunk_sizes, global_entity_ids, global_segment_ids, list_position
 from loquent.operators.registry import ENTITIES, Processor, row_results, run_all
 from loquent.plans.located import write_by_segment
 from loquent.plans.skew import restrict_to_videos, salted_join
@@ -52,6 +52,7 @@ def process_segments(
     processors: Sequence[Processor] | None = None,
     *,
     open_encoder: OpenEncoder | None = None,
+    by_video: bool = False,
 ) -> DataFrame | None:
     """Store new videos with their segments and entities, as one commit.
 
@@ -63,7 +64,8 @@ def process_segments(
     A video for which a processor reports an error (see ``result_errors``) is not
     stored; its message goes to the table ``failures`` and is returned as
     (video_id, error). Its ids stay unused. For ``open_encoder`` see
-    ``enrich_segments``.
+    ``enrich_segments``. With ``by_video`` the segments are made of rows that
+    ``write_by_video`` wrote; choice, times and ids then leave them in place.
     """
     new = write_out(warehouse.skip_processed(videos), "new_videos")
     if new.limit(1).isEmpty():
@@ -73,18 +75,26 @@ def process_segments(
         batch.delete(new, ("entities", "segments"))
 
     columns = ["video_id", *(["position"] if "position" in new.columns else [])]
-    mine = write_out(
-        salted_join(segments, new.select(columns), ["video_id"], ["segment_id"]),
-        "new_segments",
-    )
+    if by_video:
+        mine = segments.join(new.select(columns), "video_id")
+    else:
+        mine = salted_join(segments, new.select(columns), ["video_id"], ["segment_id"])
+        mine = write_out(mine, "new_segments")
+    position = "position" if "position" in new.columns else None
+    mine = mine.na.drop(subset=["segment_id"])
+    parts = chunk_sizes(mine, position=position)
+    stored = ["segment_id", "video_id", "start_time", "end_time", "text"]
     if "start_time" not in segments.columns:
-        mine = with_times(mine)
+        mine = with_times(mine, chunks=parts, keep=WORDS)
+        stored.append(WORDS)
     placed = global_segment_ids(
         mine,
-        position="position" if "position" in new.columns else None,
+        position=position,
         start=batch.next_segment_id,
+        parts=parts,
+        by_video=by_video,
     )
-    placed = placed.select("segment_id", "video_id", "start_time", "end_time", "text")
+    placed = placed.select(*stored)
     if open_encoder is not None:
         placed = embed(placed, {"text": VECTOR}, open_encoder)
         processors = vector_processors() if processors is None else processors
@@ -130,6 +140,7 @@ def process_videos(
     *,
     max_splits: int = MAX_SPLITS,
     open_encoder: OpenEncoder | None = None,
+    by_video: bool = False,
 ) -> list[DataFrame]:
     """``process_segments``, going on past videos that make a processor raise.
 
@@ -140,6 +151,8 @@ def process_videos(
     Returns frames of (video_id, error).
     """
     options = {} if open_encoder is None else {"open_encoder": open_encoder}
+    if by_video:
+        options["by_video"] = True
     place = F.xxhash64("video_id")
     waiting = [write_out(videos, "videos")]
     failed: list[DataFrame] = []

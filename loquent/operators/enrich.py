@@ -34,6 +34,8 @@ from loquent.session import write_out
 
 #: Vectors of the segments' texts, while they are enriched.
 VECTOR = "_text_vector"
+#: Numbers of words of the segments' texts, where they were counted before.
+WORDS = "_text_words"
 
 
 def last_rows(result: DataFrame, order: str = "order") -> DataFrame:
@@ -59,11 +61,20 @@ def _sized(segments: DataFrame, topics: DataFrame, size: int) -> DataFrame:
     Only counts of words leave the segments. Joining texts by newlines never merges
     words, so the counts add up.
     """
-    counted = segments.select(*_KEYS, word_count(F.col("text")).alias("_words"))
+    words = F.col(WORDS) if WORDS in segments.columns else word_count(F.col("text"))
+    counted = segments.select(*_KEYS, words.alias("_words"))
     keyed = write_out(with_topic_key(attach_topic(counted, topics)), "topic_keys")
     topic = ["video_id", "topic_key"]
-    words = keyed.groupBy(*topic).agg(F.sum("_words").alias("original_words"))
-    sized = attach(keyed.drop("_words"), words, topic, "segment_id", size=size)
+    words = keyed.groupBy(*topic).agg(
+        F.sum("_words").alias("original_words"),
+        (F.max("segment_id") - F.min("segment_id")).alias("_span"),
+    )
+    words = write_out(words, "topic_words")
+    # Only a topic over many ids has too many segments for one task.
+    if words.filter(F.col("_span") >= size).isEmpty():
+        sized = keyed.drop("_words").join(words, topic, "left")
+    else:
+        sized = attach(keyed.drop("_words"), words, topic, "segment_id", size=size)
     return write_by_segment(sized.select(*_KEYS, "topic_label", "original_words"), "sizes")
 
 
@@ -97,7 +108,7 @@ def merge_nlp(
 
     topics = result(TOPICS, F.col("topic_label"))
     abstractive = result(ABSTRACTIVE, F.col("summary").alias("_abs"))
-    kept = [c for c in segments.columns if c != "topic_label"]
+    kept = [c for c in segments.columns if c not in ("topic_label", WORDS)]
     joined = segments.select(*kept).join(_sized(segments, topics, size), _KEYS, "left")
     joined = joined.join(abstractive, _KEYS, "left")
     if EXTRACTIVE in rows:

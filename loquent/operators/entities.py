@@ -50,6 +50,32 @@ def _somewhere(pattern: str) -> str:
     return rf"(?:^| )(?:{body})(?![^ ])"
 
 
+def _needs_digit(pattern: str) -> bool:
+    """Whether a match surely holds one of the digits 0 to 9: the pattern has a ``\\d``
+    outside of any choice or class that may not be left out. False where that is not
+    plain, as with flags or what only Java's expressions know."""
+    if re.search(r"\(\?(?!:)|\[[^\]]*(?:\[|&&)", pattern):
+        return False
+
+    def needed(items) -> bool:
+        for kind, value in items:
+            name = str(kind)
+            if name == "IN" and [(str(a), str(b)) for a, b in value] == [("CATEGORY", "CATEGORY_DIGIT")]:
+                return True
+            if name == "SUBPATTERN" and needed(value[-1]):
+                return True
+            if name.endswith("REPEAT") and value[0] > 0 and needed(value[-1]):
+                return True
+            if name == "BRANCH" and all(needed(branch) for branch in value[1]):
+                return True
+        return False
+
+    try:
+        return needed(re._parser.parse(pattern))
+    except re.error:
+        return False
+
+
 _HIT = "ARRAY<STRUCT<position: INT, length: INT, phrase: STRING, kind: STRING>>"
 
 
@@ -157,7 +183,12 @@ def find_mentions(
     hits = _pattern_hits(F.col("_words"), patterns)
     found = None
     if hits is not None:
-        found = words.select(*_KEYS, F.inline(hits))
+        # Where every pattern asks for a digit, texts without one are not looked into.
+        inside = segments
+        if all(_needs_digit(p) for own in patterns.values() for p in own):
+            inside = segments.filter(F.col("text").rlike("[0-9]"))
+        inside = inside.select(*_KEYS, surface_tokens(F.col("text")).alias("_words"))
+        found = inside.select(*_KEYS, F.inline(hits))
         if pattern_words is not None:
             found = found.filter(F.col("length") <= pattern_words)
     if gazetteer is not None:

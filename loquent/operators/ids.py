@@ -21,12 +21,28 @@ def next_id(df: DataFrame, column: str) -> int:
     return max_id(df, column).first()["max_id"] + 1
 
 
+def chunk_sizes(
+    segments: DataFrame, *, position: str | None = None, size: int = CHUNK_SIZE
+) -> DataFrame:
+    """(video_id, chunk, size, ordinal): a row per chunk of a video, written out."""
+    if position is None:
+        ordinal = F.conv(F.substring(F.md5("video_id"), 1, 8), 16, 10).cast("bigint")
+    else:
+        ordinal = F.col(position)
+    sized = with_chunk(segments, "segment_id", size).groupBy("video_id", CHUNK).agg(
+        (F.max("segment_id") + 1).alias("_size"), F.min(ordinal).alias("_ordinal")
+    )
+    return write_out(sized, "chunk_sizes")
+
+
 def global_segment_ids(
     segments: DataFrame,
     *,
     position: str | None = None,
     start: int = 0,
     size: int = CHUNK_SIZE,
+    parts: DataFrame | None = None,
+    by_video: bool = False,
 ) -> DataFrame:
     """Replace local segment ids, 0 or more, by ids that are unique over all videos.
 
@@ -39,19 +55,12 @@ def global_segment_ids(
 
     The segments are read once for a row per chunk of a video, which is written out;
     offsets come from these rows, and a second reading brings them to the chunks.
+    These rows may be given in ``parts`` (see ``chunk_sizes``). With ``by_video`` the
+    offsets are brought to videos: segments that lie by video stay in place.
     """
-    if position is None:
-        ordinal = F.conv(F.substring(F.md5("video_id"), 1, 8), 16, 10).cast("bigint")
-        chunk = _HASH_CHUNK
-    else:
-        ordinal, chunk = F.col(position), size
     chunked = with_chunk(segments, "segment_id", size)
-    parts = write_out(
-        chunked.groupBy("video_id", CHUNK).agg(
-            (F.max("segment_id") + 1).alias("_size"), F.min(ordinal).alias("_ordinal")
-        ),
-        "chunk_sizes",
-    )
+    if parts is None:
+        parts = chunk_sizes(segments, position=position, size=size)
     sizes = parts.groupBy("video_id").agg(
         F.max("_size").alias("_size"), F.min("_ordinal").alias("_ordinal")
     )
@@ -62,15 +71,18 @@ def global_segment_ids(
         F.col("_size"),
         "_end",
         ties=["video_id"],
-        size=chunk,
+        size=_HASH_CHUNK if position is None else size,
     )
     offsets = write_out(
         ends.select("video_id", (F.col("_end") - F.col("_size") + start).alias("_offset")),
         "offsets",
     )
-    placed = chunked.join(
-        parts.select("video_id", CHUNK).join(offsets, "video_id"), ["video_id", CHUNK], "left"
-    )
+    if by_video:
+        placed = chunked.join(offsets, "video_id", "left")
+    else:
+        placed = chunked.join(
+            parts.select("video_id", CHUNK).join(offsets, "video_id"), ["video_id", CHUNK], "left"
+        )
     numbered = placed.withColumn("segment_id", F.col("segment_id") + F.col("_offset"))
     return numbered.select(*segments.columns)
 

@@ -27,17 +27,31 @@ def write_by_segment(df: DataFrame, label: str, buckets: int | None = None) -> D
     that are to be joined in place need the same one. The rows keep their columns and
     types; null keys stay, and repeated rows are repeated.
     """
+    buckets = _buckets(df) if buckets is None else buckets
+    return _bucketed(df.repartition(buckets, *SEGMENT), SEGMENT, label, buckets)
+
+
+def write_by_video(df: DataFrame, label: str) -> DataFrame:
+    """``df``, of one row per video, written to the shared folder by video and read back.
+
+    What is made of the rows stays in place in groups, windows and joins by video.
+    """
+    return _bucketed(df, ["video_id"], label, _buckets(df))
+
+
+def _buckets(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+
+
+def _bucketed(df: DataFrame, keys: list[str], label: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
-    if buckets is None:
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
     name = f"loquent_{label}_{uuid.uuid4().hex}"
     (
-        df.repartition(buckets, *SEGMENT)
-        .write.format("parquet")
+        df.write.format("parquet")
         .option("compression", "zstd")
         .option("path", scratch_path(spark, label))
-        .bucketBy(buckets, *SEGMENT)
-        .sortBy(*SEGMENT)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .saveAsTable(name)
     )
     rows = spark.table(name)

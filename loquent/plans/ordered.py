@@ -48,12 +48,16 @@ def running_sum(
     *,
     ties: Sequence[str] = (),
     size: int = CHUNK_SIZE,
+    chunks: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over this row and all earlier ones.
 
     ``by`` may be empty for one running sum over everything. The chunk totals
     are then summed in chunks once more, so that the one window without a
     partition has a row per ``size * size`` consecutive ids.
+
+    ``chunks`` may hold the chunks of every group (``by`` and chunk), written out: the
+    totals of a group that is one chunk are not needed then, nor worked out.
     """
     chunked = with_chunk(df, order, size).withColumn("_value", value)
     group = [*by, CHUNK]
@@ -62,6 +66,19 @@ def running_sum(
         .orderBy(order, *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    local = F.sum("_value").over(inside)
+    if by and chunks is not None:
+        chunked = chunked.na.drop(subset=group)
+        ends = chunks.groupBy(*by).agg(F.min(CHUNK).alias("_first"), F.max(CHUNK).alias("_last"))
+        several = write_out(ends.filter("_first < _last").select(*by), "several_chunks")
+        if several.isEmpty():
+            return chunked.withColumn(out, local).select(*df.columns, out)
+        summed = chunked.join(several, list(by), "left_semi")
+        totals = summed.groupBy(*group).agg(F.sum("_value").alias("_total"))
+        sums = _sums_before(totals, by, CHUNK)
+        placed = chunked.withColumn("_local", local).join(sums, group, "left")
+        total = F.coalesce("_before", F.lit(0)) + F.col("_local")
+        return placed.withColumn(out, total).select(*df.columns, out)
     totals = chunked.groupBy(*group).agg(F.sum("_value").alias("_total"))
     if by:
         sums = _sums_before(totals, by, CHUNK)
@@ -74,9 +91,9 @@ def running_sum(
             F.col("_part").alias(CHUNK),
             (F.col("_before") + F.col("_outer")).alias("_before"),
         )
-    local = chunked.withColumn("_local", F.sum("_value").over(inside))
     return (
-        local.join(sums, group)
+        chunked.withColumn("_local", local)
+        .join(sums, group)
         .withColumn(out, F.col("_before") + F.col("_local"))
         .select(*df.columns, out)
     )
@@ -101,6 +118,23 @@ def attach(
     return chunked.join(per_chunk, [*by, CHUNK], "left").select(*df.columns, *added)
 
 
+def with_handed(df: DataFrame, by: str, order: str, *, size: int = CHUNK_SIZE) -> DataFrame:
+    """Rows with their chunk, and the last row of each chunk also in the next one.
+
+    The latter have a true ``_handed``. Which rows that are, one small row per chunk
+    that has a next one, is written out: nothing else is gathered for them.
+    """
+    chunked = with_chunk(df, order, size)
+    lasts = chunked.groupBy(by, CHUNK).agg(F.max(order).alias(order))
+    following = F.lead(CHUNK).over(Window.partitionBy(by).orderBy(CHUNK))
+    ends = lasts.withColumn("_next", following).filter(F.col("_next").isNotNull())
+    ends = write_out(ends.select(by, order, "_next"), "chunk_ends")
+    handed = chunked.join(ends, [by, order]).withColumn(CHUNK, F.col("_next")).drop("_next")
+    return chunked.withColumn("_handed", F.lit(False)).unionByName(
+        handed.withColumn("_handed", F.lit(True))
+    )
+
+
 def with_previous(
     df: DataFrame,
     by: str,
@@ -116,19 +150,9 @@ def with_previous(
     ``payload`` names a column; with ``code`` it becomes that expression over it once
     the rows are where their windows run, so the column, not the code, is shuffled.
     The last row of each chunk is also handed to the group's next chunk, where
-    it only serves the row after it and is then dropped. Which rows that are, one
-    small row per chunk that has a next one, is written out: the payload is not
-    gathered for them.
+    it only serves the row after it and is then dropped.
     """
-    chunked = with_chunk(df, order, size)
-    lasts = chunked.groupBy(by, CHUNK).agg(F.max(order).alias(order))
-    following = F.lead(CHUNK).over(Window.partitionBy(by).orderBy(CHUNK))
-    ends = lasts.withColumn("_next", following).filter(F.col("_next").isNotNull())
-    ends = write_out(ends.select(by, order, "_next"), "chunk_ends")
-    handed = chunked.join(ends, [by, order]).withColumn(CHUNK, F.col("_next")).drop("_next")
-    both = chunked.withColumn("_handed", F.lit(False)).unionByName(
-        handed.withColumn("_handed", F.lit(True))
-    )
+    both = with_handed(df, by, order, size=size)
     if code is not None:
         both = both.repartition(by, CHUNK).withColumn(payload, code)
     inside = Window.partitionBy(by, CHUNK).orderBy(order)

@@ -41,21 +41,22 @@ def with_times(
     *,
     seconds_per_word: float = SECONDS_PER_WORD,
     size: int = CHUNK_SIZE,
+    chunks: DataFrame | None = None,
+    keep: str | None = None,
 ) -> DataFrame:
     """Add start_time and end_time from the words spoken so far.
 
-    For transcripts which come without timings.
+    For transcripts which come without timings. ``chunks`` is that of ``running_sum``;
+    with it words are counted once. ``keep`` names a column that is to hold them.
     """
     counted = segments.withColumn("_words", word_count(F.col("text")))
     summed = running_sum(
-        counted, ["video_id"], "segment_id", F.col("_words"), "_so_far", size=size
+        counted, ["video_id"], "segment_id", F.col("_words"), "_so_far", size=size, chunks=chunks
     )
     rate = F.lit(seconds_per_word)
-    return (
-        summed.withColumn("start_time", (F.col("_so_far") - F.col("_words")) * rate)
-        .withColumn("end_time", F.col("_so_far") * rate)
-        .drop("_words", "_so_far")
-    )
+    timed = summed.withColumn("start_time", (F.col("_so_far") - F.col("_words")) * rate)
+    timed = timed.withColumn("end_time", F.col("_so_far") * rate).drop("_so_far")
+    return timed.drop("_words") if keep is None else timed.withColumnRenamed("_words", keep)
 
 
 def read_segments_json(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loquent.operators.batch import process_videos
 from loquent.operators.registry import Processor
-from loquent.session import write_out
+from loquent.plans.located import write_by_video
 from loquent.sources.transcripts import segments_from_text
 from loquent.sources.warehouse import Warehouse
 
@@ -24,7 +25,7 @@ def incremental_ingest(
     checkpoint: str,
     processors: Sequence[Processor] | None = None,
     *,
-    store: Callable[..., object] = process_videos,
+    store: Callable[..., object] = partial(process_videos, by_video=True),
 ) -> StreamingQuery:
     """Process all transcript files not seen yet, then stop.
 
@@ -37,10 +38,11 @@ def incremental_ingest(
     def handle(batch: DataFrame, _: int) -> None:
         # One row per video, the same one however often this is worked out;
         # copies are merged before they are sent and before any text is split.
-        # They are written out: names and segments read them more than once.
+        # New ones are written out by video: text is split where they lie, and
+        # moves but once more, to its place by segment.
         copy = F.min(F.struct("url", "title", "text")).alias("copy")
         videos = batch.groupBy("video_id").agg(copy).select("video_id", "copy.*")
-        videos = write_out(videos, "arrived")
+        videos = write_by_video(warehouse.skip_processed(videos), "arrived")
         store(
             warehouse,
             videos.select("video_id", "url", "title"),

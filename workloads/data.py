@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loquent.functions.binding import let
 from loquent.functions.text import sentences, strip, surface_tokens, words
 from loquent.functions.urls import canonical_url
 from loquent.operators.registry import (
@@ -157,15 +158,17 @@ class LeadSentence(RowProcessor):
     name = EXTRACTIVE
 
     def row(self) -> Column:
-        said = sentences(F.col("text"))
-        scored = F.transform(
-            said,
-            lambda s, i: F.struct(
-                s.alias("sentence"), (-i).cast("double").alias("score")
-            ),
-        )
-        lead = F.coalesce(F.get(said, F.lit(0)), F.lit(""))
-        return F.struct(lead.alias("summary"), scored.alias("sentence_scores"))
+        def result(said: Column) -> Column:
+            scored = F.transform(
+                said,
+                lambda s, i: F.struct(
+                    s.alias("sentence"), (-i).cast("double").alias("score")
+                ),
+            )
+            lead = F.coalesce(F.get(said, F.lit(0)), F.lit(""))
+            return F.struct(lead.alias("summary"), scored.alias("sentence_scores"))
+
+        return let(sentences(F.col("text")), result)
 
 
 class LetterCounts:
