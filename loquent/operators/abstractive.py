@@ -25,6 +25,7 @@ from loquent.functions.binding import let
 from loquent.functions.text import sentences, terms, word_count
 from loquent.plans.located import SEGMENT, write_by_segment
 from loquent.plans.ordered import CHUNK, CHUNK_SIZE, attach, with_chunk
+from loquent.plans.skew import SHORT
 from loquent.session import write_out
 
 #: Batches of (video_id, topic_key, prompt) in, (video_id, topic_key, summary)
@@ -212,7 +213,8 @@ def _long_topics(keyed: DataFrame, order: str, span: int) -> DataFrame:
         .filter(F.col("_last") - F.col("_first") >= span)
         .select(*[F.col(c).alias(f"_{c}") for c in _TOPIC])
     )
-    return write_out(long, "long_topics")
+    long = write_out(long, "long_topics")
+    return long if long.count() > SHORT else F.broadcast(long)
 
 
 def _among(long: DataFrame) -> Column:

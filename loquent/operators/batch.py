@@ -81,11 +81,11 @@ def process_segments(
         mine = salted_join(segments, new.select(columns), ["video_id"], ["segment_id"])
         mine = write_out(mine, "new_segments")
     position = "position" if "position" in new.columns else None
-    mine = mine.na.drop(subset=["segment_id"])
     parts = chunk_sizes(mine, position=position)
     stored = ["segment_id", "video_id", "start_time", "end_time", "text"]
     if "start_time" not in segments.columns:
         mine = with_times(mine, chunks=parts, keep=WORDS)
+        parts = parts.na.drop(subset=["_size"])
         stored.append(WORDS)
     placed = global_segment_ids(
         mine,

@@ -24,6 +24,7 @@ from loquent.plans.ordered import (
     with_handed,
     with_previous,
 )
+from loquent.plans.skew import listed_only
 from loquent.session import write_out
 
 # Distances within this of the threshold count as equal to it: sums taken in
@@ -150,7 +151,8 @@ def label_topics(
         (F.max("segment_id") - F.min("segment_id")).alias("_span")
     )
     long = write_out(spans.filter(F.col("_span") >= size).select("video_id"), "long_videos")
-    near = named if long.isEmpty() else named.join(long, "video_id", "left_anti")
+    parted = [named, long, ["video_id"], ["segment_id"]]
+    near = named if long.isEmpty() else listed_only(*parted, "left_anti")
     video = Window.partitionBy("video_id")
     limit = F.when(
         F.count("distance").over(video) >= 2,
@@ -162,8 +164,8 @@ def label_topics(
     so_far = video.orderBy("segment_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = limited.withColumn("_topic", F.sum(starts.cast("bigint")).over(so_far))
     if not long.isEmpty():
-        far = named.join(long, "video_id", "left_semi")
-        counted = counted.unionByName(_counted_by_chunk(far, k, size))
+        far = _counted_by_chunk(listed_only(*parted, "left_semi"), k, size)
+        counted = counted.unionByName(far)
     return counted.filter(F.col("segment_id").isNotNull()).select(
         "video_id",
         "segment_id",

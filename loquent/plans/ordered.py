@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquent.plans.skew import listed_only
 from loquent.session import write_out
 
 CHUNK_SIZE = 65_536
@@ -68,15 +69,21 @@ def running_sum(
     )
     local = F.sum("_value").over(inside)
     if by and chunks is not None:
-        chunked = chunked.na.drop(subset=group)
-        ends = chunks.groupBy(*by).agg(F.min(CHUNK).alias("_first"), F.max(CHUNK).alias("_last"))
-        several = write_out(ends.filter("_first < _last").select(*by), "several_chunks")
+        ends = chunks.groupBy(*by).agg(
+            F.min(CHUNK).alias("_first"),
+            F.max(CHUNK).alias("_last"),
+            F.count_if(F.col(CHUNK).isNull()).alias("_none"),
+        )
+        # Rows without an id are a chunk of their own, before the others.
+        several = ends.filter("_first < _last OR _none > 0").select(*by)
+        several = write_out(several, "several_chunks")
+        kept = chunked.na.drop(subset=group).withColumn("_local", local)
         if several.isEmpty():
-            return chunked.withColumn(out, local).select(*df.columns, out)
-        summed = chunked.join(several, list(by), "left_semi")
+            return kept.withColumn(out, F.col("_local")).select(*df.columns, out)
+        summed = listed_only(chunked, several, by, [order], "left_semi")
         totals = summed.groupBy(*group).agg(F.sum("_value").alias("_total"))
         sums = _sums_before(totals, by, CHUNK)
-        placed = chunked.withColumn("_local", local).join(sums, group, "left")
+        placed = kept.join(sums, group, "left")
         total = F.coalesce("_before", F.lit(0)) + F.col("_local")
         return placed.withColumn(out, total).select(*df.columns, out)
     totals = chunked.groupBy(*group).agg(F.sum("_value").alias("_total"))

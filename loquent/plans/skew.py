@@ -52,6 +52,16 @@ def listed_join(
     return left.join(F.broadcast(right), list(on)).select(*left.columns, *added)
 
 
+def listed_only(
+    left: DataFrame, listed: DataFrame, on: Sequence[str], spread: Sequence[str], how: str
+) -> DataFrame:
+    """Rows that are (left_semi) or are not (left_anti) in a written list: broadcast
+    where short, salted where long, as in ``listed_join``."""
+    if listed.count() > SHORT:
+        return salted_join(left, listed, on, spread, how)
+    return left.join(F.broadcast(listed), list(on), how)
+
+
 def restrict_to_videos(
     df: DataFrame, keys: DataFrame, how: str = "left_semi"
 ) -> DataFrame:

@@ -98,10 +98,15 @@ def test_texts_split_where_they_lie_are_timed_and_numbered_there(spark, no_broad
     assert {(r["text"], r["n"]) for r in placed.collect()} >= {("one two", 2), ("three", 1)}
 
 
-def test_times_of_long_videos_add_up_over_chunks(texts):
+@pytest.mark.parametrize("size", [9, 65_536])
+def test_times_add_up_over_chunks_and_rows_without_an_id(spark, texts, size):
     rows = texts.dropDuplicates(["video_id", "segment_id"])
-    parts = ids.chunk_sizes(rows, size=9)
-    assert told(with_times(rows, size=9, chunks=parts)) == told(with_times(rows))
+    lost = [("v1", None, "lost words"), ("v3", None, "lost"), (None, 1, "lost")]
+    rows = rows.unionByName(spark.createDataFrame(lost, texts.schema))
+    parts = ids.chunk_sizes(rows, size=size)
+    got = told(with_times(rows, size=size, chunks=parts))
+    assert got == told(with_times(rows))
+    assert any("'v1'" in r and "start_time=0.8" in r for r in got)
 
 
 def test_texts_without_digits_are_not_searched_for_dates(spark, texts, capsys):
